@@ -6,6 +6,7 @@ exception for the values known to be dirty, which matters on billions of rows.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 
 from vintara.functions.text import null_if_listed
 
+# Fixed value: the smallest positive double.
+SMALLEST = 5e-324
+
 # Fixed value: ISO day, alone or followed by a time of day.
 ISO_DAY = r"^\d{4}-\d{2}-\d{2}( \d{2}:\d{2}:\d{2}(\.\d+)?)?$"
 
@@ -30,10 +34,14 @@ def to_int(col: Column) -> Column:
     return col.try_cast("int")
 
 
-def to_coordinate(col: Column, sentinels: Iterable[str]) -> Column:
-    """Finite, non-zero double; sentinels, zero, NaN and infinities become null."""
-    number = null_if_listed(col, sentinels).try_cast("double")
-    return F.when((number != 0) & (F.abs(number) < F.lit(float("inf"))), number)
+def to_double(col: Column, sentinels: Iterable[str]) -> Column:
+    """Double; the sentinels are taken out first, as a failed parse is expensive."""
+    return null_if_listed(col, sentinels).try_cast("double")
+
+
+def finite_nonzero(number: Column) -> Column:
+    """Null for zero, NaN and infinities, which mark a position that is not known."""
+    return F.when(F.abs(number).between(SMALLEST, sys.float_info.max), number)
 
 
 def month_key(day: Column, undated: str = "000000") -> Column:

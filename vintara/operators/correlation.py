@@ -8,7 +8,7 @@ Nothing is joined place by place and no matrix reaches the driver.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -37,39 +37,49 @@ def place_profiles(cells: DataFrame, thresholds: Sequence[int]) -> DataFrame:
     )
 
 
-def _block_products(limiar: int, types: pa.Array, counts: pa.Array) -> Iterator[pa.RecordBatch]:
-    """Sums of n_a * n_b over the places of one block, for the pairs that occur."""
-    flat = types.flatten().dictionary_encode()
-    names = np.asarray(flat.dictionary.to_pylist(), dtype=object)
-    column = flat.indices.to_numpy(zero_copy_only=False)
-    value = counts.flatten().to_numpy(zero_copy_only=False)
-    row = np.repeat(np.arange(len(types)), types.value_lengths().to_numpy(zero_copy_only=False))
-    step = max(1, BLOCK_CELLS // max(1, len(names)))
-    for start in range(0, len(types), step):
-        inside = (row >= start) & (row < start + step)
-        dense = np.zeros((min(step, len(types) - start), len(names)))
-        np.add.at(dense, (row[inside] - start, column[inside]), value[inside])
-        products = dense.T @ dense
-        a, b = np.nonzero(products)
-        keep = names[a] <= names[b]
-        a, b = a[keep], b[keep]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(len(a), limiar, dtype=np.int64)),
-                pa.array(names[a], pa.string()),
-                pa.array(names[b], pa.string()),
-                pa.array(products[a, b]),
-            ],
-            names=["limiar", "tipo_a", "tipo_b", "produto"],
-        )
+def _partial_products(block_cells: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Task function: sums of n_a * n_b over the places of each Arrow batch.
 
+    Built as closures, which travel to the Python workers by value, so executors need
+    numpy and pyarrow but not this package.
+    """
 
-def _partial_products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        levels = batch.column("limiar").to_numpy(zero_copy_only=False)
-        for limiar in np.unique(levels):
-            part = batch.filter(pa.array(levels == limiar))
-            yield from _block_products(int(limiar), part.column("tipos"), part.column("totais"))
+    def products(limiar: int, types: pa.Array, counts: pa.Array) -> Iterator[pa.RecordBatch]:
+        flat = types.flatten().dictionary_encode()
+        names = np.asarray(flat.dictionary.to_pylist(), dtype=object)
+        column = flat.indices.to_numpy(zero_copy_only=False)
+        value = counts.flatten().to_numpy(zero_copy_only=False)
+        lengths = types.value_lengths().to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        row = np.repeat(np.arange(len(types)), lengths)
+        step = max(1, block_cells // max(1, len(names)))
+        for start in range(0, len(types), step):
+            stop = min(start + step, len(types))
+            cells = slice(ends[start], ends[stop])
+            dense = np.zeros((stop - start, len(names)))
+            dense[row[cells] - start, column[cells]] = value[cells]
+            sums = dense.T @ dense
+            a, b = np.nonzero(sums)
+            ordered = names[a] <= names[b]
+            a, b = a[ordered], b[ordered]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(a), limiar, dtype=np.int64)),
+                    pa.array(names[a], pa.string()),
+                    pa.array(names[b], pa.string()),
+                    pa.array(sums[a, b]),
+                ],
+                names=["limiar", "tipo_a", "tipo_b", "produto"],
+            )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            levels = batch.column("limiar").to_numpy(zero_copy_only=False)
+            for limiar in np.unique(levels):
+                part = batch.filter(pa.array(levels == limiar))
+                yield from products(int(limiar), part.column("tipos"), part.column("totais"))
+
+    return run
 
 
 def type_correlation(cells: DataFrame, thresholds: Sequence[int] = (20,)) -> DataFrame:
@@ -82,7 +92,7 @@ def type_correlation(cells: DataFrame, thresholds: Sequence[int] = (20,)) -> Dat
     """
     profiles = place_profiles(cells, thresholds)
     products = (
-        profiles.mapInArrow(_partial_products, PAIR_SCHEMA)
+        profiles.mapInArrow(_partial_products(BLOCK_CELLS), PAIR_SCHEMA)
         .groupBy("limiar", "tipo_a", "tipo_b")
         .agg(F.sum("produto").alias("produto"))
     )
@@ -98,7 +108,9 @@ def type_correlation(cells: DataFrame, thresholds: Sequence[int] = (20,)) -> Dat
     )
 
     # The list of types is the header of the result, which has one row per pair of them.
-    header = cells.select("natureza_apurada").distinct()
+    # Reading the count as well keeps the aggregate behind ``cells`` identical to the one
+    # above, so Spark shares its shuffle and the fact is scanned once.
+    header = cells.filter("total > 0").select("natureza_apurada").distinct()
     types = header.agg(F.sort_array(F.collect_list("natureza_apurada"))).scalar()
     pairs = places.withColumn("tipo_a", F.explode(types)).withColumn("tipo_b", F.explode(types))
 

@@ -25,13 +25,16 @@ def sentinel_counts(raw: DataFrame, wanted: Mapping[str, tuple[str, str]]) -> Da
     )
 
 
+def null_counters(df: DataFrame) -> dict[str, Column]:
+    """Null counter of every column that is not lineage."""
+    return {c: F.count_if(quoted(c).isNull()) for c in df.columns if not c.startswith("_")}
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """Nulls and their share per column, worst first; lineage columns are left out."""
-    names = [c for c in df.columns if not c.startswith("_")]
-    one_row = df.agg(
-        F.count("*").alias("_total"), *(F.count_if(quoted(c).isNull()).alias(c) for c in names)
-    )
-    long = one_row.unpivot("_total", names, "coluna", "nulos")
+    counters = null_counters(df)
+    one_row = df.agg(F.count("*").alias("_total"), *(n.alias(c) for c, n in counters.items()))
+    long = one_row.unpivot("_total", list(counters), "coluna", "nulos")
     share = F.coalesce(percent(F.col("nulos"), F.col("_total")), F.lit(0.0))
     return long.select("coluna", "nulos", share.alias("pct")).orderBy(F.desc("pct"), "coluna")
 
@@ -68,16 +71,20 @@ def outside_box(rules: QualityRules) -> Column:
     return lat.isNotNull() & lon.isNotNull() & ~inside
 
 
+def validity_counters(rules: QualityRules) -> dict[str, Column]:
+    return {
+        "total": F.count("*"),
+        "data_impossivel": F.count_if(impossible_date(rules)),
+        "data_nula": F.count_if(F.col("dt_ocorrencia_bo").isNull()),
+        "ordem_invertida": F.count_if(out_of_order()),
+        "lat_preenchida": F.count_if(F.col("latitude").isNotNull()),
+        "fora_da_caixa": F.count_if(outside_box(rules)),
+    }
+
+
 def validity(silver: DataFrame, rules: QualityRules) -> DataFrame:
     """Temporal and geographic validity counters, all from one scan."""
-    return silver.agg(
-        F.count("*").alias("total"),
-        F.count_if(impossible_date(rules)).alias("data_impossivel"),
-        F.count_if(F.col("dt_ocorrencia_bo").isNull()).alias("data_nula"),
-        F.count_if(out_of_order()).alias("ordem_invertida"),
-        F.count_if(F.col("latitude").isNotNull()).alias("lat_preenchida"),
-        F.count_if(outside_box(rules)).alias("fora_da_caixa"),
-    )
+    return silver.agg(*(n.alias(name) for name, n in validity_counters(rules).items()))
 
 
 def impossible_dates(silver: DataFrame, rules: QualityRules) -> DataFrame:
@@ -118,9 +125,12 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Frequent values collapse before the shuffle, so a dominant one costs a single row per
     task. Nulls are kept as a value. Feeds ``cardinality`` and ``spelling_variants``.
+
+    The filter drops nothing: it keeps the count in every consumer's plan, so that all of
+    them have the same aggregate and Spark shares its one scan and shuffle.
     """
     long = df.select(*columns).unpivot([], list(columns), "coluna", "valor")
-    return long.groupBy("coluna", "valor").agg(F.count("*").alias("linhas"))
+    return long.groupBy("coluna", "valor").agg(F.count("*").alias("linhas")).filter("linhas > 0")
 
 
 def cardinality(counts: DataFrame) -> DataFrame:
@@ -140,39 +150,52 @@ def spelling_variants(counts: DataFrame, fold=None) -> DataFrame:
     return spelt.join(sizes, ["coluna", "chave"]).select("coluna", "chave", "grafias", "valor", "linhas")
 
 
-def _as_metrics(one_row: DataFrame, check: str) -> DataFrame:
+def _metrics(one_row: DataFrame) -> DataFrame:
+    """One row of columns named 'check/metric' as (check, metric, value) rows."""
     typed = one_row.select(*(quoted(c).cast("double").alias(c) for c in one_row.columns))
-    long = typed.unpivot([], one_row.columns, "metrica", "valor")
-    return long.select(F.lit(check).alias("verificacao"), "metrica", "valor")
+    long = typed.unpivot([], one_row.columns, "_nome", "valor")
+    parts = F.split("_nome", "/", 2)
+    return long.select(parts[0].alias("verificacao"), parts[1].alias("metrica"), "valor")
+
+
+def _group_shares(pattern: str) -> dict[str, Column]:
+    """Share of rows without an hour where the pattern matches, does not, or is unknown."""
+    flag = F.lower(F.col("rubrica")).rlike(pattern)
+    missing = F.col("hora_ocorrencia_bo").isNull()
+    groups = {"true": flag, "false": ~flag, "null": flag.isNull()}
+    return {
+        f"hora_nula_pct/sensivel={name}": percent(F.count_if(rows & missing), F.count_if(rows))
+        for name, rows in groups.items()
+    }
 
 
 def summary(raw: DataFrame, silver: DataFrame, rules: QualityRules) -> DataFrame:
-    """All checks as (check, metric, value) rows: one pass over raw, five over Silver."""
+    """All checks as (check, metric, value) rows.
+
+    One scan of raw and three of Silver: the counters that need no grouping share one
+    aggregate, the repeated keys have their own, and so have the category values.
+    """
     counts = value_counts(silver, rules.categories)
-    variants = spelling_variants(counts).select("coluna", "chave").distinct()
-    grouped = missing_by_group(silver, "rubrica", rules.sensitive_pattern, "hora_ocorrencia_bo")
-    flag = F.coalesce(F.col("sensivel").cast("string"), F.lit("null"))
+    spelt = spelling_variants(counts).groupBy("coluna", "chave").agg(F.max("grafias").alias("n"))
+    ungrouped = {
+        **{f"nulos/{c}": n for c, n in null_counters(silver).items()},
+        **{f"validade/{c}": n for c, n in validity_counters(rules).items()},
+        **_group_shares(rules.sensitive_pattern),
+    }
+    repeated = repeated_keys_total(repeated_keys(silver, rules.unique_key))
+    literals = sentinel_counts(raw, rules.sentinel_counts)
+
+    def per_column(df: DataFrame, check: str) -> DataFrame:
+        return df.groupBy("coluna").agg(F.count("*").cast("double").alias("valor")).select(
+            F.lit(check).alias("verificacao"), F.col("coluna").alias("metrica"), "valor"
+        )
+
     parts = [
-        _as_metrics(sentinel_counts(raw, rules.sentinel_counts), "sentinelas"),
-        null_profile(silver).select(
-            F.lit("nulos").alias("verificacao"),
-            F.col("coluna").alias("metrica"),
-            F.col("nulos").cast("double").alias("valor"),
-        ),
-        _as_metrics(repeated_keys_total(repeated_keys(silver, rules.unique_key)), "unicidade"),
-        _as_metrics(validity(silver, rules), "validade"),
-        grouped.select(
-            F.lit("hora_nula_pct").alias("verificacao"),
-            F.concat(F.lit("sensivel="), flag).alias("metrica"),
-            F.col("pct_nulos").alias("valor"),
-        ),
-        cardinality(counts).select(
-            F.lit("cardinalidade").alias("verificacao"),
-            F.col("coluna").alias("metrica"),
-            F.col("distintos").cast("double").alias("valor"),
-        ),
-        variants.groupBy("coluna").agg(F.count("*").cast("double").alias("valor")).select(
-            F.lit("grafias").alias("verificacao"), F.col("coluna").alias("metrica"), "valor"
-        ),
+        _metrics(literals.toDF(*(f"sentinelas/{c}" for c in literals.columns))),
+        _metrics(silver.agg(*(n.alias(name) for name, n in ungrouped.items()))),
+        _metrics(repeated.toDF(*(f"unicidade/{c}" for c in repeated.columns))),
+        per_column(counts, "cardinalidade"),
+        per_column(spelt, "grafias"),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.filter("valor IS NOT NULL")

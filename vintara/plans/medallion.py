@@ -27,6 +27,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Stages whose generated method is too large for the JIT run split instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -26,17 +26,17 @@ def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
 def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their order, customer, region, part and supplier.
 
-    Only nation and region have a fixed size, so only they are hinted; Spark chooses the
-    other joins from file sizes and run-time statistics.
+    No join is hinted: Spark chooses from file sizes and run-time statistics, so a table is
+    broadcast only while it is under the threshold, and a dominant key is split by AQE.
     """
     lineitem, orders, customer, nation, region, part, supplier = tables(
         spark, sf_dir, "lineitem", "orders", "customer", "nation", "region", "part", "supplier"
     )
-    areas = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    areas = nation.join(region, nation.n_regionkey == region.r_regionkey)
     return (
         lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
         .join(customer, orders.o_custkey == customer.c_custkey)
-        .join(F.broadcast(areas), customer.c_nationkey == nation.n_nationkey)
+        .join(areas, customer.c_nationkey == nation.n_nationkey)
         .join(part, lineitem.l_partkey == part.p_partkey)
         .join(supplier, lineitem.l_suppkey == supplier.s_suppkey)
     )
@@ -101,8 +101,8 @@ PARTS = {
     "period": """CASE l_linenumber WHEN 1 THEN 'DE MADRUGADA' WHEN 2 THEN 'Pela manhã'
         WHEN 3 THEN 'A TARDE' WHEN 4 THEN 'a noite' WHEN 5 THEN 'Em hora incerta'
         WHEN 6 THEN '' ELSE 'X' END""",
-    "day_o": "substring(CAST(o_orderdate AS STRING), 1, 10)",
-    "day_l": "substring(CAST(l_shipdate AS STRING), 1, 10)",
+    "day_o": "CAST(CAST(o_orderdate AS DATE) AS STRING)",
+    "day_l": "CAST(CAST(l_shipdate AS DATE) AS STRING)",
 }
 
 
