@@ -195,8 +195,7 @@ def _correlation(s: retail.Star, thresholds: tuple[int, ...]) -> DataFrame:
 
 
 def _correlation_matrix(s: retail.Star) -> DataFrame:
-    pairs = _correlation(s, (20,))
-    return pairs.groupBy("tipo_a").pivot("tipo_b").agg(F.max("r"))
+    return analysis.matrix(_correlation(s, (20,)), "tipo_a", "tipo_b", "r", absent=None)
 
 
 def _grid(s: retail.Star) -> DataFrame:

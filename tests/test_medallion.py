@@ -5,7 +5,7 @@ import csv
 import pytest
 
 from test_star import HEADERS
-from vintara.config import INCIDENT_QUALITY, INCIDENT_STAR, INCIDENTS
+from vintara.config import INCIDENT_QUALITY, INCIDENT_STAR
 from vintara.plans import medallion
 from vintara.sources import tables
 from vintara.sources.landing import Vintage
@@ -86,11 +86,9 @@ def test_a_failing_file_does_not_stop_the_others(spark, schema, landed):
 
 
 def test_layers_and_reports(spark, schema, landed, tmp_path):
-    bronze = f"{schema}.bronze"
-    medallion.ingest(spark, VINTAGES, str(landed), bronze, f"{schema}.control")
-    raw, root = spark.table(bronze), str(tmp_path / "gold")
-    silver = medallion.build_silver(spark, raw, INCIDENTS, "SAO ROQUE", root)
-    gold = medallion.build_gold(spark, silver, INCIDENT_STAR, root)
+    outcome, gold = medallion.run(spark, VINTAGES, str(landed), schema, str(tmp_path / "gold"), "SAO ROQUE")
+    assert states(outcome)[2022] == "processado"
+    raw, silver = spark.table(f"{schema}.bronze"), gold.silver
     assert raw.count() >= silver.count() == gold.fato_ocorrencia.count() == 5
     assert {r.bairro for r in gold.dim_local.collect()} == {"CENTRO", "NÃO INFORMADO"}
     left_over = " OR ".join(f"{c} IN ('NULL', '', '(Vazio)')" for c, t in silver.dtypes if t == "string")

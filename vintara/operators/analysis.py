@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintara.operators.quality import percent
+from vintara.sources.tables import stored
 
 MONTH = "ano_mes_ocorrencia"
 UNDATED = "000000"
@@ -69,15 +70,25 @@ def restricted_to(df: DataFrame, names: DataFrame, name: str) -> DataFrame:
 
 
 def matrix(
-    df: DataFrame, index: str, column: str, value: str, columns: Sequence | None = None
+    df: DataFrame,
+    index: str,
+    column: str,
+    value: str,
+    columns: Sequence | None = None,
+    absent: float | None = 0,
 ) -> DataFrame:
-    """Wide form for presentation: one row per index, one column per value, absent = 0.
+    """Wide form for presentation: one row per index, one column per value.
 
-    Without ``columns`` the values are read first, under ``spark.sql.pivotMaxValues``.
+    Without ``columns`` the values are read first, under ``spark.sql.pivotMaxValues``; the
+    long form is stored for that, so what it is made from is computed once.
     """
-    grouped = df.groupBy(index)
-    wide = grouped.pivot(column, list(columns)) if columns is not None else grouped.pivot(column)
-    return wide.agg(F.sum(value)).na.fill(0)
+    if columns is None:
+        df = stored(df, "matrix")
+        wide = df.groupBy(index).pivot(column)
+    else:
+        wide = df.groupBy(index).pivot(column, list(columns))
+    cells = wide.agg(F.sum(value))
+    return cells if absent is None else cells.na.fill(absent)
 
 
 def place_rank_shift(by_year: DataFrame) -> DataFrame:

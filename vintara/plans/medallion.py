@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vintara.config import CleaningRules, QualityRules, StarRules
+from vintara.config import INCIDENT_STAR, INCIDENTS, CleaningRules, QualityRules, StarRules
 from vintara.operators import analysis, conform, correlation, quality, star
 from vintara.sources import control as log
 from vintara.sources import landing, tables
@@ -168,6 +168,29 @@ def refresh_months(
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{month}` = '{value}')")
 
 
+def run(
+    spark: SparkSession,
+    vintages: Iterable[landing.Vintage],
+    landing_root: str,
+    schema: str,
+    root: str,
+    city: str,
+    cleaning: CleaningRules = INCIDENTS,
+    star_rules: StarRules = INCIDENT_STAR,
+    fmt: str = "csv",
+) -> tuple[DataFrame, Star]:
+    """The scheduled job: load what changed, then rebuild Silver and the star schema.
+
+    Returns the load outcome per vintage and the persisted layers; the reports take the
+    layers from there.
+    """
+    tables.ensure_schema(spark, schema)
+    bronze, control = f"{schema}.bronze", f"{schema}._controle_coleta"
+    outcome = ingest(spark, vintages, landing_root, bronze, control, fmt)
+    silver = build_silver(spark, spark.table(bronze), cleaning, city, root)
+    return outcome, build_gold(spark, silver, star_rules, root)
+
+
 def quality_report(raw: DataFrame, star_: Star, rules: QualityRules) -> dict[str, DataFrame]:
     """Every quality check by name; nothing runs until a result is read."""
     silver = star_.silver

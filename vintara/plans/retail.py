@@ -6,23 +6,51 @@ mean the same in Spark SQL and in other SQL engines.
 
 from __future__ import annotations
 
+import functools
 import uuid
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintara.config import INCIDENT_STAR, INCIDENTS
 from vintara.plans.medallion import Star, build_gold, build_silver
-from vintara.sources.tables import ensure_schema, replace_key, save_table, shared_folder
+from vintara.sources.tables import ensure_schema, replace_key, save_table, shared_folder, spread
+
+T = TypeVar("T")
 
 # Fixed value: the region that plays the part of the city.
 CITY = "AMERICA"
 
 
+def once_per_application(make: Callable[..., T]) -> Callable[..., T]:
+    """Remember a result per application and arguments.
+
+    For frames this saves listing files and reading footers again; no rows are kept.
+    """
+    known: dict[tuple, T] = {}
+
+    @functools.wraps(make)
+    def remembered(spark: SparkSession, *args: str) -> T:
+        key = (spark.sparkContext.applicationId, *args)
+        if key not in known:
+            known[key] = make(spark, *args)
+        return known[key]
+
+    return remembered
+
+
+@once_per_application
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
-    return [spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names]
+    return [table(spark, sf_dir, n) for n in names]
 
 
+@once_per_application
 def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their order, customer, region, part and supplier.
 
@@ -32,6 +60,7 @@ def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem, orders, customer, nation, region, part, supplier = tables(
         spark, sf_dir, "lineitem", "orders", "customer", "nation", "region", "part", "supplier"
     )
+    lineitem = spread(lineitem, "l_orderkey")
     areas = nation.join(region, nation.n_regionkey == region.r_regionkey)
     return (
         lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
@@ -106,6 +135,7 @@ PARTS = {
 }
 
 
+@once_per_application
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bound raw table: every year under the union of all headers, all strings."""
     expressions = {name: text.format(**PARTS) for name, text in RAW.items()}
@@ -161,9 +191,7 @@ def delivery_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_layers: dict[tuple[str, str], Star] = {}
-
-
+@once_per_application
 def layers(spark: SparkSession, sf_dir: str) -> Star:
     """Silver and the star schema of the bound tables, written once per application.
 
@@ -171,12 +199,9 @@ def layers(spark: SparkSession, sf_dir: str) -> Star:
     repeating the joins and the cleaning. They lie in a shared folder, so a lost executor
     costs a re-read, not a rebuild.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _layers:
-        root = shared_folder(spark, "star")
-        silver = build_silver(spark, raw(spark, sf_dir), INCIDENTS, CITY, root)
-        _layers[key] = build_gold(spark, silver, INCIDENT_STAR, root)
-    return _layers[key]
+    root = shared_folder(spark, "star")
+    silver = build_silver(spark, raw(spark, sf_dir), INCIDENTS, CITY, root)
+    return build_gold(spark, silver, INCIDENT_STAR, root)
 
 
 def replaced_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:

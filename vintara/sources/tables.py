@@ -45,6 +45,24 @@ def clustered(df: DataFrame, key: str) -> DataFrame:
     return df.hint("rebalance", quoted(key))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give a scan with fewer splits than the cluster has cores one task per core.
+
+    A file with one row group is one task however many cores wait. Such an input is small,
+    so moving it is cheap. A scan with enough splits, as any large table has, is returned
+    unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a result to the shared folder and read it back: computed once, kept on loss."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_layer(df: DataFrame, path: str, partition_by: str | None = None, *, cluster: bool = False) -> None:
     """Full overwrite of a Parquet path, optionally partitioned.
 
