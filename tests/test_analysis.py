@@ -129,9 +129,10 @@ def pandas_correlation(cells, threshold):
     return len(kept), kept.corr()
 
 
-@pytest.mark.parametrize("block", [1 << 22, 7])
-def test_correlation_agrees_with_pandas(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "tile"), [(1 << 22, 1024), (7, 2)])
+def test_correlation_agrees_with_pandas(spark, monkeypatch, block, tile):
     monkeypatch.setattr(correlation, "BLOCK_CELLS", block)
+    monkeypatch.setattr(correlation, "TILE", tile)
     rng = np.random.default_rng(3)
     kinds_ = ["T1", "É", "t-3", "T4", "T5", "same"]
     cells = [
@@ -164,7 +165,7 @@ def test_correlation_of_one_place_is_null(spark):
 
 
 def test_correlation_needs_no_package_on_the_workers():
-    shipped = cloudpickle.dumps(correlation._partial_products(10))
+    shipped = cloudpickle.dumps(correlation._partial_products(10, 10))
     code = "import sys, pyspark.cloudpickle as c; list(c.loads(sys.stdin.buffer.read())([]))"
     subprocess.run([sys.executable, "-c", code], input=shipped, cwd="/", timeout=60, check=True)
 

@@ -8,8 +8,8 @@ from vintara.sources import control, landing, tables
 
 
 def test_headers_are_cleaned_and_named_by_position():
-    names = ["COD IBGE", " A;B ", None, "", "_c4", "NOME (X)"]
-    assert landing.clean_headers(names) == ["COD_IBGE", "A_B", "_col2", "_col3", "_col4", "NOME__X_"]
+    names = ["COD IBGE", " A;B ", None, "", "NOME (X)"]
+    assert landing.clean_headers(names) == ["COD_IBGE", "A_B", "_col2", "_col3", "NOME__X_"]
 
 
 def test_colliding_headers_are_an_error():
@@ -35,6 +35,24 @@ def test_csv_sheet_is_all_strings(spark, tmp_path):
     assert [tuple(r) for r in df.collect()] == [("001", "0", 'a "q", b'), (None, "NULL", "x")]
 
 
+def test_csv_headers_that_repeat_or_differ_between_files_are_errors(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "p.csv").write_text("A,B,A\n1,2,3\n")
+    with pytest.raises(ValueError, match="collide"):
+        landing.read_sheet(spark, str(tmp_path / "a"))
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "p0.csv").write_text("A,B\n1,2\n")
+    (tmp_path / "b" / "p1.csv").write_text("B,A\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        landing.read_sheet(spark, str(tmp_path / "b")).collect()
+
+
+def test_csv_with_an_unnamed_column(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("A,,C D\n1,2,3\n")
+    df = landing.read_sheet(spark, str(tmp_path))
+    assert df.columns == ["A", "_col1", "C_D"] and [tuple(r) for r in df.collect()] == [("1", "2", "3")]
+
+
 def test_inventory_and_manifest(spark, tmp_path):
     for sheet, size in (("S1", 10), ("S2", 5)):
         folder = tmp_path / "f_2022" / sheet

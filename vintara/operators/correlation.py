@@ -16,7 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PAIR_SCHEMA = "limiar bigint, tipo_a string, tipo_b string, produto double"
+
+# Memory of a task: cells of a dense block of places, and types per tile of the product.
 BLOCK_CELLS = 1 << 22
+TILE = 1024
 
 
 def place_profiles(cells: DataFrame, thresholds: Sequence[int]) -> DataFrame:
@@ -37,13 +40,29 @@ def place_profiles(cells: DataFrame, thresholds: Sequence[int]) -> DataFrame:
     )
 
 
-def _partial_products(block_cells: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _partial_products(block_cells: int, tile: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Task function: sums of n_a * n_b over the places of each Arrow batch.
 
     Built as closures, which travel to the Python workers by value, so executors need
     numpy and pyarrow but not this package.
     """
 
+    def pairs(limiar: int, names: np.ndarray, dense: np.ndarray, left: int, right: int) -> pa.RecordBatch:
+        """Products of two tiles of columns, each unordered pair of types once."""
+        sums = dense[:, left : left + tile].T @ dense[:, right : right + tile]
+        a, b = np.nonzero(np.triu(sums) if left == right else sums)
+        first, second = names[a + left], names[b + right]
+        ordered = first <= second
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(len(a), limiar, dtype=np.int64)),
+                pa.array(np.where(ordered, first, second), pa.string()),
+                pa.array(np.where(ordered, second, first), pa.string()),
+                pa.array(sums[a, b]),
+            ],
+            names=["limiar", "tipo_a", "tipo_b", "produto"],
+        )
+
     def products(limiar: int, types: pa.Array, counts: pa.Array) -> Iterator[pa.RecordBatch]:
         flat = types.flatten().dictionary_encode()
         names = np.asarray(flat.dictionary.to_pylist(), dtype=object)
@@ -58,19 +77,9 @@ def _partial_products(block_cells: int) -> Callable[[Iterator[pa.RecordBatch]],
             cells = slice(ends[start], ends[stop])
             dense = np.zeros((stop - start, len(names)))
             dense[row[cells] - start, column[cells]] = value[cells]
-            sums = dense.T @ dense
-            a, b = np.nonzero(sums)
-            ordered = names[a] <= names[b]
-            a, b = a[ordered], b[ordered]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(a), limiar, dtype=np.int64)),
-                    pa.array(names[a], pa.string()),
-                    pa.array(names[b], pa.string()),
-                    pa.array(sums[a, b]),
-                ],
-                names=["limiar", "tipo_a", "tipo_b", "produto"],
-            )
+            for left in range(0, len(names), tile):
+                for right in range(left, len(names), tile):
+                    yield pairs(limiar, names, dense, left, right)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,7 +101,7 @@ def type_correlation(cells: DataFrame, thresholds: Sequence[int] = (20,)) -> Dat
     """
     profiles = place_profiles(cells, thresholds)
     products = (
-        profiles.mapInArrow(_partial_products(BLOCK_CELLS), PAIR_SCHEMA)
+        profiles.mapInArrow(_partial_products(BLOCK_CELLS, TILE), PAIR_SCHEMA)
         .groupBy("limiar", "tipo_a", "tipo_b")
         .agg(F.sum("produto").alias("produto"))
     )

@@ -7,6 +7,7 @@ mean the same in Spark SQL and in other SQL engines.
 from __future__ import annotations
 
 import functools
+import threading
 import uuid
 from collections.abc import Callable
 from typing import TypeVar
@@ -30,13 +31,15 @@ def once_per_application(make: Callable[..., T]) -> Callable[..., T]:
     For frames this saves listing files and reading footers again; no rows are kept.
     """
     known: dict[tuple, T] = {}
+    lock = threading.Lock()
 
     @functools.wraps(make)
     def remembered(spark: SparkSession, *args: str) -> T:
         key = (spark.sparkContext.applicationId, *args)
-        if key not in known:
-            known[key] = make(spark, *args)
-        return known[key]
+        with lock:
+            if key not in known:
+                known[key] = make(spark, *args)
+            return known[key]
 
     return remembered
 
