@@ -294,6 +294,7 @@ def queries() -> dict[str, Query]:
         "dominant_type": _on_star(lambda s: analysis.dominant_type(_by_type(s))),
         "year_month_trend": _on_star(_months),
         "partial_year_compare": _on_star(lambda s: analysis.same_months(_months(s), 4)),
+        "covered_months_compare": _on_star(lambda s: analysis.same_months(_months(s))),
         "annual_totals": _on_star(lambda s: analysis.annual_totals(_months(s))),
         "partial_year_normalised": _on_star(lambda s: analysis.projected_totals(_months(s))),
         "placetype_type": _on_star(_by_placetype),

@@ -428,6 +428,11 @@ QUERIES: dict[str, str] = {
     "partial_year_compare": of_star(
         "SELECT ano, CAST(sum(total) AS BIGINT) AS total FROM trend WHERE mes <= 4 GROUP BY ano", TREND
     ),
+    "covered_months_compare": of_star(
+        """SELECT ano, CAST(sum(total) AS BIGINT) AS total FROM trend WHERE mes <= (
+        SELECT max(mes) FROM trend WHERE ano = (SELECT max(ano) FROM trend)) GROUP BY ano""",
+        TREND,
+    ),
     "annual_totals": of_star(
         """SELECT ano, CAST(sum(total) AS BIGINT) AS total, ano = (SELECT max(ano) FROM trend) AS parcial
         FROM trend GROUP BY ano""",

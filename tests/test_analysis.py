@@ -88,6 +88,7 @@ def test_time_questions(spark, small):
     assert [tuple(r) for r in analysis.by_month(months).collect()] == [(1, 3), (2, 1), (5, 1), (6, 1)]
     assert [tuple(r) for r in analysis.same_months(months, 4).collect()] == [(2023, 1), (2024, 3)]
     assert [tuple(r) for r in analysis.same_months(months.filter("mes > 4"), 4).collect()] == []
+    assert [tuple(r) for r in analysis.same_months(months).collect()] == [(2023, 1), (2024, 4)]
     assert [tuple(r) for r in analysis.annual_totals(months).collect()] == [(2023, 2, False), (2024, 4, True)]
     projected = [tuple(r) for r in analysis.projected_totals(months).collect()]
     assert projected == [(2023, 2, 12, 2.0, False), (2024, 4, 5, 9.6, True)]

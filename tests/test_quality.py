@@ -73,7 +73,7 @@ def test_missing_by_group_has_a_null_group(spark):
 
 
 def test_cardinality_counts_null_as_a_value(spark, rows):
-    df = table(spark, "x string, y string", ("a", "k"), ("b", "k"), (None, "k"), ("a", "k"))
+    df = table(spark, "x string, y int", ("a", 1), ("b", 1), (None, 1), ("a", 1))
     assert rows(quality.cardinality(quality.value_counts(df, ["x", "y"]))) == [("x", 3), ("y", 1)]
 
 

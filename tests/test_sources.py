@@ -179,3 +179,15 @@ def test_shared_folder_follows_the_session(tmp_path):
     given = [tables.shared_folder(session(f"{tmp_path}/"), "star") for _ in range(2)]
     assert all(f.startswith(f"{tmp_path}/star-") for f in given) and given[0] != given[1]
     assert "vintara-" in tables.shared_folder(session(None), "star")
+
+
+def test_spread_moves_only_scans_with_fewer_splits_than_cores(spark):
+    few, many = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, 64)
+    assert tables.spread(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert tables.spread(many, "id") is many
+
+
+def test_stored_result_reads_back_unchanged(spark, rows):
+    df = spark.sql("SELECT 1 AS `A B`, '000000' AS m UNION ALL SELECT NULL, NULL")
+    back = tables.stored(df, "test")
+    assert rows(back) == rows(df) and back.dtypes == df.dtypes

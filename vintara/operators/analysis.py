@@ -191,9 +191,16 @@ def by_period(fact: DataFrame) -> DataFrame:
     )
 
 
-def same_months(months: DataFrame, last_month: int) -> DataFrame:
-    """Like-for-like totals of January to ``last_month`` in every year."""
-    covered = months.filter(F.col("mes") <= last_month)
+def same_months(months: DataFrame, last_month: int | None = None) -> DataFrame:
+    """Like-for-like totals of January to ``last_month`` in every year.
+
+    Without ``last_month``, the months the newest year covers so far.
+    """
+    if last_month is None:
+        limit = months.agg(F.max_by("mes", F.struct("ano", "mes"))).scalar()
+    else:
+        limit = F.lit(last_month)
+    covered = months.filter(F.col("mes") <= limit)
     return covered.groupBy("ano").agg(F.sum("total").alias("total")).orderBy("ano")
 
 

@@ -121,7 +121,7 @@ def missing_by_group(
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows per (column, value) for several string columns: one scan and one shuffle.
+    """Rows per (column, value as text) for several columns: one scan and one shuffle.
 
     Frequent values collapse before the shuffle, so a dominant one costs a single row per
     task. Nulls are kept as a value. Feeds ``cardinality`` and ``spelling_variants``.
@@ -129,7 +129,8 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     The filter drops nothing: it keeps the count in every consumer's plan, so that all of
     them have the same aggregate and Spark shares its one scan and shuffle.
     """
-    long = df.select(*columns).unpivot([], list(columns), "coluna", "valor")
+    values = df.select(*(quoted(c).cast("string").alias(c) for c in columns))
+    long = values.unpivot([], list(columns), "coluna", "valor")
     return long.groupBy("coluna", "valor").agg(F.count("*").alias("linhas")).filter("linhas > 0")
 
 
