@@ -246,6 +246,8 @@ def queries() -> dict[str, Query]:
         "dim_tipo": dim_tipo,
         "fato": fato,
         "fato_by_join": fato_by_join,
+        "silver_updated_by_month": lambda spark, sf_dir: retail.updated_by_month(spark, sf_dir)[0],
+        "fato_updated_by_month": lambda spark, sf_dir: retail.updated_by_month(spark, sf_dir)[1],
         "fk_report": _on_star(lambda s: star.foreign_key_report(s.fato_ocorrencia)),
         "partition_counts": _on_star(lambda s: star.partition_counts(s.fato_ocorrencia)),
         "layer_counts": layer_counts,

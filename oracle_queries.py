@@ -329,6 +329,8 @@ QUERIES: dict[str, str] = {
     "dim_tipo": of_star("SELECT * FROM dim_tipo"),
     "fato": of_star("SELECT * FROM fato"),
     "fato_by_join": of_star("SELECT * FROM fato"),
+    "silver_updated_by_month": of_silver("SELECT * FROM silver"),
+    "fato_updated_by_month": of_star("SELECT * FROM fato"),
     "fk_report": of_star("""SELECT count(*) FILTER (id_local IS NULL) AS id_local_nulo,
         count(*) FILTER (id_tipo_ocorrencia IS NULL) AS id_tipo_nulo,
         count(*) FILTER (id_data IS NULL) AS id_data_nulo, count(*) AS total FROM fato"""),

@@ -112,6 +112,30 @@ def test_month_refresh_replaces_only_those_months(spark, schema, rows):
     assert rows(spark.table(table)) == [("x2", "202201"), ("z", "202203")]
 
 
+def test_update_carries_over_other_files_and_empties_months(spark, schema, rows):
+    table = f"{schema}.s"
+    columns = "a string, _arquivo_origem string, ano_mes_ocorrencia string"
+
+    def frame(*data):
+        return spark.createDataFrame(list(data), columns)
+
+    tables.save_table(
+        frame(("1", "f1", "202201"), ("2", "f2", "202201"), ("3", "f1", "202202"), ("4", "f2", "202203")),
+        table,
+        "ano_mes_ocorrencia",
+    )
+    fresh = frame(("5", "f1", "202204"), ("6", "f1", "202201"))
+    months = medallion.update_silver(spark, table, fresh, ["f1"])
+    assert months == ["202201", "202202", "202204"]
+    expected = [("2", "f2", "202201"), ("4", "f2", "202203"), ("5", "f1", "202204"), ("6", "f1", "202201")]
+    assert rows(spark.table(table)) == expected
+    assert medallion.update_silver(spark, table, fresh, ["f1"]) == ["202201", "202204"]
+    assert rows(spark.table(table)) == expected
+    assert medallion.update_silver(spark, table, fresh.limit(0), ["f1"]) == ["202201", "202204"]
+    assert rows(spark.table(table)) == expected[:2]
+    assert medallion.update_silver(spark, table, fresh.limit(0), ["f9"]) == []
+
+
 def test_colliding_keys_stop_the_build(spark, tmp_path, monkeypatch):
     from pyspark.sql import functions as F
 

@@ -152,22 +152,58 @@ def _month_last(schema: T.StructType, month: str) -> T.StructType:
 
 
 def refresh_months(
-    spark: SparkSession, silver: DataFrame, table: str, months: Iterable[str], month: str = "ano_mes_ocorrencia"
+    spark: SparkSession, rows: DataFrame, table: str, months: Iterable[str], month: str = "ano_mes_ocorrencia"
 ) -> None:
-    """Replace only the given month partitions of a table by the matching rows.
+    """Make ``rows`` the only rows of the given month partitions of a table.
 
-    A month left without rows is dropped from the table.
+    Other months are not read or written; a month left without rows is dropped.
     """
     touched = sorted(set(months))
-    rows = silver.filter(F.col(month).isin(*touched))
-    filled = {r[0] for r in rows.select(month).distinct().collect()}
+    wanted = rows.filter(F.col(month).isin(*touched))
+    filled = {r[0] for r in wanted.select(month).distinct().collect()}
     if filled:
-        tables.replace_partitions(spark, table, rows)
+        tables.replace_partitions(spark, table, tables.clustered(wanted, month))
     for value in touched:
         if value not in filled:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{month}` = '{value}')")
 
 
+def update_silver(
+    spark: SparkSession, table: str, fresh: DataFrame, files: Iterable[str], month: str = "ano_mes_ocorrencia"
+) -> list[str]:
+    """Bring new versions of some yearly files into a Silver table, month by month.
+
+    ``fresh`` holds the Silver rows of those files only. A month is rewritten when the old or
+    the new version of a file has rows in it; its rows from other files are carried over, so
+    no other raw file is read. Returns the rewritten months. The swap at commit makes it
+    safe to read the table that is being updated.
+    """
+    names = list(files)
+    new = tables.stored(fresh, "fresh")
+    current = spark.table(table)
+    replaced = F.col("_arquivo_origem").isin(*names)
+    touched = new.select(month).union(current.filter(replaced).select(month)).distinct()
+    months = sorted(r[0] for r in touched.collect())
+    if months:
+        kept = current.filter(F.col(month).isin(*months) & ~replaced)
+        refresh_months(spark, kept.unionByName(new), table, months, month)
+    return months
+
+
+def update_fact(
+    spark: SparkSession, table: str, silver: DataFrame, rules: StarRules, months: Iterable[str]
+) -> None:
+    """Rewrite the fact rows of the given months from Silver.
+
+    Keys depend on the natural key alone, so the rows of other months stay valid.
+    """
+    wanted = list(months)
+    if wanted:
+        changed = silver.filter(F.col("ano_mes_ocorrencia").isin(*wanted))
+        rows = star.fact(star.with_natural_keys(changed, rules), rules)
+        refresh_months(spark, rows, table, wanted)
+
+
 def run(
     spark: SparkSession,
     vintages: Iterable[landing.Vintage],
