@@ -235,7 +235,7 @@ def replaced_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     replace_key(spark, table, of("1997"), key, "1997")
     replace_key(spark, table, of("1998").filter("SITUACAO = 'F'").drop("CANAL"), key, "1998")
-    replace_key(spark, table, of("1996").filter("SITUACAO IS NULL"), key, "1996")
+    replace_key(spark, table, of("1996").filter(F.lit(False)), key, "1996")
     last = orders.agg(F.max(F.year("o_orderdate"))).first()[0]
     replace_key(spark, table, of(str(last)), key, str(last))
     return spark.table(table)
