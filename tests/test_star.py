@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from vintara.config import INCIDENT_FIELDS, INCIDENT_STAR, INCIDENTS
 from vintara.operators import conform, star
+from vintara.sources.landing import union_by_name
 
 # The header of each era, in file order.
 COMMON = "NOME_DEPARTAMENTO NOME_SECCIONAL NOME_DELEGACIA"
@@ -28,8 +29,6 @@ def raw(spark, era, **cells):
 
 
 def silver(spark, *cells, city="S.PAULO", era="2025"):
-    from vintara.sources.landing import union_by_name
-
     return conform.to_silver(union_by_name(raw(spark, era, **c) for c in cells), INCIDENTS, city)
 
 
@@ -46,8 +45,6 @@ def test_every_era_gives_the_same_silver(spark, era):
 
 
 def test_silver_of_a_union_of_eras(spark):
-    from vintara.sources.landing import union_by_name
-
     wide = union_by_name(raw(spark, e, NUM_BO=e) for e in HEADERS)
     got = conform.to_silver(wide, INCIDENTS, "S.PAULO")
     assert sorted(r.num_bo for r in got.collect()) == sorted(HEADERS)
@@ -61,12 +58,9 @@ def test_city_filter_ignores_case_accents_and_blanks_and_drops_null(spark):
 
 def test_city_spellings_per_sheet(spark, rows):
     names = ["SÃO ROQUE ", "sao roque", "sao roque", "OUTRA", None]
-    df = silver_input = None
-    from vintara.sources.landing import union_by_name
-
     df = union_by_name(raw(spark, "2025", NOME_MUNICIPIO=n) for n in names)
-    silver_input = conform.city_spellings(df, ("CIDADE", "NOME_MUNICIPIO"), "SAO ROQUE")
-    assert rows(silver_input) == [("2022", "g", 3, "SÃO ROQUE ", 1), ("2022", "g", 3, "sao roque", 2)]
+    found = conform.city_spellings(df, ("CIDADE", "NOME_MUNICIPIO"), "SAO ROQUE")
+    assert rows(found) == [("2022", "g", 3, "SÃO ROQUE ", 1), ("2022", "g", 3, "sao roque", 2)]
     none = conform.city_spellings(df, ("CIDADE", "NOME_MUNICIPIO"), "LUGAR")
     assert rows(none) == [("2022", "g", 3, None, None)]
 
@@ -126,6 +120,16 @@ def test_calendar(spark):
     assert (sunday.ano, sunday.mes, sunday.dia, sunday.trimestre) == (2024, 1, 7, 1)
 
 
+def test_undated_rows_may_have_a_member_of_their_own(spark):
+    g = keyed(spark, {"DATA_OCORRENCIA_BO": "2024-01-07"}, {"DATA_OCORRENCIA_BO": "NULL"})
+    calendar = star.dim_date(g, INCIDENT_STAR, undated_key=0)
+    rows = star.fact(g, INCIDENT_STAR, undated_key=0)
+    assert {(r.id_data, r.data) for r in calendar.collect()} == {(20240107, dt.date(2024, 1, 7)), (0, None)}
+    assert rows.join(calendar, "id_data").count() == 2
+    assert star.foreign_key_report(rows).first().id_data_nulo == 0
+    assert star.foreign_key_report(star.fact(g, INCIDENT_STAR)).first().id_data_nulo == 1
+
+
 def test_dense_calendar_fills_gaps(spark):
     df = silver(spark, {"DATA_OCORRENCIA_BO": "2024-02-27"}, {"DATA_OCORRENCIA_BO": "2024-03-02"})
     got = [r.data for r in star.dense_calendar(df, INCIDENT_STAR).orderBy("data").collect()]

@@ -143,7 +143,7 @@ def dominant_type(by_place_type: DataFrame) -> DataFrame:
 
 
 def by_weekday(fact: DataFrame, calendar: DataFrame) -> DataFrame:
-    days = fact.groupBy("id_data").agg(F.count("*").alias("n"))
+    days = _dated(fact).groupBy("id_data").agg(F.count("*").alias("n"))
     names = calendar.select("id_data", "dia_semana_nome", "dia_semana_num")
     return (
         days.join(names, "id_data")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vintara.config import StarRules
 from vintara.functions.keys import surrogate_key
@@ -56,10 +57,18 @@ def _calendar_columns(day: DataFrame, rules: StarRules) -> DataFrame:
     )
 
 
-def dim_date(silver: DataFrame, rules: StarRules) -> DataFrame:
-    """Calendar of the days that occur in the data."""
+def dim_date(silver: DataFrame, rules: StarRules, undated_key: int | None = None) -> DataFrame:
+    """Calendar of the days that occur in the data.
+
+    With ``undated_key`` it has one more row, of nulls, for fact rows without a date.
+    """
     days = silver.select(F.col("dt_ocorrencia_bo").alias("data")).filter("data IS NOT NULL")
-    return _calendar_columns(days.distinct(), rules)
+    calendar = _calendar_columns(days.distinct(), rules)
+    if undated_key is None:
+        return calendar
+    empty = [undated_key] + [None] * (len(calendar.columns) - 1)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in calendar.schema])
+    return calendar.unionByName(silver.sparkSession.createDataFrame([tuple(empty)], schema))
 
 
 def dense_calendar(silver: DataFrame, rules: StarRules) -> DataFrame:
@@ -94,11 +103,12 @@ def dim_type(keyed: DataFrame, rules: StarRules) -> DataFrame:
     return kinds.select(surrogate_key(*rules.type_keys).alias("id_tipo_ocorrencia"), *rules.type_keys)
 
 
-def _fact_columns(df: DataFrame) -> DataFrame:
+def _fact_columns(df: DataFrame, undated_key: int | None) -> DataFrame:
+    day = day_key(F.col("dt_ocorrencia_bo"))
     return df.select(
         "num_bo",
         "ano_bo",
-        day_key(F.col("dt_ocorrencia_bo")).alias("id_data"),
+        (day if undated_key is None else F.coalesce(day, F.lit(undated_key))).alias("id_data"),
         "id_local",
         "id_tipo_ocorrencia",
         *FACT_ATTRIBUTES,
@@ -106,10 +116,10 @@ def _fact_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def fact(keyed: DataFrame, rules: StarRules) -> DataFrame:
+def fact(keyed: DataFrame, rules: StarRules, undated_key: int | None = None) -> DataFrame:
     """Fact rows with keys computed from the row itself: no join and no shuffle.
 
-    Equals ``fact_from_dimensions`` for dimensions keyed by ``surrogate_key``.
+    Undated rows have a null date key, or ``undated_key``. Equals ``fact_from_dimensions`` for dimensions keyed by ``surrogate_key``.
     """
     return _fact_columns(
         keyed.withColumns(
@@ -117,12 +127,17 @@ def fact(keyed: DataFrame, rules: StarRules) -> DataFrame:
                 "id_local": surrogate_key("bairro_norm"),
                 "id_tipo_ocorrencia": surrogate_key(*rules.type_keys),
             }
-        )
+        ),
+        undated_key,
     )
 
 
 def fact_from_dimensions(
-    keyed: DataFrame, places: DataFrame, kinds: DataFrame, rules: StarRules
+    keyed: DataFrame,
+    places: DataFrame,
+    kinds: DataFrame,
+    rules: StarRules,
+    undated_key: int | None = None,
 ) -> DataFrame:
     """Fact rows with keys looked up in given dimensions, whatever made their keys.
 
@@ -134,7 +149,7 @@ def fact_from_dimensions(
     place_ids = places.select("id_local", F.col("bairro").alias("bairro_norm"))
     kind_ids = kinds.select("id_tipo_ocorrencia", *rules.type_keys)
     joined = keyed.join(place_ids, "bairro_norm", "left").join(kind_ids, list(rules.type_keys), "left")
-    return _fact_columns(joined)
+    return _fact_columns(joined, undated_key)
 
 
 def foreign_key_report(fact_df: DataFrame) -> DataFrame:
