@@ -27,6 +27,18 @@ from vintara.plans import retail  # noqa: E402
 from vintara.sources import control as log  # noqa: E402
 from vintara.sources import landing  # noqa: E402
 
+try:  # the corpus operators are optional
+    import corpus_pipeline
+    from vintara.llm import oracles as llm_oracles
+    from vintara.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "vintara.llm"):
+        raise
+    LLM, LLM_SQL = {}, {}
+else:
+    LLM = llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    LLM_SQL = llm_oracles.SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+
 MEMBER = INCIDENT_STAR.member
 THRESHOLDS = (20, 1900, 2100, 1_000_000)
 GRID_STEP = 0.05
@@ -316,9 +328,11 @@ def queries() -> dict[str, Query]:
         "events_by_weekday": events_by_weekday,
         "events_by_month": events_by_month,
         "events_trend": events_trend,
+        **LLM,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """``file_inventory`` has none: file sizes are not visible through the table views."""
-    return {name: ORACLE[name] for name in queries() if name in ORACLE}
+    stated = ORACLE | LLM_SQL
+    return {name: stated[name] for name in queries() if name in stated}
