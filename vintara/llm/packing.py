@@ -107,7 +107,7 @@ def _pieces(path: str, length: int, separator: int):
                     rows.append((piece, start // 4, len(part) // 4, zlib.crc32(part)))
             kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             made = zip(*rows, strict=True) if rows else [[]] * 4
-            taken = batch.take(pa.array(at, pa.int64()))
+            taken = batch.select(carried).take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [*(taken[c] for c in carried), *(pa.array(x, k) for x, k in zip(made, kinds, strict=True))],
                 [*carried, "piece", "start", "length", "ids_crc32"],

@@ -54,7 +54,7 @@ def _digests(unit_words: int):
                         rows.append((hashlib.blake2b(normal, digest_size=16).digest(), start, end, n))
             kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64()]
             made = zip(*rows, strict=True) if rows else [[]] * 4
-            taken = batch.take(pa.array(at, pa.int64()))
+            taken = batch.select(carried).take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [*(taken[c] for c in carried), *(pa.array(x, k) for x, k in zip(made, kinds, strict=True))],
                 [*carried, "digest", "start", "end", "n_words"],
