@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -19,12 +20,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from vintara.llm.common import documents, texts
+from vintara.llm.common import documents, texts, tidy
 
-#: Words, and pairs of tokens, that a worker process remembers.
-REMEMBERED = 1_000_000
+#: Words, and pairs of tokens, that a worker process remembers. A word is remembered once it has come
+#: up in two portions of text; most come up in one only.
+REMEMBERED, MARKS = 300_000, 1 << 22
 #: Characters of text that a task encodes at once.
-AT_ONCE = 1_000_000
+AT_ONCE = 3_000_000
 NEVER = np.int64(1 << 62)
 
 
@@ -53,10 +55,10 @@ class Merges:
         at = np.minimum(np.searchsorted(self.key, pair), len(self.key) - 1)
         return np.where(self.key[at] == pair, self.rank[at], NEVER)
 
-    def __call__(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each word, none of them empty."""
+    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, none of them empty, one after the other, and where those of each end."""
         if not words:
-            return []
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         data = np.frombuffer(b"".join(words), np.uint8)
         ends = np.cumsum([len(w) for w in words])
         ids = self.single[data]
@@ -93,14 +95,37 @@ class Merges:
         owner = np.concatenate([o for o, _ in done])
         ids = np.concatenate([i for _, i in done])
         order = np.argsort(owner, kind="stable")
-        return np.split(ids[order], np.cumsum(np.bincount(owner, minlength=len(words)))[:-1])
-
-
-def packed(ids: list[list[int]]) -> Iterator[bytes]:
-    """Each list as little-endian unsigned 32-bit integers."""
-    ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) * 4
-    flat = np.fromiter((i for x in ids for i in x), np.uint32).astype("<u4").tobytes()
-    return (flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)) if ids else iter(())
+        return ids[order], np.cumsum(np.bincount(owner, minlength=len(words)))
+
+
+def packed(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """The ids up to each end as little-endian unsigned 32-bit integers."""
+    flat, stops = ids.astype("<u4").tobytes(), (ends * 4).tolist()
+    return [flat[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)] if stops else []
+
+
+class Remembered:
+    """What words of a text stand for, learnt a portion at a time."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, bytes] = {}
+        self.marks = bytearray(MARKS)
+
+    def portion(self, words: set[str], learn: Callable[[list[str]], list[bytes]]) -> dict[str, bytes]:
+        """A dictionary that has all of ``words``, until the next call."""
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        new = [w for w in words if w not in self.known]
+        if not new:
+            return self.known
+        made = dict(zip(new, learn(new), strict=True))
+        marks, known = self.marks, self.known
+        again = [w for w in new if marks[hash(w) % MARKS]]
+        for w in new:
+            marks[hash(w) % MARKS] = 1
+        out = made | {w: known[w] for w in words if w in known}
+        known.update((w, made[w]) for w in again)
+        return out
 
 
 class ByteEncoder:
@@ -118,11 +143,12 @@ class ByteEncoder:
         self.merges = Merges(vocabulary, spec["model"]["merges"])
         self.split = regex.compile(public_tokenizers.PATTERN)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        whole = self.merges(list(self.token))
-        self.alone = {i for i, ids in zip(self.token.values(), whole, strict=True) if len(ids) == 1 and ids[0] == i}
+        ids, ends = self.merges(list(self.token))
+        one = np.diff(ends, prepend=0) == 1
+        self.alone = {i for i, x, y in zip(self.token.values(), one, ids[ends - 1].tolist(), strict=True) if x and i == y}
         self.pairs = np.zeros(0, np.int64)  # those checked, ascending
         self.good = np.zeros(0, bool)
-        self.words: dict[str, bytes] = {}
+        self.words = Remembered()
 
     def proposed(self, word: bytes) -> list[int]:
         """Greedy longest match."""
@@ -144,9 +170,11 @@ class ByteEncoder:
         else:
             fresh = np.unique(pairs)
         if len(fresh):
-            left, right = (fresh >> 32).tolist(), (fresh & 0xFFFFFFFF).tolist()
-            merged = self.merges([self.bytes_of[a] + self.bytes_of[b] for a, b in zip(left, right, strict=True)])
-            good = np.array([len(m) == 2 and m[0] == a and m[1] == b for m, a, b in zip(merged, left, right, strict=True)], bool)
+            left, right = fresh >> 32, fresh & 0xFFFFFFFF
+            both = zip(left.tolist(), right.tolist(), strict=True)
+            ids, ends = self.merges([self.bytes_of[a] + self.bytes_of[b] for a, b in both])
+            starts = ends - np.diff(ends, prepend=0)
+            good = (ends - starts == 2) & (ids[starts] == left) & (ids[ends - 1] == right)
             if len(self.pairs) > REMEMBERED:
                 used = np.isin(self.pairs, pairs)
                 self.pairs, self.good = self.pairs[used], self.good[used]
@@ -155,35 +183,32 @@ class ByteEncoder:
             self.pairs, self.good = both[order], np.concatenate((self.good, good))[order]
         return self.good[np.searchsorted(self.pairs, pairs)]
 
-    def learn(self, words: list[str]) -> None:
-        """Ids of new words, as bytes."""
+    def learn(self, words: list[str]) -> list[bytes]:
+        """The ids of each word."""
         data = [w.encode("utf-8", "surrogatepass") for w in words]
         ids = [self.proposed(w) for w in data]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.int64, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, int(sizes.sum()))
+        ends = np.cumsum(sizes)
         owner = np.repeat(np.arange(len(ids)), sizes)
         inner = np.flatnonzero(owner[1:] == owner[:-1])
         bad = np.zeros(len(ids), bool)
         bad[owner[inner[~self.compatible(flat[inner] << 32 | flat[inner + 1])]]] = True
         bad[[k for k in np.flatnonzero(sizes == 1).tolist() if ids[k][0] not in self.alone]] = True
+        out = packed(flat, ends)
         again = np.flatnonzero(bad).tolist()
-        for k, made in zip(again, self.merges([data[k] for k in again]), strict=True):
-            ids[k] = made.tolist()
-        self.words.update(zip(words, packed(ids), strict=True))
+        for k, made in zip(again, packed(*self.merges([data[k] for k in again])), strict=True):
+            out[k] = made
+        return out
 
     def encode(self, many: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers. A special token's string is that token."""
         cut = [self.marks.split(t) if self.marks else [t] for t in many]
         found = [[self.special[p] if p in self.special else self.split.findall(p) for p in parts if p] for parts in cut]
-        new = {w for parts in found for p in parts if not isinstance(p, int) for w in p}
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        fresh = [w for w in new if w not in self.words]
-        room = self.words
-        if fresh:
-            self.learn(fresh)
+        words = {w for parts in found for p in parts if not isinstance(p, int) for w in p}
+        known = self.words.portion(words, self.learn).__getitem__
         return [
-            b"".join(p.to_bytes(4, "little") if isinstance(p, int) else b"".join(map(room.__getitem__, p)) for p in parts)
+            b"".join(p.to_bytes(4, "little") if isinstance(p, int) else b"".join(map(known, p)) for p in parts)
             for parts in found
         ]
 
@@ -242,7 +267,7 @@ def bpe_round_trip(
     """
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
     return texts(docs, id_column, text_column).mapInArrow(
-        _run(path), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        tidy(_run(path)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
 
 

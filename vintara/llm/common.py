@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +53,16 @@ def texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     )
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task's function that hands its memory back at the end, as the worker process stays for other tasks."""
+
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return whole
+
+
 def nulls_last(column: str) -> Column:
     """A sort key in which a null id ranks behind all others."""
     return F.struct(F.col(column).isNull().alias("absent"), F.col(column).alias("id"))

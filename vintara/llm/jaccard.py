@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vintara.llm.common import components, documents, nulls_last, texts, with_rows, written
+from vintara.llm.common import components, documents, nulls_last, texts, tidy, with_rows, written
 
 WIDTH = 5
 #: Smallest set that can link with another than its equal; smallest set of a band, times BAND, is that of the next.
@@ -153,7 +153,7 @@ def shingle_sets(rows: DataFrame) -> tuple[DataFrame, int]:
     kept = [f for f in rows.schema.fields if f.name != "text"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
     for seed in range(100):
-        sets = written(rows.mapInArrow(_sets(seed), f"{schema}, n_shingles long, node long, digest binary"), "sets")
+        sets = written(rows.mapInArrow(tidy(_sets(seed)), f"{schema}, n_shingles long, node long, digest binary"), "sets")
         seen = sets.where("n_shingles > 0").groupBy("node", "digest").count().groupBy("node").count()
         if seen.where("count > 1").isEmpty():
             return sets.drop("digest"), seed
@@ -199,7 +199,7 @@ def _first_links(seed: int):
 
 def first_links(rows: DataFrame, seed: int) -> DataFrame:
     """Pairs (``a`` > ``b``) that connect the nodes of every bucket."""
-    found = rows.select("text").mapInArrow(_first_links(seed), "key long, node long, other long")
+    found = rows.select("text").mapInArrow(tidy(_first_links(seed)), "key long, node long, other long")
     least = F.min("node").over(Window.partitionBy("key"))
     links = found.withColumn("other", F.coalesce("other", least)).where("node <> other")
     return links.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
@@ -223,7 +223,7 @@ def remaining_links(bodies: DataFrame) -> DataFrame:
     A key costs as many comparisons as its bucket has nodes, or none if all are of one component.
     A node leaves out its dearest keys, as many as the pigeonhole can spare.
     """
-    found = written(bodies.mapInArrow(_all_keys, "key long, node long, root long, band long, spare long"), "keys")
+    found = written(bodies.mapInArrow(tidy(_all_keys), "key long, node long, root long, band long, spare long"), "keys")
     mixed = found.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.count("*").alias("cost"))
     shared = written(found.join(mixed.where("r <> s").select("key", "cost"), "key"), "shared-keys")
     dearest = Window.partitionBy("node", "band").orderBy(F.desc("cost"), "key")
@@ -263,7 +263,7 @@ def verified(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     near = 100 * F.least("n_a", "n_b") >= 80 * F.greatest("n_a", "n_b")
     sized = pairs.join(x.drop("text_a"), "a").join(y.drop("text_b"), "b").where(near).select("a", "b")
     both = sized.join(x, "a").join(y, "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(_verify, "a long, b long")
+    return both.mapInArrow(tidy(_verify), "a long, b long")
 
 
 def jaccard_join(

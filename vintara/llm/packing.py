@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from vintara.llm.bpe import REMEMBERED, Merges, packed, portions
-from vintara.llm.common import documents, texts, written
+from vintara.llm.bpe import Merges, Remembered, packed, portions
+from vintara.llm.common import documents, texts, tidy, written
 
 LENGTH = 4096
 SEPARATOR = 1
@@ -53,7 +53,7 @@ class Encoder:
         self.tokenizer.no_padding()
         self.merges = Merges(spec["model"]["vocab"], spec["model"]["merges"], spec["model"]["end_of_word_suffix"])
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        self.words: dict[str, bytes] = {}
+        self.words = Remembered()
 
     def _cut(self, word: str) -> list[str] | None:
         """The parts of a word, or None if it is left to the library."""
@@ -62,27 +62,24 @@ class Encoder:
         low = word.lower()
         return [low] if low.isalpha() else self.split.findall(low)
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: list[str]) -> list[bytes]:
+        """The ids of each word."""
         cut = [self._cut(w) for w in words]
         parts = list({p for x in cut if x for p in x})
-        made = (x.tolist() for x in self.merges([p.encode() for p in parts]))
-        known = dict(zip(parts, packed(list(made)), strict=True))
+        known = dict(zip(parts, packed(*self.merges([p.encode() for p in parts])), strict=True))
+        out = []
         for word, x in zip(words, cut, strict=True):
             if x is None:
                 ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-                self.words[word] = np.array(ids, "<u4").tobytes()
+                out.append(np.array(ids, "<u4").tobytes())
             else:
-                self.words[word] = known[x[0]] if len(x) == 1 else b"".join(map(known.__getitem__, x))
+                out.append(known[x[0]] if len(x) == 1 else b"".join(map(known.__getitem__, x)))
+        return out
 
     def ids(self, many: list[str]) -> Iterator[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
         found = [t.replace("\n", " ").split(" ") for t in many]
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        new = [w for w in {w for x in found for w in x} if w not in self.words]
-        if new:
-            self.learn(new)
-        known = self.words.__getitem__
+        known = self.words.portion({w for x in found for w in x}, self.learn).__getitem__
         return (b"".join(map(known, x)) for x in found)
 
 
@@ -265,7 +262,7 @@ def best_fit_packing(
     kept = [f for f in rows.schema.fields if f.name != "text"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
     made = rows.mapInArrow(
-        _pieces(path, length, separator), f"{schema}, piece int, start long, length long, ids_crc32 long"
+        tidy(_pieces(path, length, separator)), f"{schema}, piece int, start long, length long, ids_crc32 long"
     )
     made = written(made.withColumn("__n", F.monotonically_increasing_id()), "pieces")
     counts = made.groupBy("length").count().toArrow()
@@ -284,7 +281,7 @@ def best_fit_packing(
     plan = planned(histogram, length)
     held = docs.sparkSession.sparkContext.broadcast((plan.length, plan.rank, plan.sequence, plan.offset))
     return ranked.mapInArrow(
-        _dealt(plan, held),
+        tidy(_dealt(plan, held)),
         f"{schema}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long",
     )
 

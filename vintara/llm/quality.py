@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintara.llm.common import documents, texts, with_rows, written
+from vintara.llm.common import documents, texts, tidy, with_rows, written
 
 ORDER, BITS = 4, 6
 CLASSES = 1 << BITS
@@ -98,7 +98,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def gram_counts(docs: DataFrame) -> DataFrame:
     """``gram``, ``n`` over all texts; each task adds up its own before they move."""
-    return docs.select("text").mapInArrow(_count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(tidy(_count), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 @dataclass(frozen=True)
@@ -210,7 +210,7 @@ def scored(docs: DataFrame, model: Model, *carried: str) -> DataFrame:
             names = [*plain, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "log_ppl"]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in plain), *new], names)
 
-    return docs.mapInArrow(score, f"{schema}, {BASE}, log_ppl double")
+    return docs.mapInArrow(tidy(score), f"{schema}, {BASE}, log_ppl double")
 
 
 def bands(scores: DataFrame, width: float = BAND) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from vintara.llm.common import documents, nulls_last, texts, with_rows, written
+from vintara.llm.common import documents, nulls_last, texts, tidy, with_rows, written
 
 #: Words of a sentence that ends a unit, of the smallest unit looked at, and of the smallest run
 #: of adjacent repeated units that is cut: a stock phrase of one sentence stays.
@@ -84,7 +84,7 @@ def repeated_units(
     rows = rows.select("*", *row)
     kept = [f for f in rows.schema.fields if f.name != "text"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    found = rows.mapInArrow(_digests(unit_words), f"{schema}, digest binary, start long, end long, n_words long")
+    found = rows.mapInArrow(tidy(_digests(unit_words)), f"{schema}, digest binary, start long, end long, n_words long")
     found = written(found, "units")
     place = F.struct(nulls_last("doc_id").alias("doc"), F.col("start"), F.col("__row"))
     first = found.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("copies")).where("copies > 1")
@@ -123,7 +123,7 @@ def without_units(rows: DataFrame, cut: DataFrame, text_column: str = "text") ->
     held = rows.withColumnRenamed(text_column, "__text").join(spans, "__row", "left")
     kept = [f for f in held.schema.fields if f.name not in ("__text", "__spans")]
     schema = T.StructType([*kept, T.StructField("__clean", T.StringType())])
-    return held.mapInArrow(_without, schema).withColumnRenamed("__clean", text_column)
+    return held.mapInArrow(tidy(_without), schema).withColumnRenamed("__clean", text_column)
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from vintara.llm.common import documents, texts
+from vintara.llm.common import documents, texts, tidy
 
 #: Bytes that are encoded together; a text is parted where it has more characters than PART.
 BATCH_BYTES, PART = 1 << 20, 1 << 16
@@ -91,7 +91,7 @@ def token_counts(
     path = tokenizer or public_tokenizers.path("piece_bpe_32k.model")
     rows = texts(docs, id_column, text_column)
     rows = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
-    counts = rows.mapInArrow(_run(path), "doc_id long, n_bytes long, n_tokens long")
+    counts = rows.mapInArrow(tidy(_run(path)), "doc_id long, n_bytes long, n_tokens long")
     return counts.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
