@@ -11,4 +11,20 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d
 FROM d JOIN g USING (t)
 """
 
-SQL = {"op2_exact_dedup": OP2}
+# The fixed alphabet of base32.
+OP6 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+g AS (SELECT payload, max(page_id) AS keep_id FROM p GROUP BY payload),
+d AS (
+  SELECT p.page_id, p.payload, g.keep_id, unhex(sha1(p.payload))::BIT::VARCHAR AS bits
+  FROM p JOIN g USING (payload))
+SELECT page_id, octet_length(payload) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(
+         [substr(bits, 5 * k + j + 1, 1)::BIGINT * (16 >> j::INT) for j in range(5)])::BIGINT, 1)
+         for k in range(32)], '') AS payload_digest,
+       CASE WHEN page_id = keep_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> keep_id THEN keep_id END AS refers_to
+FROM d
+"""
+
+SQL = {"op2_exact_dedup": OP2, "op6_warc": OP6}
