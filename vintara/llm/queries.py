@@ -7,6 +7,7 @@ from vintara.llm.packing import op4_best_fit_packing
 from vintara.llm.quality import op10_quality_rules
 from vintara.llm.substring import op3_substring_dedup
 from vintara.llm.tokens import op1_token_counts
+from vintara.llm.toxicity import op9_toxicity
 from vintara.llm.warc import op6_warc
 
 QUERIES = {
@@ -19,6 +20,7 @@ QUERIES = {
         op5_ngram_jaccard_join,
         op6_warc,
         op8_bpe_round_trip,
+        op9_toxicity,
         op10_quality_rules,
     )
 }
