@@ -14,6 +14,23 @@ from pyspark.sql import functions as F
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
+#: Tables written so far by this driver.
+TABLES: list[str] = []
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables of this driver that nothing reads any more."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        TABLES.remove(path)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Let Spark's cleaner, which waits for the driver to collect its garbage, delete the shuffles of finished jobs."""
+    spark._jvm.System.gc()
+
+
 def shared_path(spark: SparkSession, purpose: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which all machines of a cluster share.
 
@@ -37,6 +54,7 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = shared_path(df.sparkSession, purpose)
     df.write.parquet(path)
+    TABLES.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

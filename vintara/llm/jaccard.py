@@ -19,13 +19,14 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vintara.llm.common import components, documents, nulls_last, texts, tidy, with_rows, written
+from vintara.llm.common import components, documents, nulls_last, sweep, texts, tidy, with_rows, written
 
 WIDTH = 5
 #: Smallest set that can link with another than its equal; smallest set of a band, times BAND, is that of the next.
@@ -266,6 +267,26 @@ def verified(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     return both.mapInArrow(tidy(_verify), "a long, b long")
 
 
+def _maybe(marks: DataFrame):
+    """A filter for rows whose mark may be among ``marks``: a bitmap of 2 ** 24 bits, however many they are."""
+    spark = marks.sparkSession
+    found = marks.select((F.pmod("x_mark", F.lit(1 << 24)) + 1).alias("bit"))
+    parts = found.groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
+    )
+    bits = np.zeros(1 << 21, np.uint8)
+    for r in parts.collect():  # at most 512 rows of 4 KB
+        bits[(r["part"] - 1) << 12 : r["part"] << 12] = np.frombuffer(r["bits"], np.uint8)
+    held = spark.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def maybe(mark: pd.Series) -> pd.Series:
+        at = mark.to_numpy() % (1 << 24)
+        return pd.Series((held.value[at >> 3] >> (at & 7) & 1).astype(bool))
+
+    return maybe
+
+
 def jaccard_join(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", carry: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -281,12 +302,14 @@ def jaccard_join(
     rows = texts(docs, id_column, text_column, *carry)
     sets, seed = shingle_sets(rows.select("doc_id", *carry, mark, "text"))
     links = written(first_links(rows, seed), "first-links")
+    sweep(docs.sparkSession)
     # one document of each node that is in a link, with its text
     nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     chosen = sets.join(nodes, "node", "left_semi").groupBy("node", "n_shingles")
     chosen = chosen.agg(F.min(F.struct(nulls_last("doc_id").alias("id"), "__mark")).alias("x"))
     chosen = chosen.select("node", "n_shingles", F.col("x.id.id").alias("x_id"), F.col("x.__mark").alias("x_mark"))
-    source = rows.select("doc_id", "text", mark)
+    chosen = written(chosen, "chosen")
+    source = rows.select("doc_id", "text", mark).where(_maybe(chosen)("__mark"))
     there = source["doc_id"].eqNullSafe(chosen["x_id"]) & (source["__mark"] == chosen["x_mark"])
     bodies = source.join(chosen, there).select("node", "n_shingles", "text")
     bodies = written(bodies.dropDuplicates(["node"]), "bodies")
