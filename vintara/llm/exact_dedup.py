@@ -38,6 +38,10 @@ def _blocks(normal: Column, size: int) -> Column:
     )
 
 
+def _addresses(blocks: Column, where: Address, seed: int) -> Column:
+    return F.transform(blocks, lambda block: where(block, seed))
+
+
 def _named(distinct: DataFrame, *sort: str) -> DataFrame:
     """Distinct rows in sorted order with an integer for each, the partition's number in front."""
     return distinct.sortWithinPartitions(*sort).withColumn("name", F.monotonically_increasing_id())
@@ -52,7 +56,7 @@ def _block_names(rows: DataFrame, size: int, seeds: Iterable[int], where: Addres
     """
     blocks = _blocks(F.col("normal"), size)
     for seed in seeds:
-        at = rows.withColumn("at", F.transform(blocks, lambda x, s=seed: where(x, s))).drop("normal")
+        at = rows.withColumn("at", _addresses(blocks, where, seed)).drop("normal")
         spine = written(at.withColumn("row", F.monotonically_increasing_id()), "blocks")
         distinct = rows.select(F.explode(blocks).alias("block")).distinct()
         names = _named(distinct, "block").select(where(F.col("block"), seed).alias("at"), "name")
