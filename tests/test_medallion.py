@@ -85,6 +85,16 @@ def test_a_failing_file_does_not_stop_the_others(spark, schema, landed):
     assert {r.ano: r.motivo for r in again.collect()}[2022] == "novo"
 
 
+def test_nothing_is_published_after_a_failed_load(spark, schema, landed, tmp_path):
+    root = str(tmp_path / "gold")
+    before = medallion.run(spark, VINTAGES, str(landed), schema, root, "são roque")[1].silver.count()
+    (landed / VINTAGES[0].file / "S2" / "part.csv").write_text("A B,A=B\n1,2\n1,2\n", encoding="utf-8")
+    with pytest.raises(RuntimeError, match="not published"):
+        medallion.run(spark, VINTAGES, str(landed), schema, root, "SAO ROQUE")
+    assert before == 5
+    assert spark.read.parquet(f"{root}/silver").count() == before
+
+
 def test_layers_and_reports(spark, schema, landed, tmp_path):
     outcome, gold = medallion.run(spark, VINTAGES, str(landed), schema, str(tmp_path / "gold"), "SAO ROQUE")
     assert states(outcome)[2022] == "processado"

@@ -173,21 +173,54 @@ def test_clustering_splits_a_dominant_key(spark, tmp_path):
 
 
 def test_shared_folder_follows_the_session(tmp_path):
-    def session(value):
-        return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: value))
+    def session(value, master="local[2]"):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda name, default: value), sparkContext=SimpleNamespace(master=master)
+        )
 
     given = [tables.shared_folder(session(f"{tmp_path}/"), "star") for _ in range(2)]
     assert all(f.startswith(f"{tmp_path}/star-") for f in given) and given[0] != given[1]
     assert "vintara-" in tables.shared_folder(session(None), "star")
-
-
-def test_spread_moves_only_scans_with_fewer_splits_than_cores(spark):
-    few, many = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, 64)
-    assert tables.spread(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert tables.spread(many, "id") is many
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        tables.shared_folder(session(None, "spark://host:7077"), "star")
 
 
 def test_stored_result_reads_back_unchanged(spark, rows):
     df = spark.sql("SELECT 1 AS `A B`, '000000' AS m UNION ALL SELECT NULL, NULL")
     back = tables.stored(df, "test")
     assert rows(back) == rows(df) and back.dtypes == df.dtypes
+
+
+def sheet(tmp_path, *files):
+    folder = tmp_path / "sheet"
+    folder.mkdir()
+    for n, text in enumerate(files):
+        (folder / f"part-{n}.csv").write_text(text, encoding="utf-8")
+    return str(folder)
+
+
+def test_csv_cells_may_hold_line_breaks(spark, tmp_path, rows):
+    path = sheet(tmp_path, 'A,B\n1,2\n"x\ny",7\n')
+    assert rows(landing.read_sheet(spark, path)) == [("1", "2"), ("x\ny", "7")]
+
+
+@pytest.mark.parametrize("ragged", ["3,4,5", "6"])
+def test_csv_rows_of_another_width_are_an_error(spark, tmp_path, ragged):
+    path = sheet(tmp_path, f"A,B\n1,2\n{ragged}\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        landing.read_sheet(spark, path).select("A").collect()
+
+
+def test_csv_headers_are_compared_although_one_has_no_name(spark, tmp_path):
+    path = sheet(tmp_path, "A,,B\n1,2,3\n", "B,,A\n1,2,3\n")
+    with pytest.raises(ValueError, match="another header"):
+        landing.read_sheet(spark, path)
+
+
+def test_headers_that_differ_by_case_are_one_column(spark, schema, rows):
+    with pytest.raises(ValueError, match="collide"):
+        landing.clean_headers(["BAIRRO", "Bairro"])
+    table = f"{schema}.drift"
+    tables.replace_key(spark, table, spark.sql("SELECT 'a' AS BAIRRO"), "k", "1")
+    tables.replace_key(spark, table, spark.sql("SELECT 'b' AS Bairro"), "k", "2")
+    assert rows(spark.table(table)) == [("a", "1"), ("b", "2")]

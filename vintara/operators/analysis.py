@@ -66,7 +66,7 @@ def leading(df: DataFrame, name: str, value: str, k: int) -> DataFrame:
 
 def restricted_to(df: DataFrame, names: DataFrame, name: str) -> DataFrame:
     """Rows whose name is in a list from ``leading``, which has at most ``k`` rows."""
-    return df.join(F.broadcast(names), name, "left_semi")
+    return df.join(names, name, "left_semi")
 
 
 def matrix(

@@ -52,8 +52,8 @@ def clean_column(field: Field, rules: CleaningRules) -> Column:
 
 
 def keep_city(df: DataFrame, rules: CleaningRules, city: str) -> DataFrame:
-    """Rows whose normalised city equals ``city``; a null city is dropped."""
-    return df.filter(normalise(F.col(rules.city_column)) == city)
+    """Rows whose city equals ``city``, both normalised; a null city is dropped."""
+    return df.filter(normalise(F.col(rules.city_column)) == normalise(F.lit(city)))
 
 
 def to_silver(raw: DataFrame, rules: CleaningRules, city: str) -> DataFrame:

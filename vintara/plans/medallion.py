@@ -218,11 +218,15 @@ def run(
     """The scheduled job: load what changed, then rebuild Silver and the star schema.
 
     Returns the load outcome per vintage and the persisted layers; the reports take the
-    layers from there.
+    layers from there. A missing file is skipped; if a present one fails to load, the others
+    are loaded and nothing is published.
     """
     tables.ensure_schema(spark, schema)
     bronze, control = f"{schema}.bronze", f"{schema}._controle_coleta"
     outcome = ingest(spark, vintages, landing_root, bronze, control, fmt)
+    failed = [r.arquivo for r in outcome.where("situacao = 'falha'").collect()]
+    if failed:
+        raise RuntimeError(f"not published, as loading failed for {failed}; the older layers are as they were")
     silver = build_silver(spark, spark.table(bronze), cleaning, city, root)
     return outcome, build_gold(spark, silver, star_rules, root)
 
@@ -249,7 +253,7 @@ def quality_report(raw: DataFrame, star_: Star, rules: QualityRules) -> dict[str
     }
 
 
-def analysis_report(star_: Star, rules: StarRules, last_month: int = 4) -> dict[str, DataFrame]:
+def analysis_report(star_: Star, rules: StarRules, last_month: int | None = None) -> dict[str, DataFrame]:
     """Every analytical answer by name; nothing runs until a result is read."""
     fact, places, kinds = star_.fato_ocorrencia, star_.dim_local, star_.dim_tipo_ocorrencia
     by_year = analysis.place_year(fact, places, rules.member)

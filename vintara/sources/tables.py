@@ -20,9 +20,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for tables that must outlive an executor.
 
     It lies under ``spark.checkpoint.dir``, the folder all machines of a cluster share.
-    Only where that is unset, as in a local test, a temporary folder stands in.
+    Where that is unset a local session gets a temporary folder; any other is refused.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="vintara-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="vintara-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -45,17 +49,6 @@ def clustered(df: DataFrame, key: str) -> DataFrame:
     return df.hint("rebalance", quoted(key))
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a scan with fewer splits than the cluster has cores one task per core.
-
-    A file with one row group is one task however many cores wait. Such an input is small,
-    so moving it is cheap. A scan with enough splits, as any large table has, is returned
-    unchanged, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write a result to the shared folder and read it back: computed once, kept on loss."""
     path = shared_folder(df.sparkSession, purpose)
@@ -92,17 +85,20 @@ def save_table(df: DataFrame, table: str, partition_by: str | None = None, *, cl
 
 def widen_table(spark: SparkSession, table: str, df: DataFrame) -> None:
     """Add the columns of ``df`` that the table lacks; old rows read them as null."""
-    have = set(spark.table(table).columns)
-    new = [f for f in df.schema.fields if f.name not in have]
+    have = {c.casefold() for c in spark.table(table).columns}
+    new = [f for f in df.schema.fields if f.name.casefold() not in have]
     if new:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
 
 
 def in_table_order(spark: SparkSession, table: str, df: DataFrame) -> DataFrame:
-    """Columns of ``df`` by name in the order of the table, absent ones null."""
+    """Columns of ``df`` by name, whatever its case, in the order of the table; absent ones null."""
+    own = {c.casefold(): c for c in df.columns}
     fields = spark.table(table).schema.fields
-    return df.select(*(column_or_null(df, f.name).cast(f.dataType).alias(f.name) for f in fields))
+    return df.select(
+        *(column_or_null(df, own.get(f.name.casefold(), f.name)).cast(f.dataType).alias(f.name) for f in fields)
+    )
 
 
 @contextmanager
