@@ -174,6 +174,23 @@ def test_close_lines(spark):
         assert sum(r.kept for r in got) == len(set(root))
 
 
+def test_lines_that_share_most_of_their_letters(spark):
+    start, end = "the same start of very many lines " * 2, " and the same end of all of them" * 2
+    rng = random.Random(3)
+    marks = sorted({"".join(rng.choices("0123", k=rng.randint(5, 6))) for _ in range(60)})
+    rows = [(i, f"{start}{m}{end}") for i, m in enumerate(marks)]
+    near = lambda a, b: sum(x != y for x, y in zip(a, b, strict=True)) <= 1 if len(a) == len(b) else (
+        any(b[:k] + b[k + 1 :] == a for k in range(len(b))) if len(a) < len(b) else near(b, a))
+    root = list(range(len(marks)))
+    for a, b in combinations(range(len(marks)), 2):
+        if near(marks[a], marks[b]):
+            low, high = sorted((root[a], root[b]))
+            root = [low if x == high else x for x in root]
+    assert 1 < len(set(root)) < len(root)
+    got = line_dedup.line_dedup(table(spark, rows)).collect()
+    assert {(r.doc_id, r.keep_doc_id) for r in got} == set(enumerate(root))
+
+
 def test_warc(spark):
     rows = [(1, "http://A.example.com:80/x?q=1#f", "<p>é</p>"), (2, "https://b.example.com/", "<p>é</p>"), (3, None, None),
             (4, "http://[bad", ""), (None, "http://a/\r\nX: 1", "\r\n\r\nWARC/1.1\r\n\r\n"), (2, "https://b.example.com/", "<p>é</p>")]
