@@ -141,6 +141,10 @@ def _on_star(question: Callable[[retail.Star], DataFrame]) -> Query:
     return lambda spark, sf_dir: question(retail.layers(spark, sf_dir))
 
 
+def _on_updated(question: Callable[[retail.Star], DataFrame]) -> Query:
+    return lambda spark, sf_dir: question(retail.updated_by_month(spark, sf_dir))
+
+
 # --- quality ------------------------------------------------------------------------
 
 
@@ -202,12 +206,20 @@ def _months(s: retail.Star) -> DataFrame:
     return analysis.year_month(s.fato_ocorrencia)
 
 
+def _years(s: retail.Star) -> list[int]:
+    return analysis.values_of(_months(s), "ano")
+
+
+def _types(s: retail.Star) -> list[str]:
+    return analysis.values_of(s.dim_tipo_ocorrencia, "natureza_apurada")
+
+
 def _correlation(s: retail.Star, thresholds: tuple[int, ...]) -> DataFrame:
     return _rounded(correlation.type_correlation(_by_type(s), thresholds), "r")
 
 
 def _correlation_matrix(s: retail.Star) -> DataFrame:
-    return analysis.matrix(_correlation(s, (20,)), "tipo_a", "tipo_b", "r", absent=None)
+    return analysis.matrix(_correlation(s, (20,)), "tipo_a", "tipo_b", "r", _types(s), absent=None)
 
 
 def _grid(s: retail.Star) -> DataFrame:
@@ -258,8 +270,17 @@ def queries() -> dict[str, Query]:
         "dim_tipo": dim_tipo,
         "fato": fato,
         "fato_by_join": fato_by_join,
-        "silver_updated_by_month": lambda spark, sf_dir: retail.updated_by_month(spark, sf_dir)[0],
-        "fato_updated_by_month": lambda spark, sf_dir: retail.updated_by_month(spark, sf_dir)[1],
+        "silver_updated_by_month": _on_updated(lambda s: s.silver),
+        "fato_updated_by_month": _on_updated(lambda s: s.fato_ocorrencia),
+        "dim_data_updated": _on_updated(lambda s: s.dim_data),
+        "dim_local_updated": _on_updated(
+            lambda s: _rounded(s.dim_local, "latitude_centroide", "longitude_centroide")
+        ),
+        "dim_tipo_updated": _on_updated(lambda s: s.dim_tipo_ocorrencia),
+        "top_places_after_update": _on_updated(
+            lambda s: analysis.top_places(s.fato_ocorrencia, s.dim_local, MEMBER)
+        ),
+        "fk_report_after_update": _on_updated(lambda s: star.foreign_key_report(s.fato_ocorrencia)),
         "fk_report": _on_star(lambda s: star.foreign_key_report(s.fato_ocorrencia)),
         "partition_counts": _on_star(lambda s: star.partition_counts(s.fato_ocorrencia)),
         "layer_counts": layer_counts,
@@ -293,7 +314,7 @@ def queries() -> dict[str, Query]:
         "top10_place_year": _on_star(lambda s: _top_by_year(s, 10)),
         "top3_place_year": _on_star(lambda s: _top_by_year(s, 3)),
         "top10_place_year_matrix": _on_star(
-            lambda s: analysis.matrix(_top_by_year(s, 10), "bairro", "ano", "total_ocorrencias")
+            lambda s: analysis.matrix(_top_by_year(s, 10), "bairro", "ano", "total_ocorrencias", _years(s))
         ),
         "place_rank_shift": _on_star(lambda s: analysis.place_rank_shift(_by_year(s))),
         "by_weekday": _on_star(lambda s: analysis.by_weekday(s.fato_ocorrencia, s.dim_data)),
@@ -303,7 +324,7 @@ def queries() -> dict[str, Query]:
         "place_type": _on_star(_by_type),
         "top5_place_type": _on_star(lambda s: _top_by_type(s, 5)),
         "top5_place_type_matrix": _on_star(
-            lambda s: analysis.matrix(_top_by_type(s, 5), "bairro", "natureza_apurada", "total")
+            lambda s: analysis.matrix(_top_by_type(s, 5), "bairro", "natureza_apurada", "total", _types(s))
         ),
         "dominant_type": _on_star(lambda s: analysis.dominant_type(_by_type(s))),
         "year_month_trend": _on_star(_months),
@@ -314,7 +335,7 @@ def queries() -> dict[str, Query]:
         "placetype_type": _on_star(_by_placetype),
         "placetype_type_matrix": _on_star(
             lambda s: analysis.matrix(
-                _by_placetype(s), "descr_tipolocal", "natureza_apurada", "total_ocorrencias"
+                _by_placetype(s), "descr_tipolocal", "natureza_apurada", "total_ocorrencias", _types(s)
             )
         ),
         "placetype_covered_total": _on_star(lambda s: analysis.covered_total(_by_placetype(s))),

@@ -436,8 +436,8 @@ QUERIES: dict[str, str] = {
         TREND,
     ),
     "annual_totals": of_star(
-        """SELECT ano, CAST(sum(total) AS BIGINT) AS total, ano = (SELECT max(ano) FROM trend) AS parcial
-        FROM trend GROUP BY ano""",
+        """SELECT ano, CAST(sum(total) AS BIGINT) AS total,
+        (ano = (SELECT max(ano) FROM trend) AND max(mes) < 12) AS parcial FROM trend GROUP BY ano""",
         TREND,
     ),
     "partial_year_normalised": of_star(
@@ -475,6 +475,16 @@ QUERIES: dict[str, str] = {
         GRID,
         "mean AS (SELECT avg(total) AS mu FROM grid)",
     ),
+    # after an update by month every table is as a rebuild leaves it
+    "dim_data_updated": of_star("SELECT * FROM dim_data"),
+    "dim_local_updated": of_star("SELECT * FROM dim_local"),
+    "dim_tipo_updated": of_star("SELECT * FROM dim_tipo"),
+    "top_places_after_update": of_star(f"""SELECT l.bairro, count(*) AS total_ocorrencias
+        FROM fato f JOIN dim_local l ON f.id_local = l.id_local WHERE l.bairro <> '{MEMBER}'
+        GROUP BY l.bairro ORDER BY total_ocorrencias DESC, l.bairro LIMIT 15"""),
+    "fk_report_after_update": of_star("""SELECT count(*) FILTER (id_local IS NULL) AS id_local_nulo,
+        count(*) FILTER (id_tipo_ocorrencia IS NULL) AS id_tipo_nulo,
+        count(*) FILTER (id_data IS NULL) AS id_data_nulo, count(*) AS total FROM fato"""),
     # a second input for the calendar questions
     "events_by_weekday": f"WITH {EVENT_DAYS} {BY_WEEKDAY}",
     "events_by_month": f"""WITH {EVENT_DAYS} SELECT d.mes, count(*) AS total

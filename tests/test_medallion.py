@@ -146,6 +146,31 @@ def test_update_carries_over_other_files_and_empties_months(spark, schema, rows)
     assert medallion.update_silver(spark, table, fresh.limit(0), ["f9"]) == []
 
 
+def test_months_stay_due_until_the_star_is_updated(spark, schema, landed, tmp_path, rows):
+    _, gold = medallion.run(spark, VINTAGES, str(landed), schema, str(tmp_path / "gold"), "SAO ROQUE")
+    month, journal = "ano_mes_ocorrencia", f"{schema}.pending"
+    tables.save_table(gold.silver, f"{schema}.silver", month)
+    tables.save_table(gold.fato_ocorrencia, f"{schema}.fato_ocorrencia", month)
+    medallion.save_dimensions(spark, schema, gold.silver, INCIDENT_STAR)
+
+    # The file of 2025 now has one row, of a new place and in another month.
+    fresh = gold.silver.filter("_arquivo_origem = 'f_2025'").limit(1).selectExpr(
+        *(f"{c}" for c in gold.silver.columns if c not in ("bairro", "dt_ocorrencia_bo", month)),
+        "'Novo' AS bairro", "DATE'2025-05-01' AS dt_ocorrencia_bo", f"'202505' AS {month}",
+    ).select(gold.silver.columns)
+    update = lambda: medallion.update_silver(spark, f"{schema}.silver", fresh, ["f_2025"], journal=journal)
+    due = ["202503", "202505"]
+    assert update() == due
+    # A crash here: Silver alone no longer shows that 202503 had rows of the file.
+    assert update() == due
+    medallion.update_star(spark, schema, spark.table(f"{schema}.silver"), INCIDENT_STAR, due, journal)
+    star = {n: spark.table(f"{schema}.{n}") for n in ("silver", "dim_local", "fato_ocorrencia")}
+    assert star["fato_ocorrencia"].count() == star["silver"].count() == 4
+    named = star["fato_ocorrencia"].join(star["dim_local"], "id_local").groupBy("bairro").count()
+    assert rows(named) == [("CENTRO", 3), ("NOVO", 1)]
+    assert update() == ["202505"]
+
+
 def test_colliding_keys_stop_the_build(spark, tmp_path, monkeypatch):
     from pyspark.sql import functions as F
 

@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintara.operators.quality import percent
-from vintara.sources.tables import stored
 
 MONTH = "ano_mes_ocorrencia"
 UNDATED = "000000"
@@ -69,6 +68,11 @@ def restricted_to(df: DataFrame, names: DataFrame, name: str) -> DataFrame:
     return df.join(names, name, "left_semi")
 
 
+def values_of(df: DataFrame, column: str) -> list:
+    """The distinct values of a column, which become columns of a matrix: as many as its reader can take in."""
+    return [r[0] for r in df.select(column).distinct().orderBy(column).collect()]
+
+
 def matrix(
     df: DataFrame,
     index: str,
@@ -79,14 +83,10 @@ def matrix(
 ) -> DataFrame:
     """Wide form for presentation: one row per index, one column per value.
 
-    Without ``columns`` the values are read first, under ``spark.sql.pivotMaxValues``; the
-    long form is stored for that, so what it is made from is computed once.
+    Pass the ``columns``, best from ``values_of`` a dimension. Without them Spark reads the
+    values first, which evaluates ``df`` once more and stops above ``spark.sql.pivotMaxValues``.
     """
-    if columns is None:
-        df = stored(df, "matrix")
-        wide = df.groupBy(index).pivot(column)
-    else:
-        wide = df.groupBy(index).pivot(column, list(columns))
+    wide = df.groupBy(index).pivot(column, None if columns is None else list(columns))
     cells = wide.agg(F.sum(value))
     return cells if absent is None else cells.na.fill(absent)
 
@@ -205,10 +205,11 @@ def same_months(months: DataFrame, last_month: int | None = None) -> DataFrame:
 
 
 def annual_totals(months: DataFrame) -> DataFrame:
-    """Totals per year; the newest year is flagged as partial."""
+    """Totals per year; the newest year is flagged as partial until it has rows of December."""
     newest = months.agg(F.max("ano")).scalar()
-    totals = months.groupBy("ano").agg(F.sum("total").alias("total"))
-    return totals.withColumn("parcial", F.col("ano") == newest).orderBy("ano")
+    totals = months.groupBy("ano").agg(F.sum("total").alias("total"), F.max("mes").alias("_ultimo_mes"))
+    partial = (F.col("ano") == newest) & (F.col("_ultimo_mes") < 12)
+    return totals.select("ano", "total", partial.alias("parcial")).orderBy("ano")
 
 
 def projected_totals(months: DataFrame) -> DataFrame:

@@ -125,20 +125,12 @@ def build_gold(spark: SparkSession, silver: DataFrame, rules: StarRules, root: s
     The dimensions are checked for key collisions before the fact is written, since the
     fact computes the same keys instead of looking them up.
     """
-    keyed = star.with_natural_keys(silver, rules)
-    frames = {
-        "dim_data": star.dim_date(silver, rules),
-        "dim_local": star.dim_place(keyed),
-        "dim_tipo_ocorrencia": star.dim_type(keyed, rules),
-    }
     stored = {}
-    for name, frame in frames.items():
+    for name, frame in _dimensions(silver, rules).items():
         tables.write_layer(frame, f"{root}/{name}")
         stored[name] = tables.read_layer(spark, f"{root}/{name}", frame.schema)
-    for name, key in (("dim_local", "id_local"), ("dim_tipo_ocorrencia", "id_tipo_ocorrencia")):
-        if not star.key_collisions(stored[name], key).isEmpty():
-            raise ValueError(f"{name}: two members share a key; use fact_from_dimensions with other keys")
-    fact = star.fact(keyed, rules)
+    _refuse_collisions(stored)
+    fact = star.fact(star.with_natural_keys(silver, rules), rules)
     month = "ano_mes_ocorrencia"
     tables.write_layer(fact, f"{root}/fato_ocorrencia", month)
     stored["fato_ocorrencia"] = tables.read_layer(
@@ -147,6 +139,21 @@ def build_gold(spark: SparkSession, silver: DataFrame, rules: StarRules, root: s
     return Star(silver=silver, **stored)
 
 
+def _dimensions(silver: DataFrame, rules: StarRules) -> dict[str, DataFrame]:
+    keyed = star.with_natural_keys(silver, rules)
+    return {
+        "dim_data": star.dim_date(silver, rules),
+        "dim_local": star.dim_place(keyed),
+        "dim_tipo_ocorrencia": star.dim_type(keyed, rules),
+    }
+
+
+def _refuse_collisions(stored: dict[str, DataFrame]) -> None:
+    for name, key in (("dim_local", "id_local"), ("dim_tipo_ocorrencia", "id_tipo_ocorrencia")):
+        if not star.key_collisions(stored[name], key).isEmpty():
+            raise ValueError(f"{name}: two members share a key; use fact_from_dimensions with other keys")
+
+
 def _month_last(schema: T.StructType, month: str) -> T.StructType:
     return T.StructType([f for f in schema if f.name != month] + [schema[month]])
 
@@ -169,7 +176,12 @@ def refresh_months(
 
 
 def update_silver(
-    spark: SparkSession, table: str, fresh: DataFrame, files: Iterable[str], month: str = "ano_mes_ocorrencia"
+    spark: SparkSession,
+    table: str,
+    fresh: DataFrame,
+    files: Iterable[str],
+    month: str = "ano_mes_ocorrencia",
+    journal: str | None = None,
 ) -> list[str]:
     """Bring new versions of some yearly files into a Silver table, month by month.
 
@@ -177,6 +189,10 @@ def update_silver(
     the new version of a file has rows in it; its rows from other files are carried over, so
     no other raw file is read. Returns the rewritten months. The swap at commit makes it
     safe to read the table that is being updated.
+
+    With a ``journal`` (a table name) the months are noted there before the swap, and those
+    noted earlier are returned too, until ``update_star`` has dealt with them: what the old
+    version of a file had cannot be seen in Silver any more once a crash comes in between.
     """
     names = list(files)
     new = tables.stored(fresh, "fresh")
@@ -184,10 +200,16 @@ def update_silver(
     replaced = F.col("_arquivo_origem").isin(*names)
     touched = new.select(month).union(current.filter(replaced).select(month)).distinct()
     months = sorted(r[0] for r in touched.collect())
+    noted = []
+    if journal and spark.catalog.tableExists(journal):
+        noted = [r[0] for r in spark.table(journal).distinct().collect()]
     if months:
+        if journal:
+            note = spark.createDataFrame([(m,) for m in months], "mes string")
+            note.write.mode("append").format("parquet").saveAsTable(journal)
         kept = current.filter(F.col(month).isin(*months) & ~replaced)
         refresh_months(spark, kept.unionByName(new), table, months, month)
-    return months
+    return sorted({*months, *noted})
 
 
 def update_fact(
@@ -204,6 +226,37 @@ def update_fact(
         refresh_months(spark, rows, table, wanted)
 
 
+def save_dimensions(spark: SparkSession, schema: str, silver: DataFrame, rules: StarRules) -> None:
+    """Write the three dimensions of a Silver as tables of a schema and check their keys."""
+    stored = {}
+    for name, frame in _dimensions(silver, rules).items():
+        tables.save_table(frame, f"{schema}.{name}")
+        stored[name] = spark.table(f"{schema}.{name}")
+    _refuse_collisions(stored)
+
+
+def update_star(
+    spark: SparkSession,
+    schema: str,
+    silver: DataFrame,
+    rules: StarRules,
+    months: Iterable[str],
+    journal: str | None = None,
+) -> None:
+    """Bring the star tables of a schema up to date with a Silver that changed in some months.
+
+    The dimensions come first, so that no fact row has a key they lack. Their counts and
+    centres are over all rows, so they are made anew, from the few columns they need. The
+    journal of ``update_silver`` goes last: after a crash the next run repeats all of it.
+    """
+    wanted = list(months)
+    if wanted:
+        save_dimensions(spark, schema, silver, rules)
+        update_fact(spark, f"{schema}.fato_ocorrencia", silver, rules, wanted)
+    if journal:
+        spark.sql(f"DROP TABLE IF EXISTS {journal}")
+
+
 def run(
     spark: SparkSession,
     vintages: Iterable[landing.Vintage],

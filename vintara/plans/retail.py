@@ -6,6 +6,7 @@ mean the same in Spark SQL and in other SQL engines.
 
 from __future__ import annotations
 
+import dataclasses
 import functools
 import threading
 import uuid
@@ -19,7 +20,7 @@ from vintara.config import INCIDENT_STAR, INCIDENTS
 from vintara.functions.typing import month_key
 from vintara.operators.conform import to_silver
 from vintara.operators.star import fact, with_natural_keys
-from vintara.plans.medallion import Star, build_gold, build_silver, update_fact, update_silver
+from vintara.plans.medallion import Star, build_gold, build_silver, save_dimensions, update_silver, update_star
 from vintara.sources.tables import ensure_schema, replace_key, save_table, shared_folder
 
 T = TypeVar("T")
@@ -241,8 +242,8 @@ def replaced_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @once_per_application
-def updated_by_month(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Silver and fact tables after two files changed, updated month by month.
+def updated_by_month(spark: SparkSession, sf_dir: str) -> Star:
+    """Silver and star tables after two files changed, updated month by month.
 
     The tables first hold an older state: the 1997 file with another date of occurrence and
     the 1999 file not yet delivered. Both end as a full rebuild would leave them.
@@ -258,13 +259,14 @@ def updated_by_month(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
     first = first.withColumn(month, month_key(F.col("dt_ocorrencia_bo")))
 
     schema = f"vintara_{uuid.uuid4().hex}"
-    silver_table, fact_table = f"{schema}.silver", f"{schema}.fato_ocorrencia"
+    silver_table, journal = f"{schema}.silver", f"{schema}._meses_pendentes"
     ensure_schema(spark, schema, shared_folder(spark, "update"))
     save_table(first, silver_table, month, cluster=True)
+    save_dimensions(spark, schema, spark.table(silver_table), INCIDENT_STAR)
     keyed = with_natural_keys(spark.table(silver_table), INCIDENT_STAR)
-    save_table(fact(keyed, INCIDENT_STAR), fact_table, month)
+    save_table(fact(keyed, INCIDENT_STAR), f"{schema}.fato_ocorrencia", month)
 
     fresh = silver.filter(F.col("_arquivo_origem").isin(*changed))
-    months = update_silver(spark, silver_table, fresh, changed)
-    update_fact(spark, fact_table, spark.table(silver_table), INCIDENT_STAR, months)
-    return spark.table(silver_table), spark.table(fact_table)
+    months = update_silver(spark, silver_table, fresh, changed, journal=journal)
+    update_star(spark, schema, spark.table(silver_table), INCIDENT_STAR, months, journal)
+    return Star(**{f.name: spark.table(f"{schema}.{f.name}") for f in dataclasses.fields(Star)})
