@@ -240,6 +240,29 @@ def test_quality_rules(docs):
     assert abs(np.exp(logs).sum() - 1) < 1e-3
 
 
+def prose(rng, letters, n):
+    """So many texts of invented words, some words common and most rare."""
+    common = ["".join(rng.choices(letters, k=rng.randint(2, 5))) for _ in range(40)]
+    word = lambda: rng.choice(common) if rng.random() < 0.6 else "".join(rng.choices(common, k=2))
+    return [" ".join(word() for _ in range(rng.randint(80, 200))) for _ in range(n)]
+
+
+def languages_table(spark, rows):
+    return spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
+
+
+def test_copies_do_not_decide_a_band(spark):
+    rng = random.Random(12)
+    rows = [("fr", t) for t in prose(rng, "aeioulnrst", 60)] + [("en", t) for t in prose(rng, "bcdefghoty", 60)]
+    junk = " ".join(w + "***" for w in rows[60][1].split())
+    alone = {r.doc_id: r for r in quality.quality_rules(languages_table(spark, [*rows, ("en", junk)])).collect()}
+    copied = [*rows, ("en", junk), *[("fr", rows[0][1].replace(" ", " \n"))] * 300, *[("en", junk)] * 300]
+    got = {r.doc_id: r for r in quality.quality_rules(languages_table(spark, copied)).collect()}
+    assert sum(r.kept for r in alone.values()) > 100 and len(got) == len(copied)
+    assert all((got[i].kept, got[i].low, got[i].high) == (r.kept, pytest.approx(r.low), pytest.approx(r.high)) for i, r in alone.items())
+    assert all(got[i].kept == got[0].kept for i in range(121, 421))
+
+
 def test_empty_tables(spark, nothing):
     for made in (exact_dedup.exact_dedup, jaccard.jaccard_join, tokens.token_counts, bpe.bpe_round_trip,
                  packing.best_fit_packing, substring.repeated_units, line_dedup.line_dedup, quality.quality_rules):

@@ -15,10 +15,10 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintara.llm.common import documents, texts, tidy, with_rows, written
+from vintara.llm.common import BLANKS, documents, texts, tidy, with_rows, written
 
 ORDER, BITS = 4, 6
 CLASSES = 1 << BITS
@@ -213,9 +213,14 @@ def scored(docs: DataFrame, model: Model, *carried: str) -> DataFrame:
     return docs.mapInArrow(tidy(score), f"{schema}, {BASE}, log_ppl double")
 
 
+def same_text() -> Column:
+    """A digest of what the model sees of ``text``: copies do not count again, in the model or the bands."""
+    return F.md5(F.regexp_replace("text", BLANKS, " ").cast("binary"))
+
+
 def bands(scores: DataFrame, width: float = BAND) -> DataFrame:
-    """``language``, ``low``, ``high`` over all documents that pass the base rules."""
-    usable = scores.where("NOT base_failed")
+    """``language``, ``low``, ``high`` over the distinct texts (``same``) of documents that pass the base rules."""
+    usable = scores.where("NOT base_failed").groupBy("language", "same").agg(F.min("log_ppl").alias("log_ppl"))
     middle = usable.groupBy("language").agg(F.percentile_approx("log_ppl", 0.5, 10_000).alias("middle"))
     off = usable.join(middle, "language").groupBy("language", "middle")
     off = off.agg(F.percentile_approx(F.abs(F.col("log_ppl") - F.col("middle")), 0.5, 10_000).alias("off"))
@@ -235,14 +240,14 @@ def quality_rules(
 
     A document fails the base rules with fewer than 50 words, or if more than half of its words
     are in repeated windows of three. It is kept if it passes them and its perplexity is within
-    its language's band. A null text has no words and fails; a null language is a language of its
+    its language's band. Model and bands are of distinct texts, so that copies weigh no more than one. A null text has no words and fails; a null language is a language of its
     own; an empty table gives an empty result.
     """
     language = F.coalesce(F.col(language_column).cast("string"), F.lit("?")).alias("__language")
-    rows = texts(docs, id_column, text_column, language, *carry)
+    rows = texts(docs, id_column, text_column, language, *carry).withColumn("same", same_text())
     few = F.col("n_words") < MIN_WORDS
     failed = few | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    scores = scored(rows, trained(rows)).withColumn("base_failed", failed)
+    scores = scored(rows, trained(rows.dropDuplicates(["__language", "same"]))).withColumn("base_failed", failed)
     scores = written(scores.withColumnRenamed("__language", "language"), "scores")
     within = F.col("log_ppl").between(F.col("low"), F.col("high"))
     return scores.join(written(bands(scores, width), "bands"), "language", "left").select(
