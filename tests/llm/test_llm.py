@@ -1,7 +1,9 @@
 """The corpus operators against brute force, on small tables with every awkward case."""
 
+import hashlib
 import random
 import zlib
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -263,6 +265,61 @@ def test_copies_do_not_decide_a_band(spark):
     assert all(got[i].kept == got[0].kept for i in range(121, 421))
 
 
+def test_garbled_text_of_any_script_is_rejected(spark):
+    rng = random.Random(13)
+    rows = [(lang, t) for lang, letters in (("el", "αβγδεικλ"), ("ru", "абвгдеик"), ("zh", "的一是不了人我在")) for t in prose(rng, letters, 60)]
+    garbled = {}
+    for lang, first in (("el", 0x3B1), ("ru", 0x430), ("zh", 0x4E00)):  # of letters of the same parity, capital or not
+        text = next(t for x, t in rows if x == lang)
+        for _ in range(3):
+            garbled[len(rows)] = "".join(c if c == " " else chr(first + 2 * rng.randrange(8) + (ord(c) - first) % 2) for c in text)
+            rows.append((lang, garbled[len(rows)]))
+    got = {r.doc_id: r for r in quality.quality_rules(languages_table(spark, rows)).collect()}
+    assert not any(got[i].kept for i in garbled)
+    assert sum(r.kept for r in got.values()) > 160
+
+
+def test_models_against_brute_force(spark):
+    rng = random.Random(14)
+    rows = [("en", t) for t in prose(rng, "abcdé", 8)] + [("ja", t) for t in prose(rng, "日本🤖", 6)]
+    got = quality.quality_rules(languages_table(spark, rows)).collect()
+    assert not any(r.base_failed for r in got)
+    half = {r.same: r.half for r in spark.createDataFrame([(t,) for _, t in rows], "text string").withColumn(
+        "same", quality.same_text()).withColumn("half", F.pmod(F.xxhash64("same"), F.lit(2))).collect()}
+    side = lambda t: half[hashlib.md5(t.encode()).hexdigest()]
+    pad = chr(0x10FFFE) * 3
+    for r in got:
+        own, text = rows[r.doc_id]
+        others = [t for lang, t in rows if lang == own and side(t) != side(text)]
+        levels = {4: Counter((pad + t)[i : i + 4] for t in others for i in range(len(t)))}
+        for k in (3, 2, 1):
+            levels[k] = Counter(g[1:] for g in levels[k + 1])
+
+        def discount(k):
+            n = [0, *(sum(v == i for v in levels[k].values()) for i in range(1, 5))]  # noqa: B023
+            if not all(n[1:]):
+                return [0, 0.5, 0.75, 0.9]
+            return [0, *(min(max(i - (i + 1) * n[1] / (n[1] + 2 * n[2]) * n[i + 1] / n[i], 0.05), i - 0.05) for i in (1, 2, 3))]
+
+        taken = {k: discount(k) for k in levels}
+
+        def p(g):
+            if not g:
+                return 1 / 0x110000
+            k = len(g)
+            follow = [v for h, v in levels[k].items() if h[:-1] == g[:-1]]  # noqa: B023
+            if not follow:
+                return p(g[1:])  # noqa: B023
+            d, n = taken[k], levels[k][g]  # noqa: B023
+            return (n - d[min(n, 3)] + sum(d[min(v, 3)] for v in follow) * p(g[1:])) / sum(follow)  # noqa: B023
+
+        found = Counter((pad + text)[i : i + 4] for i in range(len(text)))
+        assert r.perplexity == pytest.approx(np.exp(-sum(n * np.log(p(g)) for g, n in found.items()) / len(text)))
+    many = np.random.default_rng(1).integers(0, 0x110000, (4, 100_000)).astype(np.uint32)  # more letters than fit in a number
+    grams, n = quality.gram_counts(many)
+    assert Counter(map(tuple, np.repeat(grams, n, axis=1).T.tolist())) == Counter(map(tuple, many.T.tolist()))
+
+
 def test_empty_tables(spark, nothing):
     for made in (exact_dedup.exact_dedup, jaccard.jaccard_join, tokens.token_counts, bpe.bpe_round_trip,
                  packing.best_fit_packing, substring.repeated_units, line_dedup.line_dedup, quality.quality_rules):

@@ -1,20 +1,23 @@
-"""Quality rules: simple counts, and the perplexity of an n-gram model of the corpus itself.
-
-The model is of order four over an alphabet of 64 character classes, so it has at most
-64 ** 4 entries however large the corpus is: that bounds what is gathered and broadcast.
-Spark counts the n-grams of all documents. From the counts come modified Kneser-Ney estimates
-(Chen and Goodman, 1998); those of the highest order are arrays sorted by the n-gram's hash,
-which packs its four classes into 24 bits without collisions.
+"""Quality rules: simple counts, and the perplexity of n-gram models of the corpus itself.
+
+The models are of order four over the characters themselves, one for each language and half of the
+distinct texts. A text is scored by the model of the other half, so that what it alone holds is
+not known from itself. Spark counts the n-grams of chunks of texts and adds them up in a table
+that grows with the corpus; the modified Kneser-Ney estimates (Chen and Goodman, 1998) are
+aggregates and joins of it. A chunk is scored beside the entries for its own n-grams alone:
+nothing is broadcast or gathered that grows with the corpus.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +25,10 @@ from vintara.llm.common import BLANKS, documents, texts, tidy, with_rows, writte
 
 ORDER, BITS = 4, 6
 CLASSES = 1 << BITS
-#: Entries that a task collects before it adds them up.
-PENDING = 4_000_000
+#: Bits of a code point, and what stands before a text's first character.
+POINT, START = 21, 0x110000
+#: Characters that a task looks at together, and that a chunk of texts holds.
+PENDING, CHUNK = 2_000_000, 8_000_000
 MIN_WORDS = 50
 #: A language's band: its median log perplexity, plus and minus so many times the median deviation
 #: (times the constant that makes it a standard deviation for normal values).
@@ -74,33 +79,6 @@ def grams(text: str) -> np.ndarray:
     return out
 
 
-def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(back, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parts: list[tuple[np.ndarray, np.ndarray]] = []
-    waiting: list[np.ndarray] = []
-    size = 0
-    for batch in batches:
-        for text in batch.column(0):
-            waiting.append(grams(text.as_py()))
-            size += len(waiting[-1])
-            if size > PENDING:
-                parts = [_added([*parts, np.unique(np.concatenate(waiting), return_counts=True)])]
-                waiting, size = [], 0
-    if waiting:
-        parts = [_added([*parts, np.unique(np.concatenate(waiting), return_counts=True)])]
-    for keys, n in parts:
-        yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n)], ["gram", "n"])
-
-
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """``gram``, ``n`` over all texts; each task adds up its own before they move."""
-    return docs.select("text").mapInArrow(tidy(_count), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
 @dataclass(frozen=True)
 class Model:
     """Natural log probabilities: of seen n-grams by sorted key, else weight + lower order."""
@@ -156,14 +134,6 @@ def kneser_ney(keys: np.ndarray, counts: np.ndarray) -> Model:
     return Model(*(x.astype(t) for x, t in ((keys, "u4"), (np.log(seen), "f4"), (np.log(weight), "f4"), (np.log(p), "f4"))))
 
 
-def trained(docs: DataFrame) -> Model:
-    """The model of all texts. At most 64 ** 4 counts reach the driver."""
-    found = gram_counts(docs).toArrow()
-    keys, counts = (found[c].to_numpy() for c in ("gram", "n"))
-    order = np.argsort(keys)
-    return kneser_ney(keys[order], counts[order])
-
-
 def repeated_words(words: list) -> int:
     """Words in windows of three that occur twice or more in the list."""
     if len(words) < 4:
@@ -195,22 +165,227 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
     return len(words), len(text) - blanks, symbols, len(lines) - len(set(lines)), repeated_words(words)
 
 
-def scored(docs: DataFrame, model: Model, *carried: str) -> DataFrame:
-    """``docs`` (``doc_id, text`` and carried columns) with the base counts and ``log_ppl`` for text."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    plain = [c for c in docs.columns if c != "text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*plain).schema)
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        made = zip(*(base_counts(t.as_py()) for t in batch["text"]), strict=True) if len(batch) else [[]] * 5
+        plain = [c for c in batch.schema.names if c != "text"]
+        names = [*plain, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+        yield pa.RecordBatch.from_arrays([*(batch[c] for c in plain), *(pa.array(x, pa.int64()) for x in made)], names)
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """``rows`` with the base counts for text."""
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
+    return rows.mapInArrow(tidy(_counted), f"{kept}, {BASE}")
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(*base_counts(t), held.value.log_perplexity(t)) for t in (x.as_py() for x in batch["text"])]
-            made = zip(*rows, strict=True) if rows else [[]] * 6
-            kinds = [pa.int64()] * 5 + [pa.float64()]
-            new = [pa.array(x, k) for x, k in zip(made, kinds, strict=True)]
-            names = [*plain, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "log_ppl"]
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in plain), *new], names)
 
-    return docs.mapInArrow(tidy(score), f"{schema}, {BASE}, log_ppl double")
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with the number of a chunk; a task begins the next one when the last is full."""
+    chunk, size = TaskContext.get().partitionId() << 32, 0
+    for batch in batches:
+        numbers = []
+        for n in pc.utf8_length(batch["text"]).to_pylist():
+            if size and size + n > CHUNK:
+                chunk, size = chunk + 1, 0
+            size += n
+            numbers.append(chunk)
+        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), *batch.columns], ["chunk", *batch.schema.names])
+
+
+def teaching(counts: DataFrame) -> DataFrame:
+    """``language, same, teaches`` of each distinct text: the models learn from those that pass the base rules."""
+    return counts.groupBy("language", "same").agg(F.min(~F.col("base_failed")).alias("teaches"))
+
+
+def distinct_texts(rows: DataFrame, taught: DataFrame) -> DataFrame:
+    """``chunk, half, language, same, teaches, text``: each text of a language once, its runs of white space one blank."""
+    half = F.pmod(F.xxhash64("same"), F.lit(2)).cast("int").alias("half")
+    once = rows.select(half, "language", "same", F.regexp_replace("text", BLANKS, " ").alias("text"))
+    once = once.dropDuplicates(["language", "same"]).join(taught, ["language", "same"])
+    once = once.select("half", "language", "same", "teaches", "text")
+    schema = "chunk long, half int, language string, same string, teaches boolean, text string"
+    return written(once.mapInArrow(tidy(_chunked), schema), "texts")
+
+
+def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of texts, ``ORDER`` rows of code points with one column for each character, and the texts' sizes."""
+    start = np.full(ORDER - 1, START, np.uint32)
+    points = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
+    flat = np.concatenate([x for p in points for x in (start, p)])
+    inside = np.flatnonzero(flat[ORDER - 1 :] != START)
+    return np.stack([flat[inside + k] for k in range(ORDER)]), np.array([len(p) for p in points])
+
+
+def _letters(grams: np.ndarray) -> tuple[np.ndarray, int]:
+    """The distinct code points in ascending order, and how many bits number them."""
+    there = np.zeros(START + 1, bool)
+    for row in grams:
+        there[row] = True
+    found = np.flatnonzero(there).astype(np.uint32)
+    return found, max(1, (len(found) - 1).bit_length())
+
+
+def _numbered(grams: np.ndarray, letters: np.ndarray, bits: int) -> np.ndarray:
+    number = np.zeros(START + 1, np.uint64)
+    number[letters] = np.arange(len(letters), dtype=np.uint64)
+    out = np.zeros(grams.shape[1], np.uint64)
+    for row in grams:
+        out = (out << np.uint64(bits)) | number[row]
+    return out
+
+
+def gram_counts(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams, in columns, and how often they come."""
+    letters, bits = _letters(grams)
+    if ORDER * bits > 64:
+        half = grams.shape[1] // 2
+        parts = [gram_counts(x) for x in (grams[:, :half], grams[:, half:])]
+        return tuple(np.concatenate(x, axis=-1) for x in zip(*parts, strict=True))
+    keys, n = np.unique(_numbered(grams, letters, bits), return_counts=True)
+    mask = np.uint64((1 << bits) - 1)
+    return np.stack([letters[(keys >> np.uint64(bits * k)) & mask] for k in range(ORDER - 1, -1, -1)]), n
+
+
+def _halves(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An n-gram as two numbers of two code points each."""
+    wide = grams.astype(np.int64)
+    return (wide[0] << POINT) | wide[1], (wide[2] << POINT) | wide[3]
+
+
+def _chunk_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    waiting: dict[tuple, list[str]] = {}
+    size, chunk = 0, None
+
+    def added() -> Iterator[pa.RecordBatch]:
+        for (number, half, language, teaches), held in waiting.items():
+            grams, n = gram_counts(windows(held)[0])
+            same = [pa.array([v], t).take(pa.array(np.zeros(len(n), np.int64)))
+                    for v, t in ((number, pa.int64()), (half, pa.int32()), (language, pa.string()))]
+            names = ["chunk", "half", "language", "high", "low", "n"]
+            n = n.astype(np.int64) if teaches else np.zeros(len(n), np.int64)
+            yield pa.RecordBatch.from_arrays([*same, *map(pa.array, _halves(grams)), pa.array(n)], names)
+        waiting.clear()
+
+    for batch in batches:
+        names = ("chunk", "half", "language", "teaches", "text")
+        for number, half, language, teaches, text in zip(*(batch[c].to_pylist() for c in names), strict=True):
+            if size > PENDING or number != chunk:
+                yield from added()
+                size, chunk = 0, number
+            waiting.setdefault((number, half, language, teaches), []).append(text)
+            size += len(text)
+    yield from added()
+
+
+def _taken() -> Column:
+    """What is taken from a count, by the discounts of its half and language."""
+    a = F.col("a")
+    return F.when(a == 0, 0.0).when(a == 1, F.col("d1")).when(a == 2, F.col("d2")).otherwise(F.col("d3"))
+
+
+def _level_discounts(level: DataFrame, k: int) -> DataFrame:
+    n = level.groupBy("half", "language").agg(*(F.sum((F.col("a") == i).cast("long")).alias(f"n{i}") for i in range(1, 5)))
+    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    every = F.least("n1", "n2", "n3", "n4") > 0
+    d = []
+    for i, plain in ((1, 0.5), (2, 0.75), (3, 0.9)):
+        found = F.lit(i) - (i + 1) * y * F.col(f"n{i + 1}") / F.when(every, F.col(f"n{i}"))
+        d.append(F.when(every, F.least(F.greatest(found, F.lit(0.05)), F.lit(i - 0.05))).otherwise(plain).alias(f"d{i}"))
+    return n.select(F.lit(k).alias("k"), "half", "language", *d)
+
+
+def gram_logs(grams: DataFrame) -> DataFrame:
+    """``half, language, high, low, log_p``: each n-gram of a half by the model of the other half of its language.
+
+    ``grams`` has ``half, language, high, low, a`` (how often in texts that teach, or 0). Below the highest order an n-gram
+    counts as often as characters of different kinds precede it.
+    """
+    mask = lambda c, points: F.col(c).bitwiseAND(F.lit((1 << POINT * points) - 1))
+    part = ["half", "language"]
+    three = F.shiftleft(mask("high", 1), 2 * POINT).bitwiseOR(F.col("low"))
+    levels = {ORDER: grams.withColumn("context", F.shiftleft("high", POINT).bitwiseOR(F.shiftright("low", POINT))).withColumn("rest", three)}
+    below = written(grams.groupBy(*part, three.alias("gram")).agg(F.sum((F.col("a") > 0).cast("long")).alias("a")), "trigrams")
+    for k in range(ORDER - 1, 0, -1):
+        levels[k] = below.withColumn("context", F.shiftright("gram", POINT)).withColumn("rest", mask("gram", k - 1))
+        below = below.groupBy(*part, mask("gram", k - 1).alias("gram")).agg(F.sum((F.col("a") > 0).cast("long")).alias("a"))
+    discounts = reduce(DataFrame.unionByName, (_level_discounts(x, k) for k, x in levels.items()))
+    discounts = written(discounts, "discounts")
+    lower = None
+    for k in range(1, ORDER + 1):
+        key = ["high", "low"] if k == ORDER else ["gram"]
+        level = levels[k].join(discounts.where(F.col("k") == k).drop("k"), part).withColumn("taken", _taken())
+        contexts = level.groupBy(*part, "context").agg(F.sum("a").alias("total"), F.sum("taken").alias("mass"))
+        contexts = contexts.where("total > 0")
+        seen = level.select(*part, *key, (F.col("a") - F.col("taken")).alias("left"))
+        asked = levels[k].select((1 - F.col("half")).alias("half"), "language", *key, "context", "rest")
+        found = asked.join(seen, [*part, *key], "left").join(contexts, [*part, "context"], "left")
+        if lower is None:
+            found = found.withColumn("below", F.lit(1.0 / START))
+        else:
+            found = found.join(lower.select(*part, F.col("gram").alias("rest"), F.col("p").alias("below")), [*part, "rest"])
+        p = F.coalesce(F.col("left") / F.col("total"), F.lit(0.0)) + F.coalesce(F.col("mass") / F.col("total"), F.lit(1.0)) * F.col("below")
+        lower = found.select(*part, *key, p.alias("p"))
+        if k < ORDER:
+            lower = written(lower, f"p{k}")
+    return lower.select((1 - F.col("half")).cast("int").alias("half"), "language", "high", "low", F.log("p").alias("log_p"))
+
+
+def mean_logs(texts: list[str], known: np.ndarray, log_p: np.ndarray) -> list[float]:
+    """The mean over each text's characters of ``-log_p``, which is given for all its n-grams (``known``, in columns)."""
+    grams, sizes = windows(texts)
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    values = np.zeros(grams.shape[1])
+    step = PENDING
+    at = 0
+    while at < len(values):
+        these = grams[:, at : at + step]
+        letters, bits = _letters(these)
+        if ORDER * bits > 64:
+            step //= 2
+            continue
+        there = np.isin(known, letters).all(axis=0)
+        keys = _numbered(known[:, there], letters, bits)
+        order = np.argsort(keys)
+        values[at : at + step] = log_p[there][order[np.searchsorted(keys[order], _numbered(these, letters, bits))]]
+        at += step
+    total = np.concatenate(([0.0], np.cumsum(values)))
+    return (-(total[ends[1:]] - total[ends[:-1]]) / np.maximum(sizes, 1)).tolist()
+
+
+def _score_chunk(texts: pa.Table, logs: pa.Table) -> pa.Table:
+    """The texts of one chunk by the entries for its n-grams."""
+    names = ["half", "language", "same", "log_ppl"]
+    kinds = [pa.int32(), pa.string(), pa.string(), pa.float64()]
+    rows: list[list] = [[], [], [], []]
+    for part in texts.select(names[:2]).group_by(names[:2]).aggregate([]).to_pylist():
+        half, language = part["half"], part["language"]
+        own = lambda t: t.filter((pc.field("half") == half) & (pc.field("language") == language))  # noqa: B023, E731
+        held, entries = own(texts), own(logs)
+        high, low = (entries[c].to_numpy() for c in ("high", "low"))
+        mask = (1 << POINT) - 1
+        known = np.stack([high >> POINT, high & mask, low >> POINT, low & mask])
+        waiting: list[str] = []
+        for text in [*held["text"].to_pylist(), None]:
+            if waiting and (text is None or sum(map(len, waiting)) > PENDING):
+                rows[3] += mean_logs(waiting, known, entries["log_p"].to_numpy())
+                waiting = []
+            waiting.append(text)
+        rows[2] += held["same"].to_pylist()
+        rows[0] += [half] * len(held)
+        rows[1] += [language] * len(held)
+    pa.default_memory_pool().release_unused()
+    return pa.table([pa.array(x, k) for x, k in zip(rows, kinds, strict=True)], names)
+
+
+def perplexities(distinct: DataFrame) -> DataFrame:
+    """``half, language, same, log_ppl`` for the texts of ``distinct_texts``."""
+    schema = "chunk long, half int, language string, high long, low long, n long"
+    chunks = written(distinct.drop("same").mapInArrow(tidy(_chunk_grams), schema), "chunk-grams")
+    key = ["half", "language", "high", "low"]
+    grams = written(chunks.groupBy(*key).agg(F.sum("n").alias("a")), "grams")
+    logs = chunks.groupBy("chunk", *key).agg(F.lit(1).alias("one")).drop("one").join(gram_logs(grams), key)
+    both = distinct.groupBy("chunk").cogroup(logs.groupBy("chunk"))
+    return both.applyInArrow(_score_chunk, "half int, language string, same string, log_ppl double")
 
 
 def same_text() -> Column:
@@ -219,13 +394,14 @@ def same_text() -> Column:
 
 
 def bands(scores: DataFrame, width: float = BAND) -> DataFrame:
-    """``language``, ``low``, ``high`` over the distinct texts (``same``) of documents that pass the base rules."""
-    usable = scores.where("NOT base_failed").groupBy("language", "same").agg(F.min("log_ppl").alias("log_ppl"))
-    middle = usable.groupBy("language").agg(F.percentile_approx("log_ppl", 0.5, 10_000).alias("middle"))
-    off = usable.join(middle, "language").groupBy("language", "middle")
-    off = off.agg(F.percentile_approx(F.abs(F.col("log_ppl") - F.col("middle")), 0.5, 10_000).alias("off"))
+    """``language``, ``half``, ``low``, ``high`` over the distinct texts (``same``) of documents that pass the base rules."""
+    part = ["language", "half"]
+    usable = scores.where("NOT base_failed").groupBy(*part, "same").agg(F.min("log_ppl").alias("log_ppl"))
+    middle = usable.groupBy(*part).agg(F.percentile_approx("log_ppl", 0.5, 10_000).alias("middle"))
+    off = F.col("log_ppl") - F.col("middle")
+    spread = usable.join(middle, part).groupBy(*part, "middle").agg(F.percentile_approx(F.abs(off), 0.5, 10_000).alias("off"))
     reach = F.greatest(F.col("off") * NORMAL * width, F.lit(0.05))
-    return off.select("language", (F.col("middle") - reach).alias("low"), (F.col("middle") + reach).alias("high"))
+    return spread.select(*part, (F.col("middle") - reach).alias("low"), (F.col("middle") + reach).alias("high"))
 
 
 def quality_rules(
@@ -247,10 +423,11 @@ def quality_rules(
     rows = texts(docs, id_column, text_column, language, *carry).withColumn("same", same_text())
     few = F.col("n_words") < MIN_WORDS
     failed = few | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    scores = scored(rows, trained(rows.dropDuplicates(["__language", "same"]))).withColumn("base_failed", failed)
-    scores = written(scores.withColumnRenamed("__language", "language"), "scores")
+    counts = written(counted(rows).withColumn("base_failed", failed).withColumnRenamed("__language", "language"), "counts")
+    found = written(perplexities(distinct_texts(rows.withColumnRenamed("__language", "language"), teaching(counts))), "perplexities")
+    scores = written(counts.join(found, ["language", "same"]), "scores")
     within = F.col("log_ppl").between(F.col("low"), F.col("high"))
-    return scores.join(written(bands(scores, width), "bands"), "language", "left").select(
+    return scores.join(written(bands(scores, width), "bands"), ["language", "half"], "left").select(
         "doc_id", *carry, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.coalesce(within, F.lit(False))).alias("kept"),
         F.exp("log_ppl").alias("perplexity"), F.exp("low").alias("low"), F.exp("high").alias("high"),
