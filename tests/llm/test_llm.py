@@ -320,6 +320,25 @@ def test_models_against_brute_force(spark):
     assert Counter(map(tuple, np.repeat(grams, n, axis=1).T.tolist())) == Counter(map(tuple, many.T.tolist()))
 
 
+def test_junk_of_every_language_is_rejected(spark):
+    rng = random.Random(15)
+    rows, junk = [], set()
+    for lang, letters, n in (("en", "etaonrishl", 120), ("fr", "eéèaçuinst", 40), ("de", "enirsätüdh", 40), ("es", "eaosnñrlíd", 30)):
+        clean = prose(rng, letters, n)
+        rows += [(lang, t) for t in clean]
+        for text in prose(rng, letters, n // 8):
+            words = text.split()
+            for k in range(0, len(words), rng.choice((1, 4))):
+                words[k] += rng.choice("#*$%&|<>") * 3
+            junk.add(len(rows))
+            rows.append((lang, " ".join(words)))
+    got = {r.doc_id: r for r in quality.quality_rules(languages_table(spark, rows)).collect()}
+    assert not any(got[i].kept for i in junk)
+    for lang in ("en", "fr", "de", "es"):
+        clean = [r for i, r in got.items() if rows[i][0] == lang and i not in junk]
+        assert sum(r.kept for r in clean) > 0.9 * len(clean)
+
+
 def test_empty_tables(spark, nothing):
     for made in (exact_dedup.exact_dedup, jaccard.jaccard_join, tokens.token_counts, bpe.bpe_round_trip,
                  packing.best_fit_packing, substring.repeated_units, line_dedup.line_dedup, quality.quality_rules):

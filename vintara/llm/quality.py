@@ -30,6 +30,8 @@ POINT, START = 21, 0x110000
 #: Characters that a task looks at together, and that a chunk of texts holds.
 PENDING, CHUNK = 2_000_000, 8_000_000
 MIN_WORDS = 50
+#: Symbols a word that a text from which the models learn may hold in any language.
+SYMBOLS = 0.1
 #: A language's band: its median log perplexity, plus and minus so many times the median deviation
 #: (times the constant that makes it a standard deviation for normal values).
 BAND, NORMAL = 6.0, 1.4826
@@ -193,8 +195,21 @@ def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def teaching(counts: DataFrame) -> DataFrame:
-    """``language, same, teaches`` of each distinct text: the models learn from those that pass the base rules."""
-    return counts.groupBy("language", "same").agg(F.min(~F.col("base_failed")).alias("teaches"))
+    """``language, same, teaches`` of each distinct text: whether the models learn from it.
+
+    They do not from texts that fail the base rules, nor from those with more symbols a word than
+    is usual in their language, or else junk would be known to them in proportion to its share.
+    """
+    once = counts.groupBy("language", "same").agg(
+        F.min(F.col("n_symbols") / F.greatest("n_words", F.lit(1))).alias("symbols"), F.min("base_failed").alias("failed")
+    )
+    median = lambda c: F.percentile_approx(c, 0.5, 10_000)
+    usable = once.where("NOT failed")
+    middle = usable.groupBy("language").agg(median("symbols").alias("middle"))
+    off = usable.join(middle, "language").groupBy("language", "middle").agg(median(F.abs(F.col("symbols") - F.col("middle"))).alias("off"))
+    most = off.select("language", F.greatest(F.col("middle") + BAND * NORMAL * F.col("off"), F.lit(SYMBOLS)).alias("most"))
+    teaches = ~F.col("failed") & F.coalesce(F.col("symbols") <= F.col("most"), F.lit(False))
+    return once.join(written(most, "symbols"), "language", "left").select("language", "same", teaches.alias("teaches"))
 
 
 def distinct_texts(rows: DataFrame, taught: DataFrame) -> DataFrame:
@@ -394,14 +409,18 @@ def same_text() -> Column:
 
 
 def bands(scores: DataFrame, width: float = BAND) -> DataFrame:
-    """``language``, ``half``, ``low``, ``high`` over the distinct texts (``same``) of documents that pass the base rules."""
+    """``language``, ``half``, ``low``, ``high`` over the distinct texts (``same``) of documents that pass the base rules.
+
+    Each side has a spread of its own, the median deviation of the texts on that side.
+    """
     part = ["language", "half"]
     usable = scores.where("NOT base_failed").groupBy(*part, "same").agg(F.min("log_ppl").alias("log_ppl"))
     middle = usable.groupBy(*part).agg(F.percentile_approx("log_ppl", 0.5, 10_000).alias("middle"))
     off = F.col("log_ppl") - F.col("middle")
-    spread = usable.join(middle, part).groupBy(*part, "middle").agg(F.percentile_approx(F.abs(off), 0.5, 10_000).alias("off"))
-    reach = F.greatest(F.col("off") * NORMAL * width, F.lit(0.05))
-    return spread.select(*part, (F.col("middle") - reach).alias("low"), (F.col("middle") + reach).alias("high"))
+    side = lambda d: F.percentile_approx(F.when(d >= 0, d), 0.5, 10_000)
+    sides = usable.join(middle, part).groupBy(*part, "middle").agg(side(-off).alias("under"), side(off).alias("over"))
+    reach = lambda c: F.greatest(F.col(c) * NORMAL * width, F.lit(0.05))
+    return sides.select(*part, (F.col("middle") - reach("under")).alias("low"), (F.col("middle") + reach("over")).alias("high"))
 
 
 def quality_rules(
