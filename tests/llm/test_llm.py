@@ -150,6 +150,31 @@ def test_repeated_units_catch_an_inline_passage_and_nothing_else(docs):
         assert "".join(t[a:b] for a, b, _ in substring.units(t)) == t
 
 
+def test_passages_with_blank_and_short_lines_are_cut_whole(spark):
+    rng = random.Random(16)
+    words = lambda n: " ".join(f"x{rng.randrange(10**6)}" for _ in range(n))
+    passages = {
+        "paragraphs": "\n\n".join(words(18) for _ in range(5)) + "\n",
+        "verse": "\n".join(words(rng.randint(2, 5)) for _ in range(20)) + "\n",
+        "short between": f"{words(15)}\n{words(3)}\n{words(15)}\n \t\n{words(25)}\n",
+        "one line": f"{words(12)}\n",
+    }
+    rows, n = [], 0
+    for passage in passages.values():
+        for _ in range(3):
+            rows.append((n, f"{words(9)}\n{passage}{words(7)}\n\nEnd of it\n"))
+            n += 1
+    docs = substring.with_rows(table(spark, rows))
+    clean = substring.without_units(docs, substring.repeated_units(docs, carry=("__row",)))
+    got = {r.doc_id: r.text for r in clean.collect()}
+    for i, passage in enumerate(passages.values()):
+        assert got[3 * i] == rows[3 * i][1]
+        for k in (3 * i + 1, 3 * i + 2):
+            assert got[k] == rows[k][1].replace(passage, "")
+    for t in ("\n \n", "\n\na b\n\n", "a\n \n\nb", "a b. c\n\n  "):
+        assert "".join(t[a:b] for a, b, _ in substring.units(t)) == t
+
+
 def test_close_lines(spark):
     rng = random.Random(2)
 

@@ -1,7 +1,7 @@
 """Substring dedup by hashing of lines and sentences.
 
 A unit ends at a line's end, and after a sentence of some words; shorter sentences go with the
-next one. Where a unit ends depends on its own words alone, so that a passage is cut in the same
+next one. Blank lines go with the unit before them. Where a unit ends depends on its own words alone, so that a passage is cut in the same
 way wherever it stands, also within a line. Digests of the normalised units are grouped over all
 documents, the first occurrence by document and place stays, and the others are cut out. What is
 cut is a list of spans of the original text.
@@ -22,8 +22,8 @@ from pyspark.sql.window import Window
 from vintara.llm.common import documents, nulls_last, texts, tidy, with_rows, written
 
 #: Words of a sentence that ends a unit, of the smallest unit looked at, and of the smallest run
-#: of adjacent repeated units that is cut: a stock phrase of one sentence stays.
-SENTENCE_WORDS, UNIT_WORDS, RUN_WORDS = 6, 6, 20
+#: of adjacent repeated units that is cut: a single short line, such as a heading, stays.
+SENTENCE_WORDS, UNIT_WORDS, RUN_WORDS = 6, 1, 6
 
 _END = re.compile(r"[.!?]+[ \t\r\f\v]+|\n")
 
@@ -31,14 +31,26 @@ _END = re.compile(r"[.!?]+[ \t\r\f\v]+|\n")
 def units(text: str, sentence_words: int = SENTENCE_WORDS) -> Iterator[tuple[int, int, int]]:
     """Start, end and number of words of each unit; together they are the whole text."""
     start = since = count = 0
+    held = None  # the last unit, until what follows it has a word
     for end in _END.finditer(text):
         n = len(text[since : end.end()].split())
         count, since = count + n, end.end()
         if n >= sentence_words or text[end.end() - 1] == "\n":
-            yield start, end.end(), count
+            if held and not count:
+                held = held[0], end.end(), held[2]
+            else:
+                if held:
+                    yield held
+                held = start, end.end(), count
             start, count = end.end(), 0
+    count += len(text[since:].split())
+    if held and not count:
+        held = held[0], len(text), held[2]
+        start = len(text)
+    if held:
+        yield held
     if start < len(text):
-        yield start, len(text), count + len(text[since:].split())
+        yield start, len(text), count
 
 
 def _digests(unit_words: int):
@@ -75,8 +87,8 @@ def repeated_units(
 
     Offsets count code points of the original text. Units are equal when their words are, in lower
     case. The occurrence with the smallest document id, then the smallest start, stays; a null id
-    ranks last. Units of fewer words than ``unit_words`` stay, and so do runs of adjacent repeated
-    units with fewer than ``run_words`` words together. Null and empty texts have no units;
+    ranks last. Units of fewer words than ``unit_words`` stay and end a run; runs of adjacent repeated
+    units with fewer than ``run_words`` words together stay as well. Null and empty texts have no units;
     a document with nothing to cut has no row.
     """
     rows = texts(docs, id_column, text_column, *carry)
