@@ -21,13 +21,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintara.llm.common import BLANKS, documents, texts, tidy, with_rows, written
+from vintara.llm.common import BLANKS, documents, sweep, texts, tidy, with_rows, written
 
 ORDER, BITS = 4, 6
 CLASSES = 1 << BITS
 #: Bits of a code point, and what stands before a text's first character.
 POINT, START = 21, 0x110000
-#: Characters that a task looks at together, and that a chunk of texts holds.
+#: Characters that a task scores together, and that a chunk of texts holds.
 PENDING, CHUNK = 2_000_000, 8_000_000
 MIN_WORDS = 50
 #: Symbols a word that a text from which the models learn may hold in any language.
@@ -269,7 +269,7 @@ def _halves(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _chunk_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     waiting: dict[tuple, list[str]] = {}
-    size, chunk = 0, None
+    chunk = None
 
     def added() -> Iterator[pa.RecordBatch]:
         for (number, half, language, teaches), held in waiting.items():
@@ -284,11 +284,10 @@ def _chunk_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         names = ("chunk", "half", "language", "teaches", "text")
         for number, half, language, teaches, text in zip(*(batch[c].to_pylist() for c in names), strict=True):
-            if size > PENDING or number != chunk:
+            if number != chunk:
                 yield from added()
-                size, chunk = 0, number
+                chunk = number
             waiting.setdefault((number, half, language, teaches), []).append(text)
-            size += len(text)
     yield from added()
 
 
@@ -398,7 +397,9 @@ def perplexities(distinct: DataFrame) -> DataFrame:
     chunks = written(distinct.drop("same").mapInArrow(tidy(_chunk_grams), schema), "chunk-grams")
     key = ["half", "language", "high", "low"]
     grams = written(chunks.groupBy(*key).agg(F.sum("n").alias("a")), "grams")
-    logs = chunks.groupBy("chunk", *key).agg(F.lit(1).alias("one")).drop("one").join(gram_logs(grams), key)
+    found = written(gram_logs(grams), "gram-logs")
+    sweep(distinct.sparkSession)
+    logs = chunks.select("chunk", *key).distinct().join(found, key)
     both = distinct.groupBy("chunk").cogroup(logs.groupBy("chunk"))
     return both.applyInArrow(_score_chunk, "half int, language string, same string, log_ppl double")
 
@@ -443,7 +444,9 @@ def quality_rules(
     few = F.col("n_words") < MIN_WORDS
     failed = few | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     counts = written(counted(rows).withColumn("base_failed", failed).withColumnRenamed("__language", "language"), "counts")
-    found = written(perplexities(distinct_texts(rows.withColumnRenamed("__language", "language"), teaching(counts))), "perplexities")
+    distinct = distinct_texts(rows.withColumnRenamed("__language", "language"), teaching(counts))
+    sweep(docs.sparkSession)  # the shuffle of all texts
+    found = written(perplexities(distinct), "perplexities")
     scores = written(counts.join(found, ["language", "same"]), "scores")
     within = F.col("log_ppl").between(F.col("low"), F.col("high"))
     return scores.join(written(bands(scores, width), "bands"), ["language", "half"], "left").select(
