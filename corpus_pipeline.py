@@ -37,7 +37,7 @@ STAGES = [
     ("best_fit_packing", _tidied(packing.stage)),
 ]
 
-#: SQL can state neither the language model nor the packing; tests hold run() against brute force.
+#: SQL can state neither the language model nor the packing. Tests hold stages against brute force, not yet run() as a whole.
 ORACLE_SQL = None
 
 
