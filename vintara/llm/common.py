@@ -16,6 +16,8 @@ BLANKS = r"[\x20\x09-\x0D]+"
 
 #: Tables written so far by this driver.
 TABLES: list[str] = []
+#: The temporary folder of each local application that names no shared one.
+_local: dict[str, str] = {}
 
 
 def discard(spark: SparkSession, paths: list[str]) -> None:
@@ -34,15 +36,17 @@ def sweep(spark: SparkSession) -> None:
 def shared_path(spark: SparkSession, purpose: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which all machines of a cluster share.
 
-    Where that is unset, a local session gets a temporary folder; any other session is refused,
+    Where that is unset, a local session gets one temporary folder; any other session is refused,
     as its executors could not read what another one wrote.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        root = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _local:
+            _local[app] = tempfile.mkdtemp(prefix="llm-")
+        root = _local[app]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -86,12 +90,31 @@ def nulls_last(column: str) -> Column:
     return F.struct(F.col(column).isNull().alias("absent"), F.col(column).alias("id"))
 
 
-def with_rows(docs: DataFrame, row: str = "__row") -> DataFrame:
-    """The documents, written once with a number for each row.
+def _names_apart(columns: list[str]) -> dict[str, str]:
+    """Names for a table's columns under which none starts like the columns that stages add."""
+    taken, out = {c.casefold() for c in columns}, {}
+    for c in columns:
+        name = c
+        while name.startswith("__") or (name != c and name.casefold() in taken):
+            name = f"own{name}"
+        taken.add(name.casefold())
+        out[c] = name
+    return out
 
-    Ids may be null or repeated; decisions about rows hold on to this number instead.
+
+def with_rows(docs: DataFrame) -> DataFrame:
+    """The documents, written once with a number for each row in ``__row``.
+
+    Ids may be null or repeated; decisions about rows hold on to this number instead. Columns whose
+    names start with two underscores get others, which ``as_given`` takes back.
     """
-    return written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    apart = docs.withColumnsRenamed({c: n for c, n in _names_apart(docs.columns).items() if c != n})
+    return written(apart.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+
+
+def as_given(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """``rows`` of ``with_rows(docs)`` in the columns of ``docs``."""
+    return rows.select(*(F.col(f"`{n}`").alias(c) for c, n in _names_apart(docs.columns).items()))
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from itertools import count
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintara.llm.common import BLANKS, documents, nulls_last, texts, with_rows, written
+from vintara.llm.common import BLANKS, as_given, documents, nulls_last, texts, with_rows, written
 
 #: Bytes of a block. Most documents are one block, so few rows reach the upper levels.
 BLOCK_BYTES = 4096
@@ -132,4 +132,4 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that stay, in their own columns."""
     rows = with_rows(docs)
     kept = exact_dedup(rows, carry=("__row",)).where("kept").select("__row")
-    return rows.join(kept, "__row", "left_semi").select(docs.columns)
+    return as_given(rows.join(kept, "__row", "left_semi"), docs)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vintara.llm.common import components, documents, nulls_last, sweep, texts, tidy, with_rows, written
+from vintara.llm.common import as_given, components, documents, nulls_last, sweep, texts, tidy, with_rows, written
 
 WIDTH = 5
 #: Smallest set that can link with another than its equal; smallest set of a band, times BAND, is that of the next.
@@ -340,4 +340,4 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = jaccard_join(rows, carry=("__row",))
     first = F.min(F.struct(nulls_last("doc_id").alias("id"), "__row")).alias("x")
     kept = found.groupBy("root", "apart").agg(first).select(F.col("x.__row").alias("__row"))
-    return rows.join(kept, "__row", "left_semi").select(docs.columns)
+    return as_given(rows.join(kept, "__row", "left_semi"), docs)

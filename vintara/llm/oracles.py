@@ -27,4 +27,43 @@ SELECT page_id, octet_length(payload) AS payload_bytes,
 FROM d
 """
 
-SQL = {"op2_exact_dedup": OP2, "op6_warc": OP6}
+
+
+def _codebook_rounds(rounds: int) -> str:
+    """Each round as two tables: nearest entries ``a<k>`` under ``b<k>``, then the entries ``b<k + 1>``."""
+    out = []
+    for k in range(rounds + 1):
+        out.append(f"""a{k} AS MATERIALIZED (
+  SELECT vec_id, label, row, p, x, min_by(e, (d, e)) AS e, min(d) AS d FROM (
+    SELECT v.*, b.e, list_sum([(v.x[i] - b.c[i]) * (v.x[i] - b.c[i]) for i in range(1, len(v.x) + 1)])::BIGINT AS d
+    FROM v JOIN b{k} b USING (p)) GROUP BY ALL)""")
+        if k < rounds:
+            out.append(f"""m{k} AS (
+  SELECT p, e, list(m::BIGINT ORDER BY i) AS c FROM (
+    SELECT p, e, i, (sum(x[i]) - ((sum(x[i]) % count(*)) + count(*)) % count(*)) // count(*) AS m
+    FROM a{k}, range(1, 17) AS r(i) GROUP BY ALL) GROUP BY ALL),
+b{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(m{k}.c, b{k}.c) AS c FROM b{k} LEFT JOIN m{k} USING (p, e))""")
+    return ",\n".join(out)
+
+
+# Vectors of 64 components, as the table has them.
+OP12 = f"""
+WITH w AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 AS row,
+         [floor(1024 * c::DOUBLE)::BIGINT for c in embedding] AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+v AS MATERIALIZED (SELECT vec_id, label, row, p, x[16 * p + 1:16 * p + 16] AS x FROM w, range(4) AS r(p)),
+b0 AS MATERIALIZED (SELECT p, row AS e, x AS c FROM v WHERE row < 256),
+{_codebook_rounds(4)},
+codes AS (
+  SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error
+  FROM a4 GROUP BY vec_id, label, row),
+totals AS (SELECT label, sum(error)::BIGINT AS label_error FROM codes GROUP BY label),
+books AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b4)
+SELECT vec_id, code, error, label_error, codebooks_sha256
+FROM codes JOIN totals ON codes.label IS NOT DISTINCT FROM totals.label, books
+"""
+
+SQL = {"op2_exact_dedup": OP2, "op6_warc": OP6, "op12_vector_code_compression": OP12}

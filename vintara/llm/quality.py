@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintara.llm.common import BLANKS, documents, sweep, texts, tidy, with_rows, written
+from vintara.llm.common import BLANKS, as_given, documents, sweep, texts, tidy, with_rows, written
 
 ORDER, BITS = 4, 6
 CLASSES = 1 << BITS
@@ -464,4 +464,4 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the rules keep, in their own columns."""
     rows = with_rows(docs)
     kept = quality_rules(rows, carry=("__row",)).where("kept").select("__row")
-    return rows.join(kept, "__row", "left_semi").select(docs.columns)
+    return as_given(rows.join(kept, "__row", "left_semi"), docs)

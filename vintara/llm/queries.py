@@ -9,6 +9,7 @@ from vintara.llm.quality import op10_quality_rules
 from vintara.llm.substring import op3_substring_dedup
 from vintara.llm.tokens import op1_token_counts
 from vintara.llm.toxicity import op9_toxicity
+from vintara.llm.vector_codes import op12_vector_code_compression
 from vintara.llm.warc import op6_warc
 
 QUERIES = {
@@ -24,5 +25,6 @@ QUERIES = {
         op8_bpe_round_trip,
         op9_toxicity,
         op10_quality_rules,
+        op12_vector_code_compression,
     )
 }

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from vintara.llm.common import documents, nulls_last, texts, tidy, with_rows, written
+from vintara.llm.common import as_given, documents, nulls_last, texts, tidy, with_rows, written
 
 #: Words of a sentence that ends a unit, of the smallest unit looked at, and of the smallest run
 #: of adjacent repeated units that is cut: a single short line, such as a heading, stays.
@@ -148,4 +148,4 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     clean = without_units(rows, repeated_units(rows, carry=("__row",)))
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return clean.select(docs.columns)
+    return as_given(clean, docs)
