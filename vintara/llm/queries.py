@@ -4,6 +4,7 @@ from vintara.llm.bpe import op8_bpe_round_trip
 from vintara.llm.exact_dedup import op2_exact_dedup
 from vintara.llm.jaccard import op5_ngram_jaccard_join
 from vintara.llm.line_dedup import op7_line_dedup
+from vintara.llm.minhash import op13_minhash_near_dedup
 from vintara.llm.packing import op4_best_fit_packing
 from vintara.llm.quality import op10_quality_rules
 from vintara.llm.substring import op3_substring_dedup
@@ -26,5 +27,6 @@ QUERIES = {
         op9_toxicity,
         op10_quality_rules,
         op12_vector_code_compression,
+        op13_minhash_near_dedup,
     )
 }
