@@ -1,6 +1,7 @@
 """The registered queries of this subpackage."""
 
 from vintara.llm.bpe import op8_bpe_round_trip
+from vintara.llm.divergence import op11_source_divergence_audit
 from vintara.llm.exact_dedup import op2_exact_dedup
 from vintara.llm.jaccard import op5_ngram_jaccard_join
 from vintara.llm.line_dedup import op7_line_dedup
@@ -26,6 +27,7 @@ QUERIES = {
         op8_bpe_round_trip,
         op9_toxicity,
         op10_quality_rules,
+        op11_source_divergence_audit,
         op12_vector_code_compression,
         op13_minhash_near_dedup,
     )
