@@ -6,6 +6,8 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -117,6 +119,30 @@ def as_given(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.select(*(F.col(f"`{n}`").alias(c) for c, n in _names_apart(docs.columns).items()))
 
 
+def maybe_among(marks: DataFrame, bits: int = 26) -> Callable:
+    """A filter on a column of hashes for those that may be among ``marks`` (column ``mark``).
+
+    It holds 2 ** bits bits, whatever the number of marks, and never refuses one of them. What
+    comes to the driver and is broadcast is that many bits (8 MB), in pieces of 4 KB.
+    """
+    size = 1 << bits
+    found = marks.select((F.pmod("mark", F.lit(size)) + 1).alias("bit"))
+    parts = found.groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
+    )
+    held = np.zeros(size >> 3, np.uint8)
+    for r in parts.collect():
+        held[(r["part"] - 1) << 12 : r["part"] << 12] = np.frombuffer(r["bits"], np.uint8)
+    shared = marks.sparkSession.sparkContext.broadcast(held)
+
+    @F.pandas_udf("boolean")
+    def maybe(mark: pd.Series) -> pd.Series:
+        at = mark.to_numpy() % size
+        return pd.Series((shared.value[at >> 3] >> (at & 7) & 1).astype(bool))
+
+    return maybe
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node``, ``root`` (smallest node reachable) for every node of ``links`` (``a``, ``b``).
 

@@ -24,10 +24,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vintara.llm.common import components, documents, nulls_last, texts, tidy, written
+from vintara.llm.common import components, documents, maybe_among, nulls_last, texts, tidy, written
 
 WIDTH, PERCENT = 3, 85
 ROWS, BANDS = 6, 42
@@ -223,11 +223,13 @@ def close_pairs(sets: DataFrame) -> DataFrame:
     """Pairs that connect all nodes which some band and the signatures hold for similar."""
     keyed = sets.where("keys IS NOT NULL").select("node", F.explode("keys").alias("key"))
     members = keyed.repartition("key").dropDuplicates(["key", "node"])
-    marks = [F.bit_xor(F.xxhash64(F.lit(k), "node")).alias(f"mark{k}") for k in (1, 2)]
-    buckets = members.groupBy("key").agg(F.count("*").alias("n_nodes"), *marks).where("n_nodes > 1")
-    chosen = buckets.groupBy("n_nodes", "mark1", "mark2").agg(F.min("key").alias("key"))
+    bucket = Window.partitionBy("key")
+    marks = [F.bit_xor(F.xxhash64(F.lit(k), "node")).over(bucket).alias(f"mark{k}") for k in (1, 2)]
+    members = members.select("key", "node", F.count("*").over(bucket).alias("n_nodes"), *marks)
+    members = written(members.where("n_nodes > 1"), "buckets")
+    chosen = members.groupBy("n_nodes", "mark1", "mark2").agg(F.min("key").alias("key"))
     tiles = F.ceil(F.col("n_nodes") / BUCKET_TILE).cast("long").alias("tiles")
-    shared = written(members.join(chosen.select("key", tiles), "key"), "buckets")
+    shared = written(members.select("key", "node").join(chosen.select("key", tiles), "key"), "chosen-buckets")
     signed = sets.where("bits IS NOT NULL").join(shared.select("node").distinct(), "node", "left_semi")
     signed = signed.groupBy("node").agg(F.first("bits").alias("bits"), F.first("n_shingles").alias("n_shingles"))
     rows = in_tiles(shared.join(signed, "node").withColumnRenamed("key", "g"), "tiles")
@@ -292,6 +294,7 @@ def confirmed_links(rows: DataFrame, sets: DataFrame, close: DataFrame) -> DataF
         F.col("root").alias("g"), "node", "tiles", F.col("x.id.id").alias("x_id"), F.col("x.__mark").alias("x_mark")
     )
     chosen = written(chosen, "chosen")
+    rows = rows.where(maybe_among(chosen.select(F.col("x_mark").alias("mark")))("__mark"))
     there = rows["doc_id"].eqNullSafe(chosen["x_id"]) & (rows["__mark"] == chosen["x_mark"])
     found = in_tiles(rows.join(chosen, there).select("g", "node", "tiles", "text"), "tiles")
     columns = ["node", "text"]
