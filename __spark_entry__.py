@@ -1,8 +1,8 @@
 """Registered queries: every operator over the whole provided tables.
 
 ``queries()`` runs the library; ``oracle_sql()`` states the same result in DuckDB SQL.
-Layer queries (bronze, silver, dimensions, fact) compute from the raw tables each time.
-Checks and questions read the layers, which are written once per application.
+``bronze`` computes from the raw tables; the queries of the layers above it read it as written once
+per application, and checks and questions read the layers.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from vintara.config import INCIDENT_QUALITY, INCIDENT_STAR, INCIDENTS  # noqa: E
 from vintara.functions.text import normalise  # noqa: E402
 from vintara.functions.typing import day_key, month_key  # noqa: E402
 from vintara.operators import analysis, conform, correlation, quality, spatial, star  # noqa: E402
-from vintara.plans import retail  # noqa: E402
+from vintara.plans import delivery, retail  # noqa: E402
 from vintara.sources import control as log  # noqa: E402
 from vintara.sources import landing  # noqa: E402
 
@@ -32,8 +32,8 @@ try:  # the corpus operators are optional
     from vintara.llm import oracles as llm_oracles
     from vintara.llm import queries as llm_queries
 except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "vintara.llm"):
-        raise
+    if missing.name and missing.name.startswith("vintara") and missing.name != "vintara.llm":
+        raise  # a fault of the library; a package they need and this machine lacks is none
     LLM, LLM_SQL = {}, {}
 else:
     LLM = llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
@@ -42,6 +42,7 @@ else:
 MEMBER = INCIDENT_STAR.member
 THRESHOLDS = (20, 1900, 2100, 1_000_000)
 GRID_STEP = 0.05
+RADIUS_KM = 1.5
 
 # The retail dates lie in another decade, so the date bounds and the pattern do too.
 QUALITY = dataclasses.replace(
@@ -55,7 +56,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform.to_silver(retail.raw(spark, sf_dir), INCIDENTS, retail.CITY)
+    return conform.to_silver(retail.bronze(spark, sf_dir), INCIDENTS, retail.CITY)
 
 
 def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +84,14 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.union_by_name(retail.raw_by_era(spark, sf_dir))
 
 
+def _on_loads(question: Callable[[delivery.Loads], DataFrame]) -> Query:
+    return lambda spark, sf_dir: question(delivery.loads(spark, sf_dir))
+
+
+def landing_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landing.read_landing(spark, delivery.parquet_landing(spark, sf_dir))
+
+
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.file_inventory(spark, sf_dir, "*.parquet")
 
@@ -128,7 +137,7 @@ def fato_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = retail.layers(spark, sf_dir)
-    layers = {"bronze": retail.raw(spark, sf_dir)}
+    layers = {"bronze": retail.bronze(spark, sf_dir)}
     layers |= {f.name: getattr(s, f.name) for f in dataclasses.fields(s)}
     return star.layer_counts(layers)
 
@@ -141,6 +150,10 @@ def _on_star(question: Callable[[retail.Star], DataFrame]) -> Query:
     return lambda spark, sf_dir: question(retail.layers(spark, sf_dir))
 
 
+def _on_many(question: Callable[[retail.Star], DataFrame]) -> Query:
+    return lambda spark, sf_dir: question(retail.many_places(spark, sf_dir))
+
+
 def _on_updated(question: Callable[[retail.Star], DataFrame]) -> Query:
     return lambda spark, sf_dir: question(retail.updated_by_month(spark, sf_dir))
 
@@ -149,16 +162,16 @@ def _on_updated(question: Callable[[retail.Star], DataFrame]) -> Query:
 
 
 def sentinel_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.sentinel_counts(retail.raw(spark, sf_dir), QUALITY.sentinel_counts)
+    return quality.sentinel_counts(retail.bronze(spark, sf_dir), QUALITY.sentinel_counts)
 
 
 def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.summary(retail.raw(spark, sf_dir), retail.layers(spark, sf_dir).silver, QUALITY)
+    return quality.summary(retail.bronze(spark, sf_dir), retail.layers(spark, sf_dir).silver, QUALITY)
 
 
 def city_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     variants = ("CIDADE", "NOME_MUNICIPIO")
-    return conform.city_spellings(retail.raw(spark, sf_dir), variants, retail.CITY)
+    return conform.city_spellings(retail.bronze(spark, sf_dir), variants, retail.CITY)
 
 
 def _repeated(s: retail.Star) -> DataFrame:
@@ -202,8 +215,8 @@ def _top_by_type(s: retail.Star, k: int) -> DataFrame:
     return analysis.restricted_to(_by_type(s), _leading(s, k), "bairro")
 
 
-def _months(s: retail.Star) -> DataFrame:
-    return analysis.year_month(s.fato_ocorrencia)
+def _months(s: retail.Star, until: dt.date | None = None) -> DataFrame:
+    return analysis.year_month(s.fato_ocorrencia, until)
 
 
 def _years(s: retail.Star) -> list[int]:
@@ -260,6 +273,13 @@ def queries() -> dict[str, Query]:
         "bronze": bronze,
         "bronze_replace": retail.replaced_deliveries,
         "file_inventory": file_inventory,
+        "ingest_bronze": _on_loads(lambda x: x.bronze),
+        "ingest_rejected": _on_loads(lambda x: x.rejected),
+        "ingest_control": _on_loads(lambda x: x.control),
+        "ingest_outcomes": _on_loads(lambda x: x.outcomes),
+        "content_changes": _on_loads(lambda x: x.changes),
+        "landing_merged": landing_merged,
+        "layer_swap": retail.layer_states,
         "control_latest": control_latest,
         "control_listing": control_listing,
         "change_detection": change_detection,
@@ -317,6 +337,9 @@ def queries() -> dict[str, Query]:
             lambda s: analysis.matrix(_top_by_year(s, 10), "bairro", "ano", "total_ocorrencias", _years(s))
         ),
         "place_rank_shift": _on_star(lambda s: analysis.place_rank_shift(_by_year(s))),
+        "rank_concordance": lambda spark, sf_dir: _rounded(
+            analysis.rank_concordance(retail.customers_by_year(spark, sf_dir)), "tau_b"
+        ),
         "by_weekday": _on_star(lambda s: analysis.by_weekday(s.fato_ocorrencia, s.dim_data)),
         "by_month": _on_star(lambda s: analysis.by_month(_months(s))),
         "hour_coverage": _on_star(lambda s: analysis.hour_coverage(s.fato_ocorrencia)),
@@ -331,6 +354,7 @@ def queries() -> dict[str, Query]:
         "partial_year_compare": _on_star(lambda s: analysis.same_months(_months(s), 4)),
         "covered_months_compare": _on_star(lambda s: analysis.same_months(_months(s))),
         "annual_totals": _on_star(lambda s: analysis.annual_totals(_months(s))),
+        "annual_totals_until": _on_star(lambda s: analysis.annual_totals(_months(s, QUALITY.date_ceiling))),
         "partial_year_normalised": _on_star(lambda s: analysis.projected_totals(_months(s))),
         "placetype_type": _on_star(_by_placetype),
         "placetype_type_matrix": _on_star(
@@ -345,6 +369,16 @@ def queries() -> dict[str, Query]:
         "correlation_matrix": _on_star(_correlation_matrix),
         "heat_grid": _on_star(_grid),
         "moran": _on_star(lambda s: _rounded(spatial.moran(_grid(s)), "moran_i")),
+        "moran_distance": lambda spark, sf_dir: _rounded(
+            spatial.moran_by_distance(retail.customer_places(spark, sf_dir), RADIUS_KM), "moran_i"
+        ),
+        # hundreds of places: limits cut, counts tie, one place has a third of all rows
+        "many_top_places": _on_many(lambda s: analysis.top_places(s.fato_ocorrencia, s.dim_local, MEMBER)),
+        "many_top10_place_year": _on_many(lambda s: _top_by_year(s, 10)),
+        "many_place_rank_shift": _on_many(lambda s: analysis.place_rank_shift(_by_year(s))),
+        "many_rank_concordance": _on_many(lambda s: _rounded(analysis.rank_concordance(_by_year(s)), "tau_b")),
+        "many_dominant_type": _on_many(lambda s: analysis.dominant_type(_by_type(s))),
+        "many_type_correlation": _on_many(lambda s: _correlation(s, (20,))),
         # a second input for the calendar questions
         "events_by_weekday": events_by_weekday,
         "events_by_month": events_by_month,

@@ -6,8 +6,10 @@ Only the binding of the test tables (the raw columns) is shared text.
 from __future__ import annotations
 
 from vintara.functions.text import whitespace
-from vintara.plans.retail import CITY, PARTS, RAW
+from vintara.plans import delivery
+from vintara.plans.retail import CITY, CUSTOMER_PLACE, MANY_PLACES, PARTS, RAW
 
+# Letters with an accent, and the same ones without.
 ACCENTS = "ÁÀÂÃÄÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇáàâãäéèêëíìîïóòôõöúùûüç"
 BARE = "AAAAAEEEEIIIIOOOOOUUUUCaaaaaeeeeiiiiooooouuuuc"
 MEMBER = "NÃO INFORMADO"
@@ -45,14 +47,17 @@ def pct(part: str, total: str) -> str:
     return f"round(100.0::DOUBLE * ({part}) / nullif({total}, 0), 2)"
 
 
-_raw_columns = ",\n".join(f'CAST({t.format(**PARTS)} AS VARCHAR) AS "{n}"' for n, t in RAW.items())
-
-RAW_CTE = f"""raw AS (
-SELECT {_raw_columns}
+def raw_cte(columns: dict[str, str]) -> str:
+    cells = ",\n".join(f'CAST({t.format(**PARTS)} AS VARCHAR) AS "{n}"' for n, t in columns.items())
+    return f"""raw AS (
+SELECT {cells}
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey)"""
 
+
+RAW_CTE = raw_cte(RAW)
+
 _periods = " ".join(
     f"WHEN {norm('p')} = '{k}' THEN '{v}'"
     for k, v in [
@@ -124,24 +129,25 @@ FROM ({days})"""
 DATE_CTE = f"""dim_data AS (
 {calendar("SELECT DISTINCT dt_ocorrencia_bo AS data FROM silver WHERE dt_ocorrencia_bo IS NOT NULL")})"""
 
+# Rows are counted by their keys; names are looked up for the counts.
 PLACE_YEAR = f"""place_year AS (
-SELECT d.ano, l.bairro, count(*) AS total_ocorrencias
-FROM fato f JOIN dim_data d ON f.id_data = d.id_data JOIN dim_local l ON f.id_local = l.id_local
-WHERE l.bairro <> '{MEMBER}' GROUP BY d.ano, l.bairro)"""
+SELECT ano, bairro, n AS total_ocorrencias FROM dim_local JOIN (
+  SELECT id_local, id_data // 10000 AS ano, count(*) AS n FROM fato WHERE id_data IS NOT NULL GROUP BY ALL) USING (id_local)
+WHERE bairro <> '{MEMBER}')"""
 
 PLACE_TYPE = f"""place_type AS (
-SELECT l.bairro, t.natureza_apurada, count(*) AS total
-FROM fato f JOIN dim_local l ON f.id_local = l.id_local
-JOIN dim_tipo t ON f.id_tipo_ocorrencia = t.id_tipo_ocorrencia
-WHERE l.bairro <> '{MEMBER}' GROUP BY ALL)"""
+SELECT bairro, natureza_apurada, CAST(sum(n) AS BIGINT) AS total FROM dim_local JOIN (
+  SELECT id_local, id_tipo_ocorrencia, count(*) AS n FROM fato GROUP BY ALL) USING (id_local)
+JOIN dim_tipo USING (id_tipo_ocorrencia) WHERE bairro <> '{MEMBER}' GROUP BY ALL)"""
 
 PLACETYPE = f"""placetype AS (
-SELECT t.descr_tipolocal, t.natureza_apurada, count(*) AS total_ocorrencias
-FROM fato f JOIN dim_tipo t ON f.id_tipo_ocorrencia = t.id_tipo_ocorrencia
-WHERE t.descr_tipolocal <> '{MEMBER}' GROUP BY ALL)"""
+SELECT descr_tipolocal, natureza_apurada, CAST(sum(n) AS BIGINT) AS total_ocorrencias FROM dim_tipo JOIN (
+  SELECT id_tipo_ocorrencia, count(*) AS n FROM fato GROUP BY ALL) USING (id_tipo_ocorrencia)
+WHERE descr_tipolocal <> '{MEMBER}' GROUP BY ALL)"""
 
 TREND = """trend AS (
-SELECT d.ano, d.mes, count(*) AS total FROM fato f JOIN dim_data d ON f.id_data = d.id_data GROUP BY ALL)"""
+SELECT id_data // 10000 AS ano, id_data // 100 % 100 AS mes, count(*) AS total
+FROM fato WHERE id_data IS NOT NULL GROUP BY ALL)"""
 
 
 def top(k: int) -> str:
@@ -305,7 +311,145 @@ LANDED = ", ".join(
     "l_returnflag l_linestatus".split()
 )
 
+# --- landing files, delivered twice ---
+
+
+def _by_era(year: str, of_columns) -> str:
+    """An expression over the columns that the files of a year have."""
+    columns = {first: delivery.header(list(RAW), first) for first in delivery.LACKING}
+    cases = " ".join(f"WHEN {year} >= {first} THEN {of_columns(columns[first])}" for first in sorted(columns, reverse=True))
+    return f"CASE {cases} END"
+
+
+def _line(columns: list[str]) -> str:
+    cells = [
+        f"""CASE WHEN "{c}" = '' THEN '""' WHEN contains("{c}", ',') THEN '"' || "{c}" || '"' ELSE coalesce("{c}", '') END"""
+        for c in columns
+    ]
+    wide, narrow = " || ',' || ".join(cells), " || ',' || ".join(cells[:3])
+    return f"CASE WHEN CAST(NUM_BO AS INTEGER) % 2 = 1 THEN {narrow} ELSE {wide} || ',EXCEDENTE' END"
+
+
+def _content(columns: list[str]) -> str:
+    cells = (f"""coalesce(length("{c}") || ':' || "{c}", '-') || ';'""" for c in sorted(columns))
+    return f"CAST('0x' || substr(md5({' || '.join(cells)}), 1, 15) AS BIGINT)"
+
+
+LANDED_CTE = f"""landed AS (
+SELECT *, CAST(_ano_arquivo AS INTEGER) AS ano,
+  _ano_arquivo IN {tuple(map(str, delivery.RAGGED))} AND CAST(NUM_BO AS INTEGER) % 97 = 0 AS ragged FROM raw),
+good AS (SELECT * EXCLUDE (ragged) FROM landed WHERE NOT ragged),
+earlier AS (
+SELECT * REPLACE (CASE WHEN ano = {delivery.CHANGED} AND CAST(NUM_BO AS INTEGER) % 89 = 0 AND DESCR_CONDUTA IN ('F', 'O')
+  THEN 'X' ELSE DESCR_CONDUTA END AS DESCR_CONDUTA)
+FROM good WHERE ano NOT IN ({delivery.FAULTY}, (SELECT max(ano) FROM landed))
+  AND NOT (ano = {delivery.PARTIAL} AND _guia_origem LIKE 'JUL-DEZ%')),
+years AS (SELECT DISTINCT ano FROM landed),
+runs AS (
+SELECT ano, carga, (carga = 1 AND ano < (SELECT max(ano) FROM years)) OR (carga = 2 AND ano IN
+  ({delivery.CHANGED}, {delivery.FAULTY}, {delivery.PARTIAL}, (SELECT max(ano) FROM years))) AS loaded
+FROM years, range(1, 3) r(carga))"""
+
+_marks = ", ".join(
+    f"""{name} AS (SELECT _arquivo_origem AS arquivo, count(*) AS linhas,
+  CAST(sum({_by_era('ano', _content)}) AS VARCHAR) AS impressao FROM {source} GROUP BY ALL)"""
+    for name, source in (("marks_now", "good"), ("marks_before", "earlier"))
+)
+
+def ranked(by_year: str) -> str:
+    return f"""pairs AS (
+SELECT y.ano, x.bairro, x.n AS x, y.n AS y FROM {by_year} x JOIN {by_year} y ON y.bairro = x.bairro AND y.ano = x.ano + 1),
+compared AS (
+SELECT a.ano, count(*) FILTER ((a.x - b.x) * (a.y - b.y) > 0) AS concordantes,
+  count(*) FILTER ((a.x - b.x) * (a.y - b.y) < 0) AS discordantes,
+  count(*) FILTER (a.x = b.x) AS empates_antes, count(*) FILTER (a.y = b.y) AS empates_agora, count(*) AS p
+FROM pairs a JOIN pairs b ON a.ano = b.ano AND a.bairro < b.bairro GROUP BY a.ano)"""
+
+
+BY_CUSTOMER = """by_year AS (
+SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, o_custkey AS bairro, count(*) AS n FROM orders GROUP BY ALL)"""
+
+CONCORDANCE = """SELECT ano, lugares, concordantes, discordantes, empates_antes, empates_agora,
+  round((concordantes - discordantes) / nullif(sqrt(p - empates_antes) * sqrt(p - empates_agora), 0), 6) AS tau_b
+FROM compared JOIN (SELECT ano, count(*) AS lugares FROM pairs GROUP BY ano) USING (ano)"""
+
+
+def of_many(select: str, *ctes: str) -> str:
+    """``of_star`` over the rows in hundreds of places."""
+    return "WITH " + ",\n".join((raw_cte(MANY_PLACES), SILVER_CTE, GOLD_CTE, DATE_CTE, *ctes)) + "\n" + select
+
+
+RANK_SHIFT = """SELECT *, lag(posicao) OVER (PARTITION BY bairro ORDER BY ano) - posicao AS mudanca FROM (
+SELECT *, rank() OVER (PARTITION BY ano ORDER BY total_ocorrencias DESC) AS posicao FROM place_year)"""
+
+DOMINANT = f"""SELECT bairro, natureza_apurada, total, total_bairro, {pct('total', 'total_bairro')} AS pct FROM (
+SELECT *, CAST(sum(total) OVER (PARTITION BY bairro) AS BIGINT) AS total_bairro,
+  row_number() OVER (PARTITION BY bairro ORDER BY total DESC, natureza_apurada) AS k
+FROM place_type) WHERE k = 1"""
+
+TOP_PLACES = f"""SELECT bairro, n AS total_ocorrencias FROM dim_local
+JOIN (SELECT id_local, count(*) AS n FROM fato GROUP BY id_local) USING (id_local)
+WHERE bairro <> '{MEMBER}' ORDER BY n DESC, bairro LIMIT 15"""
+
 QUERIES: dict[str, str] = {
+    # landing to Bronze
+    "ingest_bronze": of_raw("SELECT * EXCLUDE (ano) FROM good", LANDED_CTE),
+    "ingest_rejected": of_raw(
+        f"""SELECT _arquivo_origem, _guia_origem, _dt_ingestao, _ano_arquivo,
+        {_by_era('ano', _line)} AS _linha_rejeitada FROM landed WHERE ragged""",
+        LANDED_CTE,
+    ),
+    "ingest_control": of_raw(
+        f"""SELECT ano, 'registros_' || ano AS arquivo, coalesce(CASE carga WHEN 1 THEN e.n ELSE g.n END, 0) AS n_linhas_bronze,
+        CASE WHEN carga = 1 AND ano = {delivery.FAULTY} THEN 'falha' ELSE 'ok' END AS status
+        FROM runs LEFT JOIN (SELECT ano, count(*) AS n FROM earlier GROUP BY ano) e USING (ano)
+        LEFT JOIN (SELECT ano, count(*) AS n FROM good GROUP BY ano) g USING (ano) WHERE loaded""",
+        LANDED_CTE,
+    ),
+    "ingest_outcomes": of_raw(
+        f"""SELECT CAST(carga AS INTEGER) AS carga, ano, 'registros_' || ano AS arquivo,
+        CASE WHEN ano = {delivery.MISSING} OR carga = 1 AND ano = (SELECT max(ano) FROM years) THEN 'ausente'
+          WHEN carga = 1 AND ano = {delivery.FAULTY} THEN 'falha'
+          WHEN loaded THEN 'processado' ELSE 'pulado' END AS situacao
+        FROM (SELECT * FROM runs UNION ALL SELECT {delivery.MISSING}, unnest([1, 2]), false)""",
+        LANDED_CTE,
+    ),
+    "content_changes": of_raw(
+        """SELECT arquivo, n.linhas, n.impressao, b.linhas AS linhas_antes, b.impressao AS impressao_antes,
+        CASE WHEN b.linhas IS NULL THEN 'novo' WHEN n.linhas <> b.linhas THEN 'linhas'
+          WHEN n.impressao <> b.impressao THEN 'conteudo' ELSE 'igual' END AS mudanca
+        FROM marks_now n LEFT JOIN marks_before b USING (arquivo)""",
+        LANDED_CTE,
+        _marks,
+    ),
+    "landing_merged": of_raw("SELECT * FROM raw"),
+    "layer_swap": """SELECT o_orderkey, o_orderstatus, CAST(year(o_orderdate) AS VARCHAR) AS ano, estado
+        FROM orders, (VALUES ('depois da falha'), ('depois da troca')) v(estado)
+        WHERE estado = 'depois da falha' OR o_orderstatus = 'F'""",
+    "rank_concordance": f"WITH {BY_CUSTOMER}, {ranked('by_year')} {CONCORDANCE}",
+    "many_top_places": of_many(TOP_PLACES),
+    "many_top10_place_year": of_many("SELECT p.* FROM place_year p JOIN top10 USING (bairro)", PLACE_YEAR, top(10)),
+    "many_place_rank_shift": of_many(RANK_SHIFT, PLACE_YEAR),
+    "many_rank_concordance": of_many(
+        CONCORDANCE,
+        PLACE_YEAR,
+        "by_year AS (SELECT ano, bairro, total_ocorrencias AS n FROM place_year)",
+        ranked("by_year"),
+    ),
+    "many_dominant_type": of_many(DOMINANT, PLACE_TYPE),
+    "many_type_correlation": of_many("SELECT * FROM corr", *correlation([20])),
+    "moran_distance": f"""WITH places AS (
+        SELECT c_custkey AS id, CAST({CUSTOMER_PLACE['latitude']} AS DOUBLE) AS lat,
+          CAST({CUSTOMER_PLACE['longitude']} AS DOUBLE) AS lon, coalesce(n, 0) AS v FROM customer
+        LEFT JOIN (SELECT o_custkey AS c_custkey, count(*) AS n FROM orders GROUP BY ALL) USING (c_custkey)),
+        located AS (SELECT * FROM places WHERE lat IS NOT NULL),
+        mean AS (SELECT avg(v) AS mu, count(*) AS lugares, sum((v - (SELECT avg(v) FROM located)) ** 2) AS spread FROM located),
+        apart AS (SELECT a.v AS va, b.v AS vb, 2 * 6371.0088 * asin(least(1.0, sqrt(
+          sin(radians(b.lat - a.lat) / 2) ** 2 + cos(radians(a.lat)) * cos(radians(b.lat)) * sin(radians(b.lon - a.lon) / 2) ** 2
+          ))) AS km FROM located a JOIN located b ON a.id <> b.id AND abs(a.lat - b.lat) < 0.02)
+        SELECT (SELECT count(*) FROM located) AS lugares, count(*) AS pares, round(any_value(lugares) *
+          sum((1 - km / 1.5) * (va - mu) * (vb - mu)) / (sum(1 - km / 1.5) * any_value(spread)), 6) AS moran_i
+        FROM apart, mean WHERE km <= 1.5""",
     # sources
     "landing_string": f"""SELECT {LANDED}, strftime(l_shipdate, '%Y-%m-%d') AS "l_shipdate" FROM lineitem""",
     "header_clean": """SELECT c_custkey AS "COD_CLIENTE", c_name AS "NOME__COMPLETO_", c_nationkey AS "COD_IBGE",
@@ -383,9 +527,7 @@ QUERIES: dict[str, str] = {
         count(*) AS linhas FROM raw WHERE coalesce(CIDADE, NOME_MUNICIPIO) IS NOT NULL GROUP BY ALL)""",
     ),
     # analysis
-    "top_places": of_star(f"""SELECT l.bairro, count(*) AS total_ocorrencias
-        FROM fato f JOIN dim_local l ON f.id_local = l.id_local WHERE l.bairro <> '{MEMBER}'
-        GROUP BY l.bairro ORDER BY total_ocorrencias DESC, l.bairro LIMIT 15"""),
+    "top_places": of_star(TOP_PLACES),
     "place_year": of_star("SELECT * FROM place_year", PLACE_YEAR),
     "top10_place_year": of_star(
         "SELECT p.* FROM place_year p JOIN top10 USING (bairro)", PLACE_YEAR, top(10)
@@ -398,11 +540,7 @@ QUERIES: dict[str, str] = {
         PLACE_YEAR,
         top(10),
     ),
-    "place_rank_shift": of_star(
-        """SELECT *, lag(posicao) OVER (PARTITION BY bairro ORDER BY ano) - posicao AS mudanca FROM (
-        SELECT *, rank() OVER (PARTITION BY ano ORDER BY total_ocorrencias DESC) AS posicao FROM place_year)""",
-        PLACE_YEAR,
-    ),
+    "place_rank_shift": of_star(RANK_SHIFT, PLACE_YEAR),
     "by_weekday": of_star(BY_WEEKDAY),
     "by_month": of_star("SELECT mes, CAST(sum(total) AS BIGINT) AS total FROM trend GROUP BY mes", TREND),
     "hour_coverage": of_star(f"""SELECT count(hora_ocorrencia_bo) AS preenchidas, count(*) AS total,
@@ -419,13 +557,7 @@ QUERIES: dict[str, str] = {
         PLACE_YEAR,
         top(5),
     ),
-    "dominant_type": of_star(
-        f"""SELECT bairro, natureza_apurada, total, total_bairro, {pct('total', 'total_bairro')} AS pct FROM (
-        SELECT *, CAST(sum(total) OVER (PARTITION BY bairro) AS BIGINT) AS total_bairro,
-          row_number() OVER (PARTITION BY bairro ORDER BY total DESC, natureza_apurada) AS k
-        FROM place_type) WHERE k = 1""",
-        PLACE_TYPE,
-    ),
+    "dominant_type": of_star(DOMINANT, PLACE_TYPE),
     "year_month_trend": of_star("SELECT * FROM trend", TREND),
     "partial_year_compare": of_star(
         "SELECT ano, CAST(sum(total) AS BIGINT) AS total FROM trend WHERE mes <= 4 GROUP BY ano", TREND
@@ -440,6 +572,12 @@ QUERIES: dict[str, str] = {
         (ano = (SELECT max(ano) FROM trend) AND max(mes) < 12) AS parcial FROM trend GROUP BY ano""",
         TREND,
     ),
+    "annual_totals_until": of_star(
+        """SELECT ano, CAST(sum(total) AS BIGINT) AS total,
+        (ano = (SELECT max(ano) FROM known) AND max(mes) < 12) AS parcial FROM known GROUP BY ano""",
+        TREND,
+        "known AS (SELECT * FROM trend WHERE ano < 2001 OR mes <= 6)",
+    ),
     "partial_year_normalised": of_star(
         """SELECT ano, total, CAST(m AS INTEGER) AS meses_cobertos, total * 12.0::DOUBLE / m AS total_anualizado,
         m < 12 AS projecao FROM (SELECT ano, CAST(sum(total) AS BIGINT) AS total,
@@ -479,9 +617,7 @@ QUERIES: dict[str, str] = {
     "dim_data_updated": of_star("SELECT * FROM dim_data"),
     "dim_local_updated": of_star("SELECT * FROM dim_local"),
     "dim_tipo_updated": of_star("SELECT * FROM dim_tipo"),
-    "top_places_after_update": of_star(f"""SELECT l.bairro, count(*) AS total_ocorrencias
-        FROM fato f JOIN dim_local l ON f.id_local = l.id_local WHERE l.bairro <> '{MEMBER}'
-        GROUP BY l.bairro ORDER BY total_ocorrencias DESC, l.bairro LIMIT 15"""),
+    "top_places_after_update": of_star(TOP_PLACES),
     "fk_report_after_update": of_star("""SELECT count(*) FILTER (id_local IS NULL) AS id_local_nulo,
         count(*) FILTER (id_tipo_ocorrencia IS NULL) AS id_tipo_nulo,
         count(*) FILTER (id_data IS NULL) AS id_data_nulo, count(*) AS total FROM fato"""),

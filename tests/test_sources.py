@@ -140,7 +140,7 @@ def test_replace_key(spark, schema, rows):
     # Empty removes the key.
     assert [r[-1] for r in put("2022", frame(spark))] == ["2024", "2023"]
     assert tables.count_key(spark, table, key, "2023") == 1
-    assert spark.conf.get(tables.OVERWRITE_MODE) != "dynamic"
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") != "dynamic"
 
 
 def test_replace_partitions_by_month(spark, schema, rows):

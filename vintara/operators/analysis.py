@@ -12,6 +12,7 @@ everywhere else.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -114,6 +115,56 @@ def place_rank_shift(by_year: DataFrame) -> DataFrame:
     )
 
 
+def _discordant(cells: DataFrame) -> DataFrame:
+    """Per year the pairs of places that changed order, from the histogram ``ano, x, y, n``.
+
+    Two different counts part at one bit, the highest in which they differ. For every bit the
+    cells whose counts agree above it are a group, and in it those with the bit unset come before
+    those with it set. A pair changes order if the later count of the one before is larger: a
+    running sum over the later counts. A group has at most one row for each later count.
+    """
+    most = cells.agg(F.max("x")).first()[0] or 0
+    bits = F.explode(F.sequence(F.lit(0), F.lit(max(0, int(most).bit_length() - 1)))).alias("bit")
+    unset = F.expr("shiftright(x, bit) & 1") == 0
+    sides = cells.select("*", bits).groupBy("ano", "bit", F.expr("shiftright(x, bit + 1)").alias("above"), "y")
+    sides = sides.agg(
+        F.sum(F.when(unset, F.col("n")).otherwise(0)).alias("before"),
+        F.sum(F.when(unset, 0).otherwise(F.col("n"))).alias("after"),
+    )
+    larger = Window.partitionBy("ano", "bit", "above").orderBy(F.desc("y")).rowsBetween(Window.unboundedPreceding, -1)
+    crossed = F.col("after") * F.coalesce(F.sum("before").over(larger), F.lit(0))
+    return sides.withColumn("crossed", crossed).groupBy("ano").agg(F.sum("crossed").alias("discordantes"))
+
+
+def rank_concordance(by_year: DataFrame) -> DataFrame:
+    """How far the order of places in a year is that of the year before: pairs and Kendall's tau-b.
+
+    Over places with rows in both years. No pair of places is formed: places are counted by their
+    two totals, and ordered pairs are counted from that histogram. Tau is null if all places are
+    tied in one of the years.
+    """
+    before = by_year.select((F.col("ano") + 1).alias("ano"), "bairro", F.col("total_ocorrencias").alias("x"))
+    now = by_year.select("ano", "bairro", F.col("total_ocorrencias").alias("y"))
+    cells = before.join(now, ["ano", "bairro"]).groupBy("ano", "x", "y").agg(F.count("*").alias("n"))
+    pairs = lambda n: F.expr(f"{n} * ({n} - 1) div 2")
+
+    def tied(column: str, name: str) -> DataFrame:
+        sums = cells.groupBy("ano", column).agg(F.sum("n").alias("n"))
+        return sums.groupBy("ano").agg(F.sum(pairs("n")).alias(name))
+
+    whole = cells.groupBy("ano").agg(F.sum("n").alias("lugares"), F.sum(pairs("n")).alias("_both"))
+    out = whole.join(tied("x", "empates_antes"), "ano").join(tied("y", "empates_agora"), "ano")
+    out = out.join(_discordant(cells), "ano").withColumn("_pairs", pairs("lugares"))
+    loose = F.col("_pairs") - F.col("empates_antes") - F.col("empates_agora") + F.col("_both")
+    out = out.withColumn("concordantes", loose - F.col("discordantes"))
+    open_before, open_now = F.col("_pairs") - F.col("empates_antes"), F.col("_pairs") - F.col("empates_agora")
+    scale = F.sqrt(open_before.cast("double")) * F.sqrt(open_now.cast("double"))
+    tau = F.try_divide((F.col("concordantes") - F.col("discordantes")).cast("double"), scale)
+    return out.select(
+        "ano", "lugares", "concordantes", "discordantes", "empates_antes", "empates_agora", tau.alias("tau_b")
+    )
+
+
 def place_type(fact: DataFrame, places: DataFrame, kinds: DataFrame, member: str) -> DataFrame:
     """Rows per place and charged type, undated rows included."""
     by_keys = fact.groupBy("id_local", "id_tipo_ocorrencia").agg(F.count("*").alias("n"))
@@ -153,15 +204,16 @@ def by_weekday(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     )
 
 
-def year_month(fact: DataFrame) -> DataFrame:
+def year_month(fact: DataFrame, until: dt.date | None = None) -> DataFrame:
     """Rows per year and month of occurrence, from the partition key alone.
 
-    The filter on the count drops nothing; with it, the totals and the newest year taken
+    ``until`` leaves out months after its own: one mistyped date in the future would otherwise be
+    the newest year to every question about partial years. The filter on the count drops nothing; with it, the totals and the newest year taken
     from this result share one scan.
     """
+    rows = _dated(fact) if until is None else _dated(fact).filter(F.col(MONTH) <= until.strftime("%Y%m"))
     return (
-        _dated(fact)
-        .groupBy(MONTH)
+        rows.groupBy(MONTH)
         .agg(F.count("*").alias("total"))
         .filter("total > 0")
         .select(_year().alias("ano"), F.substring(MONTH, 5, 2).cast("int").alias("mes"), "total")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The eight neighbours of a grid cell.
@@ -64,3 +66,73 @@ def moran(grid: DataFrame) -> DataFrame:
         F.col("w").cast("bigint").alias("vizinhancas"),
         F.when(F.col("w") > 0, index).alias("moran_i"),
     )
+
+
+# Mean radius of the earth, and kilometres of one degree on a great circle.
+EARTH_KM = 6371.0088
+DEGREE_KM = EARTH_KM * math.pi / 180
+
+
+def kilometres(lat_a: Column, lon_a: Column, lat_b: Column, lon_b: Column) -> Column:
+    """Great-circle distance by the haversine formula."""
+    half = lambda a, b: F.sin(F.radians(b - a) / 2)
+    h = F.pow(half(lat_a, lat_b), 2) + F.cos(F.radians(lat_a)) * F.cos(F.radians(lat_b)) * F.pow(half(lon_a, lon_b), 2)
+    return F.asin(F.least(F.sqrt(h), F.lit(1.0))) * 2 * EARTH_KM
+
+
+def near_pairs(places: DataFrame, radius_km: float) -> DataFrame:
+    """Ordered pairs of places (``id, latitude, longitude, valor``) within a distance of each other.
+
+    A range join by buckets: cells are as high as the radius and, at the latitude furthest from
+    the equator, as wide, so a partner lies in a place's own cell or in one of the eight around
+    it. Each place is looked up there by an equality join and the exact distance decides. Only
+    pairs of neighbouring cells are formed, whatever the number of places.
+    """
+    rows = places.filter("latitude IS NOT NULL AND longitude IS NOT NULL")
+    furthest = rows.agg(F.max(F.abs("latitude"))).first()[0]
+    # Within a degree of a pole every place of a row of cells is a neighbour: one cell around.
+    narrowest = math.cos(math.radians(min(furthest or 0.0, 89.0)))
+    high, wide = radius_km / DEGREE_KM, radius_km / DEGREE_KM / narrowest
+    if (furthest or 0.0) > 89.0 - high:
+        wide = 360.0
+    celled = rows.withColumns(
+        {"cy": F.floor(F.col("latitude") / high), "cx": F.floor((F.col("longitude") + 180) / wide)}
+    )
+    around = F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in [(0, 0), *NEIGHBOURS]))
+    asking = celled.withColumn("d", F.explode(around)).select(
+        F.col("id").alias("a"), F.col("latitude").alias("lat_a"), F.col("longitude").alias("lon_a"),
+        F.col("valor").alias("valor_a"), (F.col("cy") + F.col("d.y")).alias("cy"), (F.col("cx") + F.col("d.x")).alias("cx"),
+    )
+    there = celled.select(
+        F.col("id").alias("b"), F.col("latitude").alias("lat_b"), F.col("longitude").alias("lon_b"),
+        F.col("valor").alias("valor_b"), "cy", "cx",
+    )
+    far = kilometres(F.col("lat_a"), F.col("lon_a"), F.col("lat_b"), F.col("lon_b"))
+    pairs = asking.join(there, ["cy", "cx"]).filter(F.col("a") != F.col("b")).withColumn("km", far)
+    return pairs.filter(F.col("km") <= radius_km).select("a", "b", "km", "valor_a", "valor_b")
+
+
+def moran_by_distance(places: DataFrame, radius_km: float) -> DataFrame:
+    """Moran's I of the values of places, a pair weighing less the further its centres are apart.
+
+    The weight falls from one at no distance to nought at the radius. Places without a centre
+    take no part. Null when no pair has a weight or all values are equal. Longitudes that meet at
+    the date line are not neighbours.
+    """
+    w, zero = 1 - F.col("km") / radius_km, F.lit(0.0)
+    left, right, value = F.col("valor_a"), F.col("valor_b"), F.col("valor").cast("double")
+    located = places.filter("latitude IS NOT NULL AND longitude IS NOT NULL")
+    over_places = located.select(
+        F.lit(1).alias("lugares"), value.alias("s1"), (value * value).alias("s2"),
+        F.lit(0).alias("pares"), zero.alias("w"), zero.alias("cross"), zero.alias("ends"),
+    )
+    over_pairs = near_pairs(places, radius_km).select(
+        F.lit(0).alias("lugares"), zero.alias("s1"), zero.alias("s2"),
+        F.lit(1).alias("pares"), w.alias("w"), (w * left * right).alias("cross"), (w * (left + right)).alias("ends"),
+    )
+    sums = over_places.unionByName(over_pairs).agg(*(F.sum(c).alias(c) for c in over_places.columns))
+    mean = F.try_divide("s1", "lugares")
+    cross = F.col("cross") - mean * F.col("ends") + mean * mean * F.col("w")
+    spread = F.col("s2") - mean * F.col("s1")
+    index = F.try_divide(F.col("lugares") * cross, F.col("w") * spread)
+    return sums.select("lugares", "pares", F.when((F.col("w") > 0) & (spread > 0), index).alias("moran_i"))

@@ -11,6 +11,7 @@ from vintara.functions.keys import surrogate_key
 from vintara.functions.text import normalise
 from vintara.functions.typing import day_key
 
+# Attributes that a fact row takes over, in the order of its columns.
 FACT_ATTRIBUTES = (
     "hora_ocorrencia_bo",
     "desc_periodo",
@@ -103,6 +104,69 @@ def dim_type(keyed: DataFrame, rules: StarRules) -> DataFrame:
     return kinds.select(surrogate_key(*rules.type_keys).alias("id_tipo_ocorrencia"), *rules.type_keys)
 
 
+# --- dimensions kept by signed changes ------------------------------------------------
+
+# Fixed value: digits behind the point that a coordinate keeps in an exact sum.
+COORDINATE = "decimal(20,12)"
+SIGN = "_sinal"
+
+
+def signed(rows: DataFrame, sign: int) -> DataFrame:
+    """Rows that come into a Silver (1) or leave it (-1)."""
+    return rows.withColumn(SIGN, F.lit(sign))
+
+
+def place_state(keyed: DataFrame) -> DataFrame:
+    """What ``dim_place`` is made of, in a form that changes can be added to: counts and exact sums."""
+    sign = F.col(SIGN)
+    sums = {"qtd": F.sum(sign)}
+    for name in ("latitude", "longitude"):
+        sums[f"{name}_soma"] = F.sum(F.coalesce(F.col(name).cast(COORDINATE), F.lit(0)) * sign)
+        sums[f"{name}_n"] = F.sum(F.when(F.col(name).isNotNull(), sign).otherwise(0))
+    return keyed.groupBy(F.col("bairro_norm").alias("bairro")).agg(*(c.alias(n) for n, c in sums.items()))
+
+
+def type_state(keyed: DataFrame, rules: StarRules) -> DataFrame:
+    return keyed.groupBy(*rules.type_keys).agg(F.sum(SIGN).alias("qtd"))
+
+
+def date_state(keyed: DataFrame) -> DataFrame:
+    dated = keyed.filter("dt_ocorrencia_bo IS NOT NULL")
+    return dated.groupBy(F.col("dt_ocorrencia_bo").alias("data")).agg(F.sum(SIGN).alias("qtd"))
+
+
+def changed_state(state: DataFrame, change: DataFrame) -> DataFrame:
+    """A state with changes added; members that no row is left of drop out.
+
+    It moves members, not rows: as many as the dimension has and the change touches.
+    """
+    sums = [f.name for f in state.schema.fields if f.name == "qtd" or f.name.endswith(("_soma", "_n"))]
+    keys = [c for c in state.columns if c not in sums]
+    added = state.unionByName(change).groupBy(*keys).agg(*(F.sum(c).alias(c) for c in sums)).filter("qtd > 0")
+    return added.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in state.schema.fields))
+
+
+def place_members(state: DataFrame) -> DataFrame:
+    """``dim_place`` from its state."""
+    centre = {n: F.try_divide(F.col(f"{n}_soma").cast("double"), F.col(f"{n}_n")) for n in ("latitude", "longitude")}
+    return state.select(
+        surrogate_key("bairro").alias("id_local"),
+        "bairro",
+        *(c.alias(f"{n}_centroide") for n, c in centre.items()),
+        F.col("qtd").alias("qtd_ocorrencias"),
+    )
+
+
+def type_members(state: DataFrame, rules: StarRules) -> DataFrame:
+    """``dim_type`` from its state."""
+    return state.select(surrogate_key(*rules.type_keys).alias("id_tipo_ocorrencia"), *rules.type_keys)
+
+
+def date_members(state: DataFrame, rules: StarRules) -> DataFrame:
+    """``dim_date`` from its state."""
+    return _calendar_columns(state.select("data"), rules)
+
+
 def _fact_columns(df: DataFrame, undated_key: int | None) -> DataFrame:
     day = day_key(F.col("dt_ocorrencia_bo"))
     return df.select(

@@ -15,13 +15,22 @@ from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vintara.config import INCIDENT_STAR, INCIDENTS
 from vintara.functions.typing import month_key
 from vintara.operators.conform import to_silver
 from vintara.operators.star import fact, with_natural_keys
 from vintara.plans.medallion import Star, build_gold, build_silver, save_dimensions, update_silver, update_star
-from vintara.sources.tables import ensure_schema, replace_key, save_table, shared_folder
+from vintara.sources.tables import (
+    ensure_schema,
+    read_layer,
+    replace_key,
+    save_table,
+    shared_folder,
+    stored,
+    write_layer,
+)
 
 T = TypeVar("T")
 
@@ -141,15 +150,36 @@ PARTS = {
 }
 
 
-@once_per_application
-def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bound raw table: every year under the union of all headers, all strings."""
-    expressions = {name: text.format(**PARTS) for name, text in RAW.items()}
+# Fixed value: the same rows in hundreds of places, many of them tied, one with a third of all rows.
+MANY_PLACES = RAW | {
+    "BAIRRO": """CASE WHEN l_orderkey % 3 = 0 THEN 'Centro ' WHEN l_orderkey % 11 = 0 THEN NULL
+        ELSE concat('Vila ', CAST(c_custkey % 400 AS STRING)) END"""
+}
+
+
+def _bound(spark: SparkSession, sf_dir: str, columns: dict[str, str]) -> DataFrame:
+    expressions = {name: text.format(**PARTS) for name, text in columns.items()}
     return joined(spark, sf_dir).select(
         *(F.expr(text).cast("string").alias(name) for name, text in expressions.items())
     )
 
 
+@once_per_application
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bound raw table: every year under the union of all headers, all strings."""
+    return _bound(spark, sf_dir, RAW)
+
+
+@once_per_application
+def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows as the persisted layer that everything above it reads, by year."""
+    rows, key = raw(spark, sf_dir), "_ano_arquivo"
+    path = f"{shared_folder(spark, 'bronze')}/bronze"
+    write_layer(rows, path, key, cluster=True)
+    last = [f for f in rows.schema if f.name != key] + [rows.schema[key]]
+    return read_layer(spark, path, StructType(last)).select(rows.columns)
+
+
 def raw_by_era(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The raw rows as three deliveries with drifting headers, as the source has them."""
     everything = raw(spark, sf_dir)
@@ -206,7 +236,15 @@ def layers(spark: SparkSession, sf_dir: str) -> Star:
     costs a re-read, not a rebuild.
     """
     root = shared_folder(spark, "star")
-    silver = build_silver(spark, raw(spark, sf_dir), INCIDENTS, CITY, root)
+    silver = build_silver(spark, bronze(spark, sf_dir), INCIDENTS, CITY, root)
+    return build_gold(spark, silver, INCIDENT_STAR, root)
+
+
+@once_per_application
+def many_places(spark: SparkSession, sf_dir: str) -> Star:
+    """Silver and the star schema of the rows in hundreds of places."""
+    root = shared_folder(spark, "many-places")
+    silver = build_silver(spark, _bound(spark, sf_dir, MANY_PLACES), INCIDENTS, CITY, root)
     return build_gold(spark, silver, INCIDENT_STAR, root)
 
 
@@ -248,7 +286,7 @@ def updated_by_month(spark: SparkSession, sf_dir: str) -> Star:
     The tables first hold an older state: the 1997 file with another date of occurrence and
     the 1999 file not yet delivered. Both end as a full rebuild would leave them.
     """
-    silver = to_silver(raw(spark, sf_dir), INCIDENTS, CITY)
+    silver = to_silver(bronze(spark, sf_dir), INCIDENTS, CITY)
     changed = ["registros_1997", "registros_1999"]
     shifted = F.add_months("dt_ocorrencia_bo", -24)
     older = F.col("_arquivo_origem") == changed[0]
@@ -259,7 +297,8 @@ def updated_by_month(spark: SparkSession, sf_dir: str) -> Star:
     first = first.withColumn(month, month_key(F.col("dt_ocorrencia_bo")))
 
     schema = f"vintara_{uuid.uuid4().hex}"
-    silver_table, journal = f"{schema}.silver", f"{schema}._meses_pendentes"
+    silver_table = f"{schema}.silver"
+    noted = {"journal": f"{schema}._meses_pendentes", "changes": f"{schema}._linhas_trocadas"}
     ensure_schema(spark, schema, shared_folder(spark, "update"))
     save_table(first, silver_table, month, cluster=True)
     save_dimensions(spark, schema, spark.table(silver_table), INCIDENT_STAR)
@@ -267,6 +306,55 @@ def updated_by_month(spark: SparkSession, sf_dir: str) -> Star:
     save_table(fact(keyed, INCIDENT_STAR), f"{schema}.fato_ocorrencia", month)
 
     fresh = silver.filter(F.col("_arquivo_origem").isin(*changed))
-    months = update_silver(spark, silver_table, fresh, changed, journal=journal)
-    update_star(spark, schema, spark.table(silver_table), INCIDENT_STAR, months, journal)
+    months = update_silver(spark, silver_table, fresh, changed, **noted)
+    update_star(spark, schema, spark.table(silver_table), INCIDENT_STAR, months, **noted)
     return Star(**{f.name: spark.table(f"{schema}.{f.name}") for f in dataclasses.fields(Star)})
+
+
+@once_per_application
+def layer_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A layer of orders by year after a write that failed half-way, and after one that did not."""
+    (orders,) = tables(spark, sf_dir, "orders")
+    rows = orders.select("o_orderkey", "o_orderstatus", F.year("o_orderdate").cast("string").alias("ano"))
+    last = orders.agg(F.max("o_orderkey")).first()[0]
+    broken = F.when(F.col("o_orderkey") == last, F.raise_error(F.lit("half-way"))).otherwise(F.lit("X"))
+    schema = f"vintara_{uuid.uuid4().hex}"
+    table, states = f"{schema}.pedidos", []
+    ensure_schema(spark, schema, shared_folder(spark, "swap"))
+    save_table(rows, table, "ano", cluster=True)
+    for name, written in (
+        ("depois da falha", rows.withColumn("o_orderstatus", broken.cast("string"))),
+        ("depois da troca", rows.filter("o_orderstatus = 'F'")),
+    ):
+        try:
+            save_table(written, table, "ano", cluster=True)
+        except Exception as error:
+            if "half-way" not in str(error):
+                raise
+        states.append(stored(spark.table(table).withColumn("estado", F.lit(name)), "state"))
+    return states[0].unionByName(states[1])
+
+
+def customers_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per customer and year: a binding with many places, and many of them tied."""
+    (orders,) = tables(spark, sf_dir, "orders")
+    return orders.groupBy(F.year("o_orderdate").alias("ano"), F.col("o_custkey").alias("bairro")).agg(
+        F.count("*").alias("total_ocorrencias")
+    )
+
+
+# Made-up places of customers, alike in Spark SQL and in other SQL engines.
+CUSTOMER_PLACE = {
+    "latitude": "CASE WHEN c_custkey % 71 <> 0 THEN -23.70 + (c_custkey * 7919 % 1000) * 0.00035 END",
+    "longitude": "-47.60 + (c_custkey * 104729 % 1009) * 0.0003",
+}
+
+
+def customer_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as places with a centre and the number of their orders."""
+    orders, customer = tables(spark, sf_dir, "orders", "customer")
+    counts = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
+    located = customer.select("c_custkey", *(F.expr(e).cast("double").alias(n) for n, e in CUSTOMER_PLACE.items()))
+    return located.join(counts, "c_custkey", "left").select(
+        F.col("c_custkey").alias("id"), "latitude", "longitude", F.coalesce("n", F.lit(0)).alias("valor")
+    )
