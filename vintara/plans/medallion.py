@@ -62,6 +62,8 @@ def ingest(
     log.create_control(spark, control)
     if content:
         log.create_content(spark, content)
+    if rejected and not spark.catalog.tableExists(rejected):
+        tables.save_table(spark.createDataFrame([], landing.REJECTED_SCHEMA), rejected, "_ano_arquivo")
     landed = landing.manifest(spark, wanted.values(), landing.file_inventory(spark, landing_root))
     decisions = log.change_decisions(landed, spark.table(control)).orderBy("ano").collect()
     due = {r.ano: r.motivo for r in decisions if r.processar and r.content_length is not None}
@@ -149,11 +151,11 @@ class _Load:
         good = landing.good_rows(watched) if self.rejected else landing.only_good_rows(watched)
         year = str(self.vintage.year)
         count = tables.replace_key(spark, self.bronze, good, "_ano_arquivo", year)
-        if self.rejected:
+        if self.rejected and seen.get["rejected"]:
             # Only a file with bad lines is read a second time, for them alone.
-            lines = landing.rejected_rows(scanned)
-            lines = lines if seen.get["rejected"] else lines.limit(0)
-            tables.replace_key(spark, self.rejected, lines, "_ano_arquivo", year)
+            tables.replace_key(spark, self.rejected, landing.rejected_rows(scanned), "_ano_arquivo", year)
+        elif self.rejected:
+            tables.drop_partition(spark, self.rejected, "_ano_arquivo", year)
         if self.content:
             log.append_content(
                 spark,
