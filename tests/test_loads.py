@@ -119,6 +119,13 @@ def test_a_load_keeps_rejected_lines_and_counts_what_it_writes(spark, schema, la
     )
     assert {r.ano: (r.motivo, r.situacao) for r in outcome.collect()}[2022] == ("conteudo", "processado")
     assert load()[2022] == "pulado"
+    # A header that cannot be read any more, in a file as long as before, is not passed over.
+    part.write_bytes(part.read_bytes().replace(b"NUM_BO,ANO_BO", b"ANO_BO,ANO_BO").replace(b"FURTO", b"FURT0", 1))
+    lost = len(before) - len(part.read_bytes())
+    assert lost == 0
+    assert load()[2022] == "falha"
+    part.write_bytes(before)
+    assert load()[2022] == "processado"
     # The bad line is mended: nothing is left among the rejected ones.
     folder.write_text(folder.read_text(encoding="utf-8").replace("only,three,cells\n", ""), encoding="utf-8")
     assert load()[2022] == "processado" and spark.table(names["rejected"]).isEmpty()

@@ -89,19 +89,24 @@ def ingest(
 def _changed_inside(
     spark: SparkSession, vintages: list[landing.Vintage], root: str, content: str, fmt: str, line_breaks: bool
 ) -> list[int]:
-    """Years whose landed rows are not those of their last load, all files marked in one job."""
-    loaded = log.latest_content(spark.table(content))
-    marks, years = [], {v.file: v.year for v in vintages}
+    """Years whose landed rows are not those of their last load, or can no longer be read.
+
+    One job for each file, so that a broken one does not hide the others; its load tells what is wrong.
+    """
+    loaded = {r.arquivo: (r.linhas, r.impressao) for r in log.latest_content(spark.table(content)).collect()}
+    changed = []
     for vintage in vintages:
         try:
-            marks.append(landing.content_marks(landing.scan_vintage(spark, root, vintage, "", fmt, line_breaks=line_breaks)))
-        except Exception:  # the load tells what is wrong with it
-            marks.append(spark.createDataFrame([(vintage.file, None, None)], "arquivo string, linhas long, impressao string"))
-    if not marks:
-        return []
-    changes = log.content_changes(landing.union_by_name(marks), loaded)
-    changed = changes.filter("mudanca NOT IN ('igual', 'ausente') OR (linhas IS NULL AND mudanca <> 'ausente')")
-    return [years[r.arquivo] for r in changed.select("arquivo").collect() if r.arquivo in years]
+            scanned = landing.scan_vintage(spark, root, vintage, "", fmt, line_breaks=line_breaks)
+            marks = landing.content_marks(scanned).first()
+        except Exception:
+            logger.exception("%s: %s cannot be compared with its last load", vintage.year, vintage.file)
+            changed.append(vintage.year)
+            continue
+        now = (marks.linhas, marks.impressao) if marks else (0, "0")
+        if now != loaded.get(vintage.file):
+            changed.append(vintage.year)
+    return changed
 
 
 @dataclass(frozen=True)
