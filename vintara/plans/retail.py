@@ -172,10 +172,13 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @once_per_application
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw rows as the persisted layer that everything above it reads, by year."""
+    """The raw rows as the persisted layer that everything above it reads, by year.
+
+    There are few years, so tasks write straight into their partitions; gathering them would move all rows.
+    """
     rows, key = raw(spark, sf_dir), "_ano_arquivo"
     path = f"{shared_folder(spark, 'bronze')}/bronze"
-    write_layer(rows, path, key, cluster=True)
+    write_layer(rows, path, key)
     last = [f for f in rows.schema if f.name != key] + [rows.schema[key]]
     return read_layer(spark, path, StructType(last)).select(rows.columns)
 
