@@ -8,25 +8,34 @@ that is left with too few keys also gets the one-deletion neighbourhoods of its
 which then stands for one difference more, and if that is not enough, another partition.
 
 Equal sets are one node from the start. A bucket of a key is not expanded into pairs: its nodes
-are compared with one of them, inside the task that made the keys and then among the tasks. The
-buckets left with nodes of several components are settled by allocation of cost: of its keys a
+are compared with one of them, inside the task that made the keys and then among the tasks. For
+that a node names only as many keys as the pigeonhole asks for, those of most shingles first. The
+buckets left with nodes of several components are settled by allocation of cost: of all its keys a
 node probes the cheapest that the pigeonhole asks for, which mostly are shared by nobody.
+
+What is to be compared is first sieved by sketches. A sketch has the parity of the number of
+shingles in each of as many slots as twice the band's sizes. Two sketches never differ in more slots than
+their sets differ in shingles, so a pair that does not link may pass, but none that links is lost.
+A bucket's sketches come to one task, or to one for each pair of tiles of bounded size, and only
+pairs that pass leave it: first the closest one of any two components, then, when the components
+that these connect are known, all that are left between components.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from vintara.llm.common import as_given, components, documents, nulls_last, sweep, texts, tidy, with_rows, written
+from vintara.llm.minhash import in_tiles
 
 WIDTH = 5
 #: Smallest set that can link with another than its equal; smallest set of a band, times BAND, is that of the next.
@@ -35,24 +44,26 @@ LEAST, BAND = 4, 1.5
 SPARE = 1.3
 #: Keys that a task sorts at once.
 CHUNK = 1_500_000
+#: Bytes of sketches of one bucket that make a tile.
+TILE = 16_000_000
+#: Bytes of text hashed at once.
+BLOCK = 1 << 16
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _M2
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
+#: Bytes in lower case, and whether they separate words.
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+_BLANK = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
 
-class Hashes(dict):
-    """The hash of each word, kept while there is room."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        self[word] = out = xxhash.xxh3_64_intdigest(word)
-        return out
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(30))
+    x *= _M2
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def words(text: str) -> list[bytes]:
@@ -60,18 +71,50 @@ def words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII alone
 
 
-def shingles(text: str, hashes: Hashes) -> np.ndarray:
+def word_hashes(data: np.ndarray) -> np.ndarray:
+    """A hash of each word: the sum of a hash for every letter and its place, mixed with the length.
+
+    Letters are taken in blocks, so that neither a long text nor a long word needs arrays of its size.
+    """
+    inside = ~_BLANK[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    starts = np.flatnonzero(begins)
+    out = np.zeros(len(starts), np.uint64)
+    ends = inside
+    ends[:-1] &= ~inside[1:]
+    lengths = np.flatnonzero(ends) + 1 - starts
+    before = 0  # words up to the block
+    for low in range(0, len(data), BLOCK):
+        part = data[low : low + BLOCK]
+        own = np.cumsum(begins[low : low + BLOCK]) + (before - 1)
+        letter = ~_BLANK[part]
+        before = int(own[-1]) + 1
+        own = own[letter]
+        if not len(own):
+            continue
+        place = (np.flatnonzero(letter) + low - starts[own]).astype(np.uint64)
+        place <<= np.uint64(8)
+        place |= part[letter]
+        first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+        out[own[first]] += np.add.reduceat(_mix(place + _M1), first)
+    return _mix(out + lengths.astype(np.uint64) * _M1)
+
+
+def shingles(text: str) -> np.ndarray:
     """The distinct shingles of a text as sorted hashes."""
-    found = words(text)
-    w = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
+    w = word_hashes(_LOWER[np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)])
     if not len(w):
         return w
     k = min(WIDTH, len(w))
     out = np.zeros(len(w) - k + 1, np.uint64)
     for i in range(k):
-        out = (out + w[i : i + len(out)]) * _M1
+        out += w[i : i + len(out)]
+        out *= _M1
         out ^= out >> np.uint64(29)
-    return np.unique(_mix(out))
+    out = _mix(out)
+    out.sort()
+    return out[np.concatenate(([True], out[1:] != out[:-1]))]
 
 
 def node_of(found: np.ndarray, seed: int) -> int:
@@ -80,6 +123,7 @@ def node_of(found: np.ndarray, seed: int) -> int:
     return int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=8, key=key).digest(), "little", signed=True)
 
 
+@cache
 def _bounds(band: int) -> tuple[int, int]:
     """The sizes of a band, the upper one excluded."""
     return int(np.ceil(LEAST * BAND**band)), int(np.ceil(LEAST * BAND ** (band + 1)))
@@ -103,7 +147,7 @@ def differences(size: int, band: int) -> int:
 
 
 def keys(found: np.ndarray, band: int) -> tuple[np.ndarray, int, list[np.ndarray]]:
-    """Keys under a band's partition; how many of them the pigeonhole can spare; the deletion keys."""
+    """Keys under a band's partition; how many of them, from the end, the pigeonhole can spare; the deletion keys."""
     need = differences(len(found), band) + 1
     segments = int(np.ceil(SPARE * (2 * (_bounds(band)[1] - 1) // 9 + 1)))
     out, more, seed = [], [], 0
@@ -119,7 +163,8 @@ def keys(found: np.ndarray, band: int) -> tuple[np.ndarray, int, list[np.ndarray
         good = sizes >= 2
         out.append(_mix(sums[good] + label[good]))
         if good.sum() >= need and not seed:
-            return out[0], int(good.sum()) - need, []
+            # an order that is the same in all sets, so that each pair agrees in a key that neither spares
+            return out[0][np.lexsort((out[0], -sizes[good]))], int(good.sum()) - need, []
         if good.sum() >= need:
             break
         large = np.repeat(sizes >= 3, sizes)  # what is left of them still has two
@@ -133,9 +178,8 @@ def keys(found: np.ndarray, band: int) -> tuple[np.ndarray, int, list[np.ndarray
 
 def _sets(seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
         for batch in batches:
-            found = [shingles(t.as_py(), hashes) for t in batch["text"]]
+            found = [shingles(t.as_py()) for t in batch["text"]]
             yield pa.RecordBatch.from_arrays(
                 [*(batch[c] for c in batch.schema.names if c != "text"), pa.array(map(len, found), pa.int64()),
                  pa.array((node_of(x, seed) for x in found), pa.int64()),
@@ -168,7 +212,10 @@ def _stars(key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
     new = np.concatenate(([True], key[1:] != key[:-1]))
     first = node[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
     other = node != first
-    links = np.unique(np.stack((node[other], first[other])), axis=1)
+    links = np.stack((node[other], first[other]))
+    links = links[:, np.lexsort(links)]
+    if links.shape[1]:
+        links = links[:, np.concatenate(([True], (links[:, 1:] != links[:, :-1]).any(axis=0)))]
     apart = _mix(links[0].astype(np.uint64) ^ _mix(links[1].astype(np.uint64)))
     none = pa.nulls(int(new.sum()), pa.int64())
     return pa.RecordBatch.from_arrays(
@@ -180,13 +227,13 @@ def _stars(key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
 
 def _first_links(seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, waiting, held = Hashes(), [], 0
+        waiting, held = [], 0
         for batch in batches:
             for t in batch["text"]:
-                found = shingles(t.as_py(), hashes)
+                found = shingles(t.as_py())
                 for band in bands(len(found)):
-                    plain, _, more = keys(found, band)
-                    made = np.concatenate([plain, *more])
+                    plain, spare, more = keys(found, band)
+                    made = np.concatenate([plain[: len(plain) - spare], *more])
                     waiting.append((made, np.full(len(made), node_of(found, seed), np.int64)))
                     held += len(made)
                 if held > CHUNK:
@@ -207,10 +254,9 @@ def first_links(rows: DataFrame, seed: int) -> DataFrame:
 
 
 def _all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = Hashes()
     for batch in batches:
         for node, root, text in zip(*(batch[c].to_pylist() for c in ("node", "root", "text")), strict=True):
-            found = shingles(text, hashes)
+            found = shingles(text)
             for band in bands(len(found)):
                 plain, spare, more = keys(found, band)
                 made = np.unique(np.concatenate([plain, *more])).view(np.int64)
@@ -218,20 +264,114 @@ def _all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays(list(map(pa.array, (made, *same))), ["key", "node", "root", "band", "spare"])
 
 
-def remaining_links(bodies: DataFrame) -> DataFrame:
-    """The pairs across components (``node, root, text``) that share a key which one of them must probe.
+def sketch(found: np.ndarray, band: int) -> bytes:
+    """The parities of a set under a band."""
+    slots = 64 * -(-2 * _bounds(band)[1] // 64)
+    at = (found >> np.uint64(20)).astype(np.int64) % slots
+    return np.packbits((np.bincount(at, minlength=slots) & 1).astype(np.uint8)).tobytes()
+
+
+def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for node, text in zip(batch["node"].to_pylist(), batch["text"], strict=True):
+            found = shingles(text.as_py())
+            rows += [(node, band, len(found), sketch(found, band)) for band in bands(len(found))]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        made = zip(*rows, strict=True) if rows else [[]] * 4
+        made = [pa.array(x, k) for x, k in zip(made, kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays(made, ["node", "band", "n", "bits"])
+
+
+def profiles(bodies: DataFrame) -> DataFrame:
+    """``node, band, n, bits``: the size of each node's set, and its sketch under each of its bands."""
+    return bodies.select("node", "text").mapInArrow(tidy(_profiles), "node long, band long, n long, bits binary")
+
+
+def _passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        both = zip(batch["bits_a"].to_pylist(), batch["bits_b"].to_pylist(), strict=True)
+        apart = np.array([(int.from_bytes(x) ^ int.from_bytes(y)).bit_count() for x, y in both], np.int64)
+        close = 9 * apart <= batch["n_a"].to_numpy() + batch["n_b"].to_numpy()
+        yield batch.select(["a", "b"]).filter(pa.array(close, pa.bool_()))
+
+
+def sieved(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs that sizes and sketches allow. The larger set's own band, its first, is one of the smaller's too."""
+    x, y = (known.select(F.col("node").alias(s), "band", F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}")) for s in "ab")
+    near = 100 * F.least("n_a", "n_b") >= 80 * F.greatest("n_a", "n_b")
+    both = pairs.join(x, "a").join(y, ["b", "band"]).where(near).select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    return both.mapInArrow(tidy(_passing), "a long, b long").distinct()
+
+
+def probed(bodies: DataFrame, known: DataFrame) -> DataFrame:
+    """``key, node, probe, tiles, n, bits`` for the keys of ``bodies`` (``node, root, text``) that several components share.
 
     A key costs as many comparisons as its bucket has nodes, or none if all are of one component.
-    A node leaves out its dearest keys, as many as the pigeonhole can spare.
+    A node leaves out its dearest keys, as many as the pigeonhole can spare: ``probe`` is false there.
     """
     found = written(bodies.mapInArrow(tidy(_all_keys), "key long, node long, root long, band long, spare long"), "keys")
     mixed = found.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.count("*").alias("cost"))
-    shared = written(found.join(mixed.where("r <> s").select("key", "cost"), "key"), "shared-keys")
+    shared = found.join(mixed.where("r <> s").select("key", "cost"), "key").drop("root")
     dearest = Window.partitionBy("node", "band").orderBy(F.desc("cost"), "key")
-    probes = shared.withColumn("rank", F.row_number().over(dearest)).where("rank > spare")
-    probes = probes.select("key", F.col("node").alias("p"), F.col("root").alias("p_root"))
-    pairs = probes.join(shared, "key").where("root <> p_root")
-    return pairs.select(F.greatest("node", "p").alias("a"), F.least("node", "p").alias("b")).distinct()
+    ranked = shared.withColumn("probe", F.row_number().over(dearest) > F.col("spare"))
+    tiles = F.ceil(F.col("cost") * F.octet_length("bits") / TILE).cast("long").alias("tiles")  # one band, one length
+    return written(ranked.join(known, ["node", "band"]).select("key", "node", "probe", tiles, "n", "bits"), "probed")
+
+
+def _close(rows: dict[str, np.ndarray], closest: bool) -> Iterator[tuple[int, int]]:
+    """Pairs of a bucket across components that its sketches allow, or only the closest one of any two components."""
+    node, root, n = rows["node"], rows["root"], rows["n"]
+    bits = np.frombuffer(b"".join(rows["bits"]), np.uint64).reshape(len(node), -1)
+    best: dict[tuple[int, int], tuple[float, int, int]] = {}
+    for at in np.flatnonzero(rows["probe"]):
+        others = np.flatnonzero((root != root[at]) & (100 * np.minimum(n, n[at]) >= 80 * np.maximum(n, n[at])))
+        apart = np.bitwise_count(bits[others] ^ bits[at]).sum(axis=1, dtype=np.int64)
+        near = 9 * apart <= n[others] + n[at]
+        for k, d in zip(others[near].tolist(), apart[near].tolist(), strict=True):
+            pair = max(node[at], node[k]), min(node[at], node[k])
+            if closest:
+                name = min(root[at], root[k]), max(root[at], root[k])
+                best[name] = min(best.get(name, (9.0, 0, 0)), (d / (n[at] + n[k]), *pair))
+            else:
+                yield pair
+    yield from (x[1:] for x in best.values())
+
+
+def _close_of_tiles(closest: bool):
+    columns = ("g", "i", "j", "node", "root", "probe", "n", "bits")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict[str, np.ndarray]] = []  # parts of the group that may go on
+
+        def flush() -> pa.RecordBatch:
+            rows = {c: np.concatenate([h[c] for h in held]) for c in columns} if held else None
+            pairs = sorted(set(_close(rows, closest))) if held and rows["probe"].any() else []
+            made = zip(*pairs, strict=True) if pairs else [[]] * 2
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in made], ["a", "b"])
+
+        for batch in batches:
+            rows = {c: batch[c].to_numpy(zero_copy_only=False) for c in columns}
+            if not batch.num_rows:
+                continue
+            names = np.stack([rows[c] for c in ("g", "i", "j")], axis=1)
+            starts = np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1
+            for start, end in zip([0, *starts], [*starts, len(names)], strict=True):
+                if held and any(held[-1][c][-1] != rows[c][start] for c in ("g", "i", "j")):
+                    yield flush()
+                    held = []
+                held.append({c: rows[c][start:end] for c in columns})
+        yield flush()
+
+    return run
+
+
+def remaining_links(members: DataFrame, roots: DataFrame, closest: bool) -> DataFrame:
+    """Pairs across components under a key that one of them must probe, as ``_close`` finds them."""
+    root = F.coalesce("root", "node").alias("root")
+    now = members.join(roots, "node", "left").select(F.col("key").alias("g"), "node", root, "probe", "tiles", "n", "bits")
+    found = in_tiles(now, "tiles").mapInArrow(tidy(_close_of_tiles(closest)), "a long, b long")
+    return found.distinct()
 
 
 def similar(a: set, b: set) -> bool:
@@ -259,12 +399,9 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def verified(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     """The pairs whose sets of words are similar, without any hash."""
-    x = bodies.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("text").alias("text_a"))
-    y = bodies.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("text").alias("text_b"))
-    near = 100 * F.least("n_a", "n_b") >= 80 * F.greatest("n_a", "n_b")
-    sized = pairs.join(x.drop("text_a"), "a").join(y.drop("text_b"), "b").where(near).select("a", "b")
-    both = sized.join(x, "a").join(y, "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(tidy(_verify), "a long, b long")
+    x = bodies.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    y = bodies.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    return pairs.join(x, "a").join(y, "b").mapInArrow(tidy(_verify), "a long, b long")
 
 
 def _maybe(marks: DataFrame):
@@ -313,13 +450,18 @@ def jaccard_join(
     there = source["doc_id"].eqNullSafe(chosen["x_id"]) & (source["__mark"] == chosen["x_mark"])
     bodies = source.join(chosen, there).select("node", "n_shingles", "text")
     bodies = written(bodies.dropDuplicates(["node"]), "bodies")
-    good = written(verified(links, bodies), "verified")
+    known = written(profiles(bodies), "profiles")
+    tried = written(sieved(links, known), "sieved-links")
+    good = written(verified(tried, bodies), "verified")
     roots = written(components(good), "roots")
     root = F.coalesce("root", "node").alias("root")
-    rest = remaining_links(bodies.join(roots, "node", "left").select("node", root, "text"))
-    rest = written(rest.join(links, ["a", "b"], "left_anti"), "remaining-links")
-    good = good.unionByName(verified(rest, bodies))
-    roots = written(components(good), "roots")
+    members = probed(bodies.join(roots, "node", "left").select("node", root, "text"), known)
+    for closest in (True, False):
+        rest = remaining_links(members, roots, closest).join(tried, ["a", "b"], "left_anti")
+        rest = written(rest, "remaining-links")
+        tried = tried.unionByName(rest)
+        good = good.unionByName(written(verified(rest, bodies), "verified"))
+        roots = written(components(good), "roots")
     alone = F.when(F.col("n_shingles") > 0, F.lit(0)).otherwise(F.monotonically_increasing_id() + 1)
     groups = sets.join(roots, "node", "left").withColumn("root", root).withColumn("apart", alone)
     groups = written(groups.drop("__mark", "node"), "groups")
