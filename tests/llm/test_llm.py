@@ -98,6 +98,61 @@ def test_jaccard_join_loses_no_link(spark):
     assert sorted(str((r.doc_id, r.n_shingles, r.component_id)) for r in got) == want
 
 
+def test_word_hashes_tell_words_apart_across_blocks(monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 7)
+    rng = random.Random(5)
+    for _ in range(300):
+        text = "".join(rng.choice("aAbB \t\n\x0bé　z") for _ in range(rng.randint(0, 60)))
+        found = jaccard.words(text)
+        got = jaccard.word_hashes(jaccard._LOWER[np.frombuffer(text.encode(), np.uint8)]).tolist()
+        assert len(got) == len(found) and len(set(got)) == len(set(found)) == len(set(zip(found, got, strict=True)))
+
+
+def test_sketches_and_named_keys_lose_no_link():
+    rng = np.random.default_rng(6)
+    for size in [*range(jaccard.LEAST, 60), 150, 700]:
+        x = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+        gone = rng.integers(0, len(x) // 9 + 1)
+        y = np.unique(np.concatenate((x[gone:], rng.integers(0, 1 << 63, len(x) // 9 - gone).astype(np.uint64))))
+        apart = len(np.setxor1d(x, y))
+        band = jaccard.bands(max(len(x), len(y)))[0]
+        a, b = (int.from_bytes(jaccard.sketch(z, band)) for z in (x, y))
+        assert (a ^ b).bit_count() <= apart
+        if 9 * apart <= len(x) + len(y):
+            assert band in jaccard.bands(len(x)) and band in jaccard.bands(len(y))
+            named = []
+            for z in (x, y):
+                plain, spare, more = jaccard.keys(z, band)
+                named.append(set(np.concatenate([plain[: len(plain) - spare], *more]).tolist()))
+            assert named[0] & named[1]
+
+
+def test_jaccard_join_under_a_line_that_unlike_texts_share(spark):
+    """Links hidden in a bucket of unlike texts, dealt to tiles: against brute force."""
+    rng = random.Random(7)
+    line = "this very common line stands in each of the many texts"
+    rows = []
+    for i in range(120):
+        own = [f"w{rng.randint(0, 5000)}" for _ in range(14 + i % 5)]
+        rows.append((2 * i, f"{line} {' '.join(own)}"))
+        if i % 3 == 0:
+            rows.append((2 * i + 1, f"{line} {' '.join(own[: -1 - i % 2])}"))
+    sets = [jaccard.word_shingles(t) for _, t in rows]
+    least = {k: k for k, _ in rows}
+    for _ in range(3):
+        for a, b in combinations(range(len(rows)), 2):
+            if jaccard.similar(sets[a], sets[b]):
+                low = min(least[rows[a][0]], least[rows[b][0]])
+                least[rows[a][0]] = least[rows[b][0]] = low
+    tile, jaccard.TILE = jaccard.TILE, 600
+    try:
+        got = jaccard.jaccard_join(table(spark, rows)).collect()
+    finally:
+        jaccard.TILE = tile
+    assert {r["doc_id"]: r["component_id"] for r in got} == least
+    assert len(set(least.values())) < len(rows)
+
+
 def test_token_counts(docs):
     model = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     want = sorted(str((d, len((t or "").encode()), len(model.encode(t or "")))) for d, t in awkward())

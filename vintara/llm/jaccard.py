@@ -460,8 +460,10 @@ def jaccard_join(
         rest = remaining_links(members, roots, closest).join(tried, ["a", "b"], "left_anti")
         rest = written(rest, "remaining-links")
         tried = tried.unionByName(rest)
-        good = good.unionByName(written(verified(rest, bodies), "verified"))
-        roots = written(components(good), "roots")
+        more = written(verified(rest, bodies), "verified")
+        if not more.isEmpty():
+            good = good.unionByName(more)
+            roots = written(components(good), "roots")
     alone = F.when(F.col("n_shingles") > 0, F.lit(0)).otherwise(F.monotonically_increasing_id() + 1)
     groups = sets.join(roots, "node", "left").withColumn("root", root).withColumn("apart", alone)
     groups = written(groups.drop("__mark", "node"), "groups")
