@@ -250,12 +250,76 @@ def test_close_lines(spark):
             if min(len(lines[a]), len(lines[b])) >= 7 and distance(lines[a], lines[b]) <= edits:
                 low, high = sorted((root[a], root[b]))
                 root = [low if x == high else x for x in root]
-        got = line_dedup.line_dedup(table(spark, rows), edits=edits, shortest=7).collect()
+        got = line_dedup.line_dedup(table(spark, rows), bands=((7, edits),)).collect()
         assert {(r.doc_id, r.keep_doc_id) for r in got} == {(i, root[i]) for i in range(len(lines))}
         assert len(got) == 2 * len(lines)
         assert sum(r.kept for r in got) == len(set(root))
 
 
+def edit_distance(a, b):
+    p = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        q = [i]
+        for j, z in enumerate(b, 1):
+            q.append(min(p[j] + 1, q[-1] + 1, p[j - 1] + (x != z)))
+        p = q
+    return p[-1]
+
+
+def first_of_class(many, is_close):
+    """The smallest index that each one's links lead to."""
+    root = list(range(len(many)))
+    for a, b in combinations(range(len(many)), 2):
+        if root[a] != root[b] and is_close(many[a], many[b]):
+            low, high = sorted((root[a], root[b]))
+            root = [low if x == high else x for x in root]
+    return root
+
+
+def test_two_edits_among_many_lines_under_one_key(spark):
+    """Lines that share all but a few letters in two places, so that keys hold many classes and are cut in rounds."""
+    rng = random.Random(8)
+    mark = lambda n: "".join(rng.choices("0123", k=n))
+    marks = {(mark(rng.randint(4, 5)), mark(rng.randint(3, 5))) for _ in range(70)}
+    lines = [f"a start that very many lines have {x} and a middle of them all {y} and their end" for x, y in sorted(marks)]
+    root = first_of_class(lines, lambda a, b: edit_distance(a, b) <= 2)
+    assert 5 < len(set(root)) < len(root)
+    got = line_dedup.line_dedup(table(spark, list(enumerate(lines)))).collect()
+    assert {(r.doc_id, r.keep_doc_id) for r in got} == set(enumerate(root))
+
+
+def test_edits_grow_with_the_length_of_lines(spark):
+    rng = random.Random(9)
+    lines = []
+    for n in (6, 7, 8, 9, 20, 62, 63, 64, 65, 66, 120, 400):
+        base = "".join(rng.choices("abcdefgh é", k=n - 2)) + "zz"
+        base = "z" + base[1:]
+        lines.append(base)
+        for edits in (1, 2, 3):
+            for kind in ("change", "insert", "delete", "swap"):
+                x = list(base)
+                for _ in range(edits):
+                    i = rng.randrange(1, len(x) - 1)
+                    if kind == "change":
+                        x[i] = "Q"
+                    elif kind == "insert":
+                        x.insert(i, "R")
+                    elif kind == "delete" and len(x) > 4:
+                        del x[i]
+                    else:
+                        x[i], x[i + 1] = x[i + 1], x[i]
+                lines.append("".join(x).strip())
+    lines = list(dict.fromkeys(lines))
+    limit = lambda a, b: 0 if (n := min(len(a), len(b))) < 8 else 1 if n < 64 else 2
+    near = lambda a, b: abs(len(a) - len(b)) <= 2 and edit_distance(a, b) <= limit(a, b)
+    root = first_of_class(lines, near)
+    rows = [*enumerate(lines), (None, lines[40]), (None, None), (70_000, lines[0]), (70_000, lines[0])]
+    got = line_dedup.line_dedup(table(spark, rows)).collect()
+    want = [(i, root[i]) for i in range(len(lines))] + [(None, root[40]), (70_000, root[0]), (70_000, root[0])]
+    assert sorted(((r.doc_id, r.keep_doc_id) for r in got), key=str) == sorted(want, key=str)
+    assert sum(r.kept for r in got) == len(set(root))
+
+
 def test_lines_that_share_most_of_their_letters(spark):
     start, end = "the same start of very many lines " * 2, " and the same end of all of them" * 2
     rng = random.Random(3)
@@ -269,7 +333,7 @@ def test_lines_that_share_most_of_their_letters(spark):
             low, high = sorted((root[a], root[b]))
             root = [low if x == high else x for x in root]
     assert 1 < len(set(root)) < len(root)
-    got = line_dedup.line_dedup(table(spark, rows)).collect()
+    got = line_dedup.line_dedup(table(spark, rows), bands=((32, 1),)).collect()
     assert {(r.doc_id, r.keep_doc_id) for r in got} == set(enumerate(root))
 
 

@@ -1,15 +1,15 @@
 """Line dedup within an edit distance, in DataFrame operations alone.
 
-A line is cut into one segment more than the edits allowed, so that a line close to it has one of
-the segments in it, near the same place. Keys are a length, a segment's number and its text: a
-line indexes its own segments, and probes the substrings that may be a segment of a line as long
-or a little shorter. A key's lines are compared with one of them. Where that leaves several classes
-in a key, the segment that may hold the edit is cut further, round by round, until it is one
-letter: lines that still share a key then need no comparison with each other, but with one of
-them, so that no key's lines are ever paired with all others. Pairs are verified by cutting off the ends they
-share, which settles one edit; with more edits allowed, what is left goes through banded
-bit-parallel edit distance: one step for each character, with the band's differences as bits of
-two integers.
+A line is cut into one segment more than the edits allowed at its length, so that a line close to
+it has one of the segments in it, near the same place. Keys are a length, a segment's number and
+its text: a line indexes its own segments, and probes the substrings that may be a segment of a
+line as long or a little shorter. A key's lines are compared with one of them. Where that leaves
+several classes in a key, few lines are compared with each other; of many, what the key does not
+hold is cut further, round by round, by the parts that may hold the edits, until keys have few
+lines or no more letters than edits are left. So no key's lines are ever paired with all others.
+A pair's shared ends are cut off, most of the rest's parts must be found near their places, and
+banded bit-parallel edit distance decides: one step for each character, with the band's
+differences as bits of two integers.
 """
 
 from __future__ import annotations
@@ -17,12 +17,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintara.llm.common import components, documents, nulls_last, texts, written
+from vintara.llm.common import TABLES, components, discard, documents, nulls_last, sweep, texts, written
 
-#: Edits, and the code points of the shortest line that may differ at all.
-EDITS, SHORTEST = 1, 32
-#: Parts into which a round cuts the letters that may hold the edit.
-PARTS = 8
+#: From so many code points on, lines may differ by so many edits (of two lines, the shorter one counts).
+BANDS = ((8, 1), (64, 2))
+MOST = 2
+#: Parts into which a round cuts the letters that may hold the edits, and lines of a key that are compared with each other.
+PARTS, FEW = 8, 8
 BLANK_CHARACTERS = " \t\n\v\f\r"
 
 
@@ -46,20 +47,34 @@ def _let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def close(a: Column, b: Column, edits: int) -> Column:
-    """Whether two strings are at most ``edits`` apart.
+def allowed(length: Column, bands: tuple[tuple[int, int], ...] = BANDS) -> Column:
+    """The edits by which a line of this length may differ from one at least as long."""
+    out = F.lit(0)
+    for low, edits in sorted(bands):
+        out = F.when(length >= low, F.lit(edits)).otherwise(out)
+    return out
 
-    What they share at their ends takes no part. Where the rest has two letters or more it differs
-    in its first and its last one, which takes two edits.
+
+def close(a: Column, b: Column, edits: Column) -> Column:
+    """Whether two strings are at most ``edits`` (``MOST`` at the most) apart.
+
+    What they share at their ends takes no part. Edits reach at most so many of the rest's parts:
+    all others must be found within as many places of their own.
     """
 
+    def likely(x: Column, y: Column) -> Column:
+        cut = lambda i: F.floor(F.length(x) * i / PARTS).cast("int")
+
+        def found(i: Column) -> Column:
+            part = F.substring(x, cut(i) + 1, cut(i + 1) - cut(i))
+            first = F.greatest(cut(i) - MOST, F.lit(0))
+            return F.contains(F.substring(y, first + 1, cut(i + 1) + MOST - first), part)
+
+        return F.size(F.filter(F.sequence(F.lit(0), F.lit(PARTS - 1)), found)) >= PARTS - edits
+
     def of_rest(x: Column, y: Column) -> Column:
-        longest, short = F.greatest(F.length(x), F.length(y)), F.least(F.length(x), F.length(y))
-        padded = [F.concat(F.lit("." * (edits + 1)), v) for v in (x, y)]
-        clear = F.when(longest <= edits, F.lit(True))
-        if edits < 2:
-            clear = clear.when((short > 0) & (longest > 1), F.lit(False))
-        return clear.otherwise(within_edits(*padded, edits))
+        padded = [F.concat(F.lit("." * (MOST + 1)), v) for v in (x, y)]
+        return F.when(likely(x, y), distance(*padded) <= edits).otherwise(F.lit(False))
 
     def cut(x: Column, y: Column, then) -> Column:
         after = lambda v, at: F.substring(v, at + 1, F.length(v))
@@ -70,7 +85,7 @@ def close(a: Column, b: Column, edits: int) -> Column:
     return F.when(F.abs(F.length(a) - F.length(b)) > edits, F.lit(False)).otherwise(near)
 
 
-def _segment(length: Column, k: int, edits: int) -> tuple[Column, Column]:
+def _segment(length: Column, k: Column | int, edits: Column | int) -> tuple[Column, Column]:
     """Start (from 1) and size of segment ``k`` of a line: all of one size, the last ones a letter longer."""
     small, longer = F.floor(length / (edits + 1)).cast("int"), (length % (edits + 1)).cast("int")
     plain = F.lit(edits + 1) - longer  # segments of the small size
@@ -78,68 +93,70 @@ def _segment(length: Column, k: int, edits: int) -> tuple[Column, Column]:
     return start, small + (F.lit(k) >= plain).cast("int")
 
 
-def _key(length: Column, k: int, part: Column) -> Column:
-    return F.xxhash64(length.cast("int"), F.lit(k), part)
-
-
-def with_keys(found: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
-    """``key``, ``id``, ``indexed``, the segment ``k`` and ``extra`` letters over the key's length, for lines that are long enough."""
-    line, n = F.col("line"), F.col("n")
-    own, probes, kinds = [], [], [(k, 0) for k in range(edits + 1)]
-    for k in range(edits + 1):
-        start, size = _segment(n, k, edits)
-        own.append(_key(n, k, F.substring(line, start, size)))
-        for less in range(edits + 1):  # lines that are so much shorter
-            m = n - less
-            start, size = _segment(m, k, edits)
-            # edits left of the segment move it by as many places, and so do those right of it
-            low, high = max(-k, less - (edits - k)), min(k, less + (edits - k))
-            for move in range(low, high + 1):
-                part = F.substring(line, start + move, size)
-                probes.append(F.when((m >= shortest) & (start + move >= 1), _key(m, k, part)))
-                kinds.append((k, less))
-    kind = F.array(*(F.struct(F.lit(k).alias("k"), F.lit(less).alias("extra")) for k, less in kinds))
-    keys = found.withColumn("n", F.length("line")).where(n >= shortest).select(
-        F.xxhash64("line").alias("id"), F.posexplode(F.array(*own, *probes)).alias("place", "key")
-    )
-    keys = keys.where("key IS NOT NULL").withColumn("kind", F.get(kind, "place"))
-    return keys.select("key", "id", (F.col("place") <= edits).alias("indexed"), "kind.k", "kind.extra")
-
-
-def within_edits(a: Column, b: Column, edits: int) -> Column:
-    """Whether two strings, no shorter than ``edits`` + 1, are at most ``edits`` apart.
-
-    Hyyro's banded form (2003) of Myers' bit vectors. The band follows the diagonal; its lowest
-    row is the highest bit. Once it has reached the last row of ``a``, the distance is followed
-    along that row.
+def with_keys(found: DataFrame, bands: tuple[tuple[int, int], ...] = BANDS) -> DataFrame:
+    """``key``, ``id`` of lines that are long enough, and how the key was made.
+
+    That is: ``edits`` allowed, the segment ``k``, ``extra`` letters over the key's length, and the
+    places by which the segment is moved; ``indexed`` are a line's own segments.
+    """
+    line, n = F.col("line"), F.length("line")
+    keys, kinds = [], []
+    bands = sorted(bands)
+    for (low, edits), high in zip(bands, [*(b for b, _ in bands[1:]), None], strict=True):
+        for k in range(edits + 1):
+            for extra in range(edits + 1):  # for lines that are so much shorter
+                m = n - extra
+                start, size = _segment(m, k, edits)
+                within = m >= low if high is None else (m >= low) & (m < high)
+                # edits left of the segment move it by as many places, and so do those right of it
+                for move in range(max(-k, extra - (edits - k)), min(k, extra + (edits - k)) + 1):
+                    key = F.xxhash64(m.cast("int"), F.lit(k), F.substring(line, start + move, size))
+                    keys.append(F.when(within & (start + move >= 1), key))
+                    kinds.append((edits, k, extra, move))
+    names = ("edits", "k", "extra", "move")
+    kind = F.array(*(F.struct(*(F.lit(v).alias(c) for v, c in zip(x, names, strict=True))) for x in kinds))
+    out = found.where(n >= bands[0][0]).select(F.xxhash64("line").alias("id"), F.posexplode(F.array(*keys)).alias("place", "key"))
+    out = out.where("key IS NOT NULL").withColumn("kind", F.get(kind, "place"))
+    return out.select("key", "id", "kind.*").withColumn("indexed", F.expr("extra = 0 AND move = 0"))
+
+
+def distance(a: Column, b: Column) -> Column:
+    """The edit distance of two strings longer than ``MOST``, whose lengths are at most that far apart.
+
+    It is exact up to ``MOST``, and over it otherwise. Hyyro's banded form (2003) of Myers' bit
+    vectors. The band follows the diagonal; its lowest row is the highest bit. Once it has reached
+    the last row of ``a``, the distance is followed along that row.
     """
-    width = 2 * edits + 1
+    letters = F.struct(F.split(a, "").alias("x"), F.split(b, "").alias("y"))
+    return _let(letters, lambda v: _distance(v["x"], v["y"]))
+
+
+def _distance(x: Column, y: Column) -> Column:
+    width = 2 * MOST + 1
     mask, top = (1 << width) - 1, 1 << (width - 1)
-    inverted = lambda x: x.bitwiseXOR(F.lit(mask))
-    x, y = F.split(a, ""), F.split(b, "")
-    rows = F.length(a)
+    inverted = lambda v: v.bitwiseXOR(F.lit(mask))
+    rows = F.size(x)
 
     def step(state: Column, i: Column) -> Column:
-        letter = F.get(y, i)
         match = F.lit(0)
         for bit in range(width):
-            place = i + (bit - edits)
-            same = (place >= 0) & F.coalesce(F.get(x, F.greatest(place, F.lit(0))) == letter, F.lit(False))
+            place = i + (bit - MOST)
+            same = (place >= 0) & F.coalesce(F.get(x, F.greatest(place, F.lit(0))) == F.get(y, i), F.lit(False))
             match = match + F.when(same, F.lit(1 << bit)).otherwise(F.lit(0))
-        return F.transform(F.array(match), lambda m: _moved(state, m, i))[0]
+        return _let(match, lambda m: _moved(state, m, i))
 
     def _moved(state: Column, m: Column, i: Column) -> Column:
         up, down = state["up"], state["down"]
         carried = (m.bitwiseAND(up) + up).bitwiseAND(F.lit(mask)).bitwiseXOR(up)
-        return F.transform(F.array(carried.bitwiseOR(m).bitwiseOR(down)), lambda d: _after(state, d, i))[0]
+        return _let(carried.bitwiseOR(m).bitwiseOR(down), lambda d: _after(state, d, i))
 
     def _after(state: Column, d: Column, i: Column) -> Column:
         up, down = state["up"], state["down"]
         right = down.bitwiseOR(inverted(d.bitwiseOR(up)))
         left = d.bitwiseAND(up)
         half = F.shiftright(d, 1)
-        diagonal = i < rows - edits
-        at = F.call_function("shiftright", F.lit(top), F.greatest(i - (rows - edits) + 1, F.lit(0)))
+        diagonal = i < rows - MOST
+        at = F.call_function("shiftright", F.lit(top), F.greatest(i - (rows - MOST) + 1, F.lit(0)))
         bit = lambda v: (v.bitwiseAND(at) != 0).cast("int")
         change = F.when(diagonal, (d.bitwiseAND(F.lit(top)) == 0).cast("int")).otherwise(bit(right) - bit(left))
         return F.struct(
@@ -148,11 +165,8 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
             (state["distance"] + change).alias("distance"),
         )
 
-    begin = F.struct(
-        F.lit(mask & ~((1 << edits) - 1)).alias("up"), F.lit(0).alias("down"), F.lit(edits).alias("distance")
-    )
-    end = F.aggregate(F.sequence(F.lit(0), F.length(b) - 1), begin, step, lambda s: s["distance"])
-    return (F.abs(F.length(a) - F.length(b)) <= edits) & (end <= edits)
+    begin = F.struct(F.lit(mask & ~((1 << MOST) - 1)).alias("up"), F.lit(0).alias("down"), F.lit(MOST).alias("distance"))
+    return F.aggregate(F.sequence(F.lit(0), F.size(y) - 1), begin, step, lambda s: s["distance"])
 
 
 def _node(line: str) -> Column:
@@ -160,91 +174,112 @@ def _node(line: str) -> Column:
     return F.md5(F.col(line).cast("binary"))
 
 
-def _verified(pairs: DataFrame, bodies: DataFrame, edits: int) -> DataFrame:
+def _verified(pairs: DataFrame, bodies: DataFrame, bands: tuple[tuple[int, int], ...]) -> DataFrame:
     x = bodies.select(F.col("id").alias("a"), F.col("line").alias("line_a"))
     y = bodies.select(F.col("id").alias("b"), F.col("line").alias("line_b"))
-    both = pairs.join(x, "a").join(y, "b")
-    return both.where(close(F.col("line_a"), F.col("line_b"), edits)).select(_node("line_a").alias("a"), _node("line_b").alias("b"))
+    a, b = F.col("line_a"), F.col("line_b")
+    both = pairs.join(x, "a").join(y, "b").where(close(a, b, allowed(F.least(F.length(a), F.length(b)), bands)))
+    return both.select(_node("line_a").alias("a"), _node("line_b").alias("b"))
 
 
 def _mixed(members: DataFrame) -> DataFrame:
-    """The rows of keys that hold several classes, and one indexed line at least."""
-    of_key = [F.min("root").alias("r"), F.max("root").alias("s"), F.min("extra").alias("least")]
-    mixed = members.groupBy("key").agg(*of_key).where("r <> s AND least = 0")
-    return members.join(mixed.select("key"), "key")
+    """The rows of keys that hold several classes, and one indexed line at least; ``size`` is the key's rows."""
+    of_key = [F.min("root").alias("r"), F.max("root").alias("s"), F.count("*").alias("size"), F.max("indexed").alias("any")]
+    mixed = members.groupBy("key").agg(*of_key).where("r <> s AND any")
+    return members.join(mixed.select("key", "size"), "key")
 
 
-def _pairs_by_key(classed: DataFrame) -> DataFrame:
-    """``a``, ``b``: each probe with the lines of other classes indexed under its key, for any number of edits.
+def _pairs(rows: DataFrame, own: DataFrame) -> DataFrame:
+    """``a``, ``b``: each of ``rows`` with those of ``own`` that have its key and another root."""
+    own = own.select("key", F.col("id").alias("b"), F.col("root").alias("b_root"))
+    return rows.select("key", F.col("id").alias("a"), "root").join(own, "key").where("root <> b_root").select("a", "b")
 
-    The pairs of a key grow with the square of its classes.
-    """
-    mixed = written(_mixed(classed.select("key", "id", "indexed", "extra", "root")), "mixed-keys")
-    probe = mixed.where("NOT indexed").select("key", F.col("id").alias("a"), F.col("root").alias("a_root"))
-    return probe.join(mixed.where("indexed"), "key").where("root <> a_root").select("a", F.col("id").alias("b"))
+
+def _rest(line: Column) -> Column:
+    """What a line has beside its key's segment."""
+    start, size = _segment(F.length(line) - F.col("extra"), F.col("k"), F.col("edits"))
+    first = start + F.col("move")
+    return F.concat(F.substring(line, F.lit(1), first - 1), F.substring(line, first + size, F.length(line)))
 
 
 def _cut(members: DataFrame) -> DataFrame:
-    """Members under the keys of each part of ``rest``, where their one edit may be.
+    """Members under the keys of all choices of as many parts of ``rest`` as there are edits.
 
-    Lines one edit apart agree before the part that holds it, and behind it, where the longer one
-    is shifted by its extra letter.
+    Lines that are close agree outside of some such choice: in front of it, between its two parts
+    (there the longer line may be shifted), and behind it, shifted by the extra letters.
     """
-    rest, extra = F.col("rest"), F.col("extra")
+    rest, extra, edits = F.col("rest"), F.col("extra"), F.col("edits")
+    choices = [(1, i, i, s) for i in range(PARTS) for s in (0, 1)]
+    choices += [(2, i, j, s) for j in range(PARTS) for i in range(j) for s in range(-1, 3)]
+    names = ("edits", "i", "j", "shift")
+    choices = F.array(*(F.struct(*(F.lit(v).alias(c) for v, c in zip(x, names, strict=True))) for x in choices))
     size = F.length(rest) - extra
-    parts = []
-    for j in range(PARTS):
-        start, end = (F.floor(size * i / PARTS).cast("int") for i in (j, j + 1))
-        key = F.xxhash64("key", F.lit(j), F.substring(rest, F.lit(1), start), F.substring(rest, end + extra + 1, F.length(rest)))
-        parts.append(F.when(end > start, F.struct(key.alias("key"), F.substring(rest, start + 1, end - start + extra).alias("rest"))))
-    each = members.select("id", "extra", "root", F.explode(F.array_compact(F.array(*parts))).alias("part"))
-    return each.select("part.key", "id", "extra", "root", "part.rest")
+    at = lambda i: F.floor(size * i / PARTS).cast("int")
+    piece = lambda first, end: F.substring(rest, first + 1, end - first)
+
+    def fits(c: Column) -> Column:
+        shift, alone = c["shift"], c["i"] == c["j"]
+        possible = (c["edits"] == edits) & (F.abs(shift) + F.abs(extra - shift) <= edits) & (~alone | (shift == extra))
+        return possible & (at(c["i"] + 1) > at(c["i"])) & (at(c["j"] + 1) > at(c["j"]))
+
+    def under(c: Column) -> Column:
+        first, end, shift = at(c["i"]), at(c["i"] + 1), c["shift"]
+        other = F.when(c["i"] == c["j"], end).otherwise(at(c["j"]))
+        last = at(c["j"] + 1) + extra
+        key = F.xxhash64("key", c["i"], c["j"], piece(F.lit(0), first), piece(end + shift, other + shift), piece(last, F.length(rest)))
+        left = F.concat(piece(first, end + shift), piece(other + shift, last))
+        return F.struct(key.alias("key"), left.alias("rest"), (F.col("indexed") & (shift == 0)).alias("indexed"))
+
+    each = members.select("id", "edits", "extra", "root", F.explode(F.transform(F.filter(choices, fits), under)).alias("part"))
+    return each.select("part.*", "id", "edits", "extra", "root").distinct()
 
 
-def _pairs_by_letter(classed: DataFrame) -> DataFrame:
-    """``a``, ``b``: pairs that connect all lines one edit apart in the keys with several classes.
+def _remaining(mixed: DataFrame, bodies: DataFrame) -> DataFrame:
+    """``a``, ``b``: pairs that connect all close lines of the keys with several classes.
 
-    Once ``rest`` is one letter, the indexed lines of a key differ in that letter alone, so each is
-    paired with one of them. A line with an extra letter is close to the one that has either of its
-    two letters there. The rounds grow with the logarithm of the longest line.
+    Once ``rest`` has no more letters than edits are allowed, the indexed lines of a key differ in
+    those alone, so each is paired with one of them. Any other line is paired with one line for
+    each spelling of those letters. The rounds grow with the logarithm of the longest line.
     """
-    n = F.length("line") - F.col("extra")
-    first, (start, _) = _segment(n, 0, 1)[1], _segment(n, 1, 1)
-    rest = F.when(F.col("k") == 0, F.substring("line", first + 1, F.length("line"))).otherwise(
-        F.substring("line", F.lit(1), start - 1 + F.col("extra"))
-    )
-    # a line's own key is also its probe for lines of the same length
-    members = classed.where("indexed OR extra = 1").select("key", "id", "extra", "root", rest.alias("rest"))
-    now = written(_mixed(members), "mixed-keys")
-    while (now.agg(F.max(F.length("rest") - F.col("extra"))).first()[0] or 0) > 1:
-        now = written(_mixed(_cut(now)), "mixed-parts")
-    own = now.where("extra = 0")
-    one = own.groupBy("key").agg(F.min("id").alias("b"))
-    same = own.join(one, "key").where("id <> b").select(F.col("id").alias("a"), "b")
-    letter = own.groupBy("key", F.col("rest").alias("letter")).agg(F.min("id").alias("b"))
-    longer = now.where("extra = 1").select("key", F.col("id").alias("a"), F.explode(F.split("rest", "")).alias("letter"))
-    return same.unionByName(longer.join(letter, ["key", "letter"]).select("a", "b"))
-
-
-def line_classes(found: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
+    few, many, left = F.col("size") <= FEW, F.col("size") > FEW, F.length("rest") - F.col("extra")
+    out = _pairs(mixed.where(few), mixed.where(few & F.col("indexed")))
+    now = mixed.where(many).join(bodies, "id").select("key", _rest(F.col("line")).alias("rest"), "indexed", "id", "edits", "extra", "root")
+    now = written(now, "many-lines")
+    while True:
+        done, going = now.where(left <= F.col("edits")), now.where(left > F.col("edits"))
+        own = done.where("indexed")
+        one = own.groupBy("key").agg(F.min_by(F.struct("id", "root"), "id").alias("one")).select("key", "one.*")
+        spelt = own.groupBy("key", "rest").agg(F.min_by(F.struct("id", "root"), "id").alias("one")).select("key", "one.*")
+        out = out.unionByName(_pairs(own, one)).unionByName(_pairs(done.where("NOT indexed"), spelt))
+        if going.isEmpty():
+            return out.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        parted = written(_mixed(_cut(going)), "parted-lines")
+        out = out.unionByName(_pairs(parted.where(few), parted.where(few & F.col("indexed"))))
+        now = parted.where(many).drop("size")
+
+
+def line_classes(found: DataFrame, bands: tuple[tuple[int, int], ...] = BANDS) -> DataFrame:
     """``node``, ``root`` of each line that is close to another; ``node`` is the line's digest."""
-    keys = written(with_keys(found, edits, shortest), "line-keys")
-    shared = keys.groupBy("key").agg(F.min("id").alias("center"), F.max("id").alias("other")).where("center <> other")
-    shared = written(shared.select("key", "center"), "shared-keys")
+    if not all(1 <= edits <= MOST for _, edits in bands):
+        raise ValueError(f"lines may differ by 1 to {MOST} edits")
+    keys = with_keys(found, bands)
+    center = F.min(F.when(F.col("indexed"), F.col("id"))).alias("center")
+    shared = keys.groupBy("key").agg(center, F.min("id").alias("low"), F.max("id").alias("high"))
+    shared = written(shared.where("low <> high AND center IS NOT NULL").select("key", "center"), "shared-keys")
+    sweep(found.sparkSession)  # the shuffle of all keys
     members = written(keys.join(shared, "key").distinct(), "members")
     order = [F.greatest("id", "center").alias("a"), F.least("id", "center").alias("b")]
     links = written(members.where("id <> center").select(*order).distinct(), "line-links")
-    ids = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    bodies = found.where(F.length("line") >= shortest).select(F.xxhash64("line").alias("id"), "line")
-    bodies = written(bodies.join(written(ids, "line-ids"), "id", "left_semi").distinct(), "line-bodies")
-    good = written(_verified(links, bodies, edits), "close-lines")
+    ids = written(links.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-ids")
+    bodies = found.where(F.length("line") >= min(low for low, _ in bands)).select(F.xxhash64("line").alias("id"), "line")
+    bodies = written(bodies.join(ids, "id", "left_semi").distinct(), "line-bodies")
+    good = written(_verified(links, bodies, bands), "close-lines")
     roots = written(components(good), "line-roots")
-    classed = members.join(bodies.withColumn("node", _node("line")), "id").join(roots, "node", "left")
-    classed = classed.withColumn("root", F.coalesce("root", "node"))
-    rest = _pairs_by_letter(classed) if edits == 1 else _pairs_by_key(classed)
-    rest = rest.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    rest = written(rest.join(links, ["a", "b"], "left_anti"), "remaining-lines")
-    return components(good.unionByName(_verified(rest, bodies, edits)))
+    named = bodies.select("id", _node("line").alias("node")).join(roots, "node", "left")
+    named = named.select("id", F.coalesce("root", "node").alias("root"))
+    mixed = written(_mixed(members.drop("center").join(named, "id")), "mixed-keys")
+    rest = written(_remaining(mixed, bodies).join(links, ["a", "b"], "left_anti"), "remaining-lines")
+    return components(good.unionByName(_verified(rest, bodies, bands)))
 
 
 def line_dedup(
@@ -252,19 +287,22 @@ def line_dedup(
     id_column: str = "doc_id",
     text_column: str = "text",
     carry: tuple[str, ...] = (),
-    edits: int = EDITS,
-    shortest: int = SHORTEST,
+    bands: tuple[tuple[int, int], ...] = BANDS,
 ) -> DataFrame:
     """One row per line that has a word: ``doc_id, line_no, n_chars, keep_doc_id, keep_line_no, copies, kept``.
 
-    Lines are equal when they are without white space at their ends; lines of ``shortest`` code
-    points or more are also close when at most ``edits`` edits apart. Of a class of lines that are
+    Lines are equal when they are without white space at their ends. They are also close when no
+    more edits apart than ``bands`` (pairs of a length in code points, from which on it holds, and
+    1 or 2 edits) allow at the length of the shorter one. Of a class of lines that are
     linked, the first by document id and line number stays; a null id ranks last, and of rows that
     share both any one. Null, empty and blank texts have no lines. An empty table gives an empty
     result.
     """
     rows = texts(docs, id_column, text_column, *carry)
-    classes = written(line_classes(lines(rows), edits, shortest), "line-classes")
+    before = len(TABLES)
+    classes = written(line_classes(lines(rows), bands), "line-classes")
+    discard(docs.sparkSession, TABLES[before:-1])
+    sweep(docs.sparkSession)
     all_lines = lines(rows, *carry).select("doc_id", *carry, "line_no", F.length("line").alias("n_chars"), _node("line").alias("node"))
     placed = all_lines.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node")).drop("node")
     placed = written(placed.withColumn("row", F.monotonically_increasing_id()), "placed-lines")
