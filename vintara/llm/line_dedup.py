@@ -86,11 +86,9 @@ def close(a: Column, b: Column, edits: Column) -> Column:
 
 
 def _segment(length: Column, k: Column | int, edits: Column | int) -> tuple[Column, Column]:
-    """Start (from 1) and size of segment ``k`` of a line: all of one size, the last ones a letter longer."""
-    small, longer = F.floor(length / (edits + 1)).cast("int"), (length % (edits + 1)).cast("int")
-    plain = F.lit(edits + 1) - longer  # segments of the small size
-    start = small * k + F.greatest(F.lit(k) - plain, F.lit(0)) + 1
-    return start, small + (F.lit(k) >= plain).cast("int")
+    """Start (from 1) and size of segment ``k`` of a line; sizes differ by a letter at most."""
+    start, end = (F.floor(length * x / (edits + 1)).cast("int") for x in (k, k + 1))
+    return start + 1, end - start
 
 
 def with_keys(found: DataFrame, bands: tuple[tuple[int, int], ...] = BANDS) -> DataFrame:
@@ -99,25 +97,27 @@ def with_keys(found: DataFrame, bands: tuple[tuple[int, int], ...] = BANDS) -> D
     That is: ``edits`` allowed, the segment ``k``, ``extra`` letters over the key's length, and the
     places by which the segment is moved; ``indexed`` are a line's own segments.
     """
-    line, n = F.col("line"), F.length("line")
-    keys, kinds = [], []
-    bands = sorted(bands)
-    for (low, edits), high in zip(bands, [*(b for b, _ in bands[1:]), None], strict=True):
+    line, n, bands = F.col("line"), F.col("n"), sorted(bands)
+    kinds = []
+    for (low, edits), high in zip(bands, [*(b for b, _ in bands[1:]), 1 << 30], strict=True):
         for k in range(edits + 1):
             for extra in range(edits + 1):  # for lines that are so much shorter
-                m = n - extra
-                start, size = _segment(m, k, edits)
-                within = m >= low if high is None else (m >= low) & (m < high)
                 # edits left of the segment move it by as many places, and so do those right of it
-                for move in range(max(-k, extra - (edits - k)), min(k, extra + (edits - k)) + 1):
-                    key = F.xxhash64(m.cast("int"), F.lit(k), F.substring(line, start + move, size))
-                    keys.append(F.when(within & (start + move >= 1), key))
-                    kinds.append((edits, k, extra, move))
-    names = ("edits", "k", "extra", "move")
-    kind = F.array(*(F.struct(*(F.lit(v).alias(c) for v, c in zip(x, names, strict=True))) for x in kinds))
-    out = found.where(n >= bands[0][0]).select(F.xxhash64("line").alias("id"), F.posexplode(F.array(*keys)).alias("place", "key"))
-    out = out.where("key IS NOT NULL").withColumn("kind", F.get(kind, "place"))
-    return out.select("key", "id", "kind.*").withColumn("indexed", F.expr("extra = 0 AND move = 0"))
+                moves = range(max(-k, extra - (edits - k)), min(k, extra + (edits - k)) + 1)
+                kinds += [(edits, k, extra, move, low + extra, high + extra) for move in moves]
+    names = ("edits", "k", "extra", "move", "low", "high")
+
+    def made(kind: Column) -> Column:
+        m = n - kind["extra"]
+        start, size = _segment(m, kind["k"], kind["edits"])
+        key = F.xxhash64(m, kind["k"], F.substring(line, start + kind["move"], size))
+        return F.struct(key.alias("key"), *(kind[c].alias(c) for c in names[:4]))
+
+    every = F.array(*(F.struct(*(F.lit(v).alias(c) for v, c in zip(x, names, strict=True))) for x in kinds))
+    keys = F.transform(F.filter(every, lambda kind: (n >= kind["low"]) & (n < kind["high"])), made)
+    long_enough = found.withColumn("n", F.length("line")).where(n >= bands[0][0])
+    out = long_enough.select(F.xxhash64("line").alias("id"), F.explode(keys).alias("key")).select("id", "key.*")
+    return out.withColumn("indexed", F.expr("extra = 0 AND move = 0"))
 
 
 def distance(a: Column, b: Column) -> Column:
@@ -260,8 +260,8 @@ def _remaining(mixed: DataFrame, bodies: DataFrame) -> DataFrame:
 
 def line_classes(found: DataFrame, bands: tuple[tuple[int, int], ...] = BANDS) -> DataFrame:
     """``node``, ``root`` of each line that is close to another; ``node`` is the line's digest."""
-    if not all(1 <= edits <= MOST for _, edits in bands):
-        raise ValueError(f"lines may differ by 1 to {MOST} edits")
+    if not all(1 <= edits <= min(MOST, low - 1) for low, edits in bands):
+        raise ValueError(f"lines may differ by 1 to {MOST} edits, and by fewer than they have code points")
     keys = with_keys(found, bands)
     center = F.min(F.when(F.col("indexed"), F.col("id"))).alias("center")
     shared = keys.groupBy("key").agg(center, F.min("id").alias("low"), F.max("id").alias("high"))
