@@ -224,3 +224,28 @@ def test_headers_that_differ_by_case_are_one_column(spark, schema, rows):
     tables.replace_key(spark, table, spark.sql("SELECT 'a' AS BAIRRO"), "k", "1")
     tables.replace_key(spark, table, spark.sql("SELECT 'b' AS Bairro"), "k", "2")
     assert rows(spark.table(table)) == [("a", "1"), ("b", "2")]
+
+
+def test_writing_keeps_partitions_open_and_leaves_the_session_alone(spark, tmp_path):
+    from vintara.sources import tables
+
+    names = [*tables.WRITING, "spark.sql.shuffle.partitions"]
+    before = [spark.conf.get(n, None) for n in names]
+    with tables.writing(spark, 10_000):
+        assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "16"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "10000"
+    assert [spark.conf.get(n, None) for n in names] == before
+    rows = spark.range(100).selectExpr("id", "CAST(id % 40 AS STRING) AS k").coalesce(1)
+    tables.write_layer(rows, f"{tmp_path}/t", "k")  # more partitions than stay open
+    again = tables.read_layer(spark, f"{tmp_path}/t", rows.schema)
+    assert sorted(again.collect()) == sorted(rows.collect())
+    assert [spark.conf.get(n, None) for n in names] == before
+
+
+def test_joins_get_more_tasks_as_line_items_grow(spark, tmp_path):
+    from vintara.plans import retail
+
+    folder = tmp_path / "lineitem.parquet"
+    folder.mkdir()
+    (folder / "part-0").write_bytes(b"x" * (retail.JOIN_BYTES + 1))
+    assert retail.join_shuffles(spark, str(tmp_path)) == 2
