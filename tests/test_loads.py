@@ -278,3 +278,17 @@ def test_distance_moran_equals_all_pairs(spark):
     polar = spark.createDataFrame([(1, 89.99, 0.0, 1), (2, 89.99, 120.0, 2)], "id long, latitude double, longitude double, valor long")
     assert spatial.near_pairs(polar, 5).count() == 2
 
+
+
+def test_pairs_in_one_order_are_half_of_all(spark):
+    rng = random.Random(6)
+    places = [(i, rng.uniform(-23.7, -23.5), rng.uniform(-47.6, -47.4), 1) for i in range(150)]
+    places += [(3, *places[3][1:3], 2), (3, -23.6, -47.5, 5), (900, *places[7][1:3], 4), (901, None, -47.5, 3)]
+    frame = spark.createDataFrame(places, "id long, latitude double, longitude double, valor long")
+    both = [tuple(r) for r in spatial.near_pairs(frame, 3).collect()]
+    half = [tuple(r) for r in spatial.near_pairs(frame, 3, once=True).collect()]
+    mirrored = half + [(b, a, km, v, u) for a, b, km, u, v in half]
+    assert len(both) == 2 * len(half) > 0
+    assert sorted((a, b, round(km, 9), u, v) for a, b, km, u, v in both) == sorted(
+        (a, b, round(km, 9), u, v) for a, b, km, u, v in mirrored
+    )
