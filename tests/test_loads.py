@@ -292,3 +292,21 @@ def test_pairs_in_one_order_are_half_of_all(spark):
     assert sorted((a, b, round(km, 9), u, v) for a, b, km, u, v in both) == sorted(
         (a, b, round(km, 9), u, v) for a, b, km, u, v in mirrored
     )
+
+
+def test_files_are_marked_in_split_stages(spark, tmp_path, monkeypatch):
+    schema = "marked_split"
+    tables.ensure_schema(spark, schema, str(tmp_path / "w"))
+    control.create_content(spark, f"{schema}.content")
+    seen, marks = [], landing.content_marks
+    name = "spark.sql.codegen.hugeMethodLimit"
+    monkeypatch.setattr(landing, "content_marks", lambda rows: seen.append(spark.conf.get(name)) or marks(rows))
+    known = Vintage(2020, "f", ("S1",))
+    landing.write_landing(spark.createDataFrame([("1",)], "A string"), str(tmp_path / "l"), known, "S1", "csv")
+    before, wanted = spark.conf.get(name), tables.WRITING[name]
+    spark.conf.set(name, "65535")
+    try:
+        found = medallion._changed_inside(spark, [known], str(tmp_path / "l"), f"{schema}.content", "csv", False)
+        assert (found, seen, spark.conf.get(name)) == ([2020], [wanted], "65535")
+    finally:
+        spark.conf.set(name, before)
