@@ -483,6 +483,27 @@ def test_junk_of_every_language_is_rejected(spark):
         assert sum(r.kept for r in clean) > 0.9 * len(clean)
 
 
+def test_distinct_texts_are_packed_once(spark, monkeypatch):
+    rng = random.Random(16)
+    rows = [("en", t) for t in prose(rng, "etaonrishl", 60)] + [("fr", t) for t in prose(rng, "eéèaçuinst", 30)] + [("en", ""), ("en", None)]
+    copies = [(lang, (t or "").replace(" ", " \t\n")) for lang, t in rows[50:70]] + rows[:5] + [("fr", rows[0][1])]
+    docs = languages_table(spark, rows + copies)
+    want = {r.doc_id: r for r in quality.quality_rules(docs).collect()}
+    same = quality.texts(docs, "doc_id", "text", F.col("lang").alias("language")).withColumn("same", quality.same_text())
+    for size in (1000, quality.CHUNK):  # chunks that are full and those that a task has at its end
+        monkeypatch.setattr(quality, "CHUNK", size)
+        monkeypatch.setattr(quality, "HELD", 3 * size)
+        counts, distinct = quality.counted(same)
+        assert counts.count() == len(rows + copies)
+        chunks = distinct.collect()
+        assert len({c.chunk for c in chunks}) == len(chunks)
+        found = [(c.language, t) for c in chunks for t in quality.pa.ipc.open_stream(bytes(c.texts)).read_all()["text"].to_pylist()]
+        assert Counter(found) == Counter({(lang, t or "") for lang, t in rows + [copies[-1]]})
+        got = {r.doc_id: r for r in quality.quality_rules(docs).collect()}
+        assert all((got[i].kept, got[i].perplexity) == (r.kept, pytest.approx(r.perplexity)) for i, r in want.items())
+    assert sum(len(c.texts) for c in chunks) < 0.6 * sum(len(t.encode()) for _, t in found)
+
+
 def test_empty_tables(spark, nothing):
     for made in (exact_dedup.exact_dedup, jaccard.jaccard_join, tokens.token_counts, bpe.bpe_round_trip,
                  packing.best_fit_packing, substring.repeated_units, line_dedup.line_dedup, quality.quality_rules):

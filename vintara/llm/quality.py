@@ -4,31 +4,37 @@ The models are of order four over the characters themselves, one for each langua
 distinct texts. A text is scored by the model of the other half, so that what it alone holds is
 not known from itself. Spark counts the n-grams of chunks of texts and adds them up in a table
 that grows with the corpus; the modified Kneser-Ney estimates (Chen and Goodman, 1998) are
-aggregates and joins of it. A chunk is scored beside the entries for its own n-grams alone:
-nothing is broadcast or gathered that grows with the corpus.
+aggregates and joins of it. A chunk has texts of one half of one language, packed with zstd, and
+is scored beside the entries for its own n-grams alone: nothing is broadcast or gathered that grows
+with the corpus.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintara.llm.common import BLANKS, as_given, documents, sweep, texts, tidy, with_rows, written
+from vintara.llm.bpe import portions
+from vintara.llm.common import BLANKS, TABLES, as_given, discard, documents, maybe_among, sweep, texts, tidy, with_rows, written
 
 ORDER, BITS = 4, 6
 CLASSES = 1 << BITS
 #: Bits of a code point, and what stands before a text's first character.
 POINT, START = 21, 0x110000
-#: Characters that a task scores together, and that a chunk of texts holds.
-PENDING, CHUNK = 2_000_000, 8_000_000
+#: Characters that a task scores together, that a chunk of texts holds, and that a task holds of open chunks.
+PENDING, CHUNK, HELD = 500_000, 4_000_000, 12_000_000
+#: Of the compression of a chunk's texts; parts of the chunks that are shuffled one after the other to be scored.
+LEVEL, SLICES = 6, 4
+#: What becomes one blank; a single one is left as it is.
+RUN_OF_BLANKS = re.compile(r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+")
 MIN_WORDS = 50
 #: Symbols a word that a text from which the models learn may hold in any language.
 SYMBOLS = 0.1
@@ -167,38 +173,83 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
     return len(words), len(text) - blanks, symbols, len(lines) - len(set(lines)), repeated_words(words)
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        made = zip(*(base_counts(t.as_py()) for t in batch["text"]), strict=True) if len(batch) else [[]] * 5
-        plain = [c for c in batch.schema.names if c != "text"]
-        names = [*plain, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-        yield pa.RecordBatch.from_arrays([*(batch[c] for c in plain), *(pa.array(x, pa.int64()) for x in made)], names)
+def _failed(n_words: int, n_repeat_words: int) -> bool:
+    return n_words < MIN_WORDS or 100 * n_repeat_words > 50 * n_words
 
 
-def counted(rows: DataFrame) -> DataFrame:
-    """``rows`` with the base counts for text."""
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(tidy(_counted), f"{kept}, {BASE}")
+def _packed(rows: list[tuple[str, str, float, bool]]) -> bytes:
+    """The texts of a chunk, ``same``, symbols a word and whether they fail, as a compressed Arrow stream."""
+    kinds = (pa.string(), pa.string(), pa.float64(), pa.bool_())
+    columns = [pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+    batch = pa.RecordBatch.from_arrays(columns, ["text", "same", "symbols", "failed"])
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))) as writer:
+        writer.write_batch(batch)
+    return out.getvalue().to_pybytes()
 
 
-def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts with the number of a chunk; a task begins the next one when the last is full."""
-    chunk, size = TaskContext.get().partitionId() << 32, 0
-    for batch in batches:
-        numbers = []
-        for n in pc.utf8_length(batch["text"]).to_pylist():
-            if size and size + n > CHUNK:
-                chunk, size = chunk + 1, 0
-            size += n
-            numbers.append(chunk)
-        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), *batch.columns], ["chunk", *batch.schema.names])
+def _unpacked(held: pa.BinaryScalar) -> pa.Table:
+    with pa.ipc.open_stream(held.as_buffer()) as reader:
+        return reader.read_all()
 
 
-def teaching(counts: DataFrame) -> DataFrame:
-    """``language, same, teaches`` of each distinct text: whether the models learn from it.
+def _read(kind: int):
+    """A row with the base counts of each text, and rows with the packed texts that come ``once`` (their ``chunk`` is not null).
 
-    They do not from texts that fail the base rules, nor from those with more symbols a word than
-    is usual in their language, or else junk would be known to them in proportion to its share.
+    A chunk is of one half of one language. It ends when full, or when the task holds too much.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, made = TaskContext.get().partitionId() << 33, 0
+        held: dict[tuple, list[tuple]] = {}
+        sizes: dict[tuple, int] = {}
+
+        def chunk(part: tuple, schema: pa.Schema) -> pa.RecordBatch:
+            nonlocal made
+            own = {"language": part[1], "chunk": task | made << 1 | kind, "half": part[0], "texts": _packed(held.pop(part))}
+            made, sizes[part] = made + 1, 0
+            return pa.RecordBatch.from_arrays([pa.array([own.get(f.name)], f.type) for f in schema], schema=schema)
+
+        schema = None
+        for batch in batches:
+            texts = batch["text"].to_pylist()
+            found = list(map(base_counts, texts))
+            plain = [f for f in batch.schema if f.name not in ("text", "half", "once")]
+            names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+            last = [("chunk", pa.int64()), ("half", pa.int32()), ("texts", pa.binary())]
+            schema = pa.schema([*plain, *((c, pa.int64()) for c in names), *last])
+            counts = zip(*found, strict=True) if found else [[]] * 5
+            yield pa.RecordBatch.from_arrays(
+                [*(batch[f.name] for f in plain), *(pa.array(x, pa.int64()) for x in counts), *(pa.nulls(len(batch), k) for _, k in last)],
+                schema=schema,
+            )
+            own = zip(texts, found, *(batch[c].to_pylist() for c in ("once", "half", "language", "same")), strict=True)
+            for text, (n_words, _, n_symbols, _, n_repeat_words), once, half, language, same in own:
+                if not once:
+                    continue
+                part, text = (half, language), RUN_OF_BLANKS.sub(" ", text)
+                if sizes.get(part, 0) + len(text) > CHUNK and part in held:
+                    yield chunk(part, schema)
+                held.setdefault(part, []).append((text, same, n_symbols / max(n_words, 1), _failed(n_words, n_repeat_words)))
+                sizes[part] = sizes.get(part, 0) + len(text)
+                if sum(sizes.values()) > HELD:
+                    yield chunk(max(held, key=sizes.__getitem__), schema)
+        for part in list(held):
+            yield chunk(part, schema)
+
+    return run
+
+
+def read(rows: DataFrame, kind: int) -> DataFrame:
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name not in ("text", "half", "once"))
+    return rows.mapInArrow(tidy(_read(kind)), f"{kept}, {BASE}, chunk long, half int, texts binary")
+
+
+def most_symbols(counts: DataFrame) -> DataFrame:
+    """``language, most``: symbols a word that a text from which the models learn may hold.
+
+    They do not learn from texts that fail the base rules, nor from those with more symbols a word
+    than is usual in their language, or else junk would be known to them in proportion to its share.
     """
     once = counts.groupBy("language", "same").agg(
         F.min(F.col("n_symbols") / F.greatest("n_words", F.lit(1))).alias("symbols"), F.min("base_failed").alias("failed")
@@ -208,18 +259,26 @@ def teaching(counts: DataFrame) -> DataFrame:
     middle = usable.groupBy("language").agg(median("symbols").alias("middle"))
     off = usable.join(middle, "language").groupBy("language", "middle").agg(median(F.abs(F.col("symbols") - F.col("middle"))).alias("off"))
     most = off.select("language", F.greatest(F.col("middle") + BAND * NORMAL * F.col("off"), F.lit(SYMBOLS)).alias("most"))
-    teaches = ~F.col("failed") & F.coalesce(F.col("symbols") <= F.col("most"), F.lit(False))
-    return once.join(written(most, "symbols"), "language", "left").select("language", "same", teaches.alias("teaches"))
+    return written(most, "symbols")
+
 
+def counted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with the base counts for text; ``chunk, half, language, texts``: each text of a language once, its runs of white space one blank.
 
-def distinct_texts(rows: DataFrame, taught: DataFrame) -> DataFrame:
-    """``chunk, half, language, same, teaches, text``: each text of a language once, its runs of white space one blank."""
+    Only texts that may have copies are shuffled: those whose mark a bitmap of the repeated marks has.
+    """
+    mark = F.xxhash64("language", "same").alias("mark")
+    copied = rows.select(mark).groupBy("mark").count().where("count > 1").select("mark")
+    maybe = maybe_among(copied)
     half = F.pmod(F.xxhash64("same"), F.lit(2)).cast("int").alias("half")
-    once = rows.select(half, "language", "same", F.regexp_replace("text", BLANKS, " ").alias("text"))
-    once = once.dropDuplicates(["language", "same"]).join(taught, ["language", "same"])
-    once = once.select("half", "language", "same", "teaches", "text")
-    schema = "chunk long, half int, language string, same string, teaches boolean, text string"
-    return written(once.mapInArrow(tidy(_chunked), schema), "texts")
+    marked = rows.select("*", half, (~maybe(mark)).alias("once"))
+    found = written(read(marked, 0), "counts")
+    first = marked.where("NOT once").select("text", "language", "same", "half").dropDuplicates(["language", "same"])
+    again = written(read(first.withColumn("once", F.lit(True)), 1).where("chunk IS NOT NULL"), "copied-texts")
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    counts = found.where("chunk IS NULL").drop("chunk", "half", "texts").withColumn("base_failed", failed)
+    texts = [x.where("chunk IS NOT NULL").select("chunk", "half", "language", "texts") for x in (found, again)]
+    return counts, texts[0].unionByName(texts[1])
 
 
 def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -268,27 +327,24 @@ def _halves(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _chunk_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    waiting: dict[tuple, list[str]] = {}
-    chunk = None
-
-    def added() -> Iterator[pa.RecordBatch]:
-        for (number, half, language, teaches), held in waiting.items():
-            grams, n = gram_counts(windows(held)[0])
-            same = [pa.array([v], t).take(pa.array(np.zeros(len(n), np.int64)))
-                    for v, t in ((number, pa.int64()), (half, pa.int32()), (language, pa.string()))]
-            names = ["chunk", "half", "language", "high", "low", "n"]
-            n = n.astype(np.int64) if teaches else np.zeros(len(n), np.int64)
-            yield pa.RecordBatch.from_arrays([*same, *map(pa.array, _halves(grams)), pa.array(n)], names)
-        waiting.clear()
-
     for batch in batches:
-        names = ("chunk", "half", "language", "teaches", "text")
-        for number, half, language, teaches, text in zip(*(batch[c].to_pylist() for c in names), strict=True):
-            if number != chunk:
-                yield from added()
-                chunk = number
-            waiting.setdefault((number, half, language, teaches), []).append(text)
-    yield from added()
+        for i in range(len(batch)):
+            held, most = _unpacked(batch["texts"][i]), batch["most"][i].as_py()
+            failed, symbols = (held[c].to_numpy() for c in ("failed", "symbols"))
+            teaches = ~failed & (symbols <= most if most is not None else False)
+            tables = []
+            for learnt in np.unique(teaches).tolist():
+                for texts in portions(held["text"].filter(pa.array(teaches == learnt)).to_pylist(), PENDING):
+                    grams, n = gram_counts(windows(texts)[0])
+                    n = n.astype(np.int64) if learnt else np.zeros(len(n), np.int64)
+                    tables.append(pa.table([*map(pa.array, _halves(grams)), pa.array(n)], ["high", "low", "n"]))
+            once = pa.concat_tables(tables).group_by(["high", "low"]).aggregate([("n", "sum")])
+            once = once.sort_by([("high", "ascending"), ("low", "ascending")]).combine_chunks()
+            same = [pa.array([batch[c][i].as_py()], batch[c].type).take(pa.array(np.zeros(len(once), np.int64)))
+                    for c in ("chunk", "half", "language")]
+            made = [once[c].combine_chunks() for c in ("high", "low", "n_sum")]
+            yield pa.RecordBatch.from_arrays([*same, *made], ["chunk", "half", "language", "high", "low", "n"])
+        pa.default_memory_pool().release_unused()
 
 
 def _taken() -> Column:
@@ -368,40 +424,46 @@ def mean_logs(texts: list[str], known: np.ndarray, log_p: np.ndarray) -> list[fl
 
 def _score_chunk(texts: pa.Table, logs: pa.Table) -> pa.Table:
     """The texts of one chunk by the entries for its n-grams."""
-    names = ["half", "language", "same", "log_ppl"]
-    kinds = [pa.int32(), pa.string(), pa.string(), pa.float64()]
+    names = ["language", "same", "half", "log_ppl"]
+    kinds = [pa.string(), pa.string(), pa.int32(), pa.float64()]
     rows: list[list] = [[], [], [], []]
-    for part in texts.select(names[:2]).group_by(names[:2]).aggregate([]).to_pylist():
-        half, language = part["half"], part["language"]
-        own = lambda t: t.filter((pc.field("half") == half) & (pc.field("language") == language))  # noqa: B023, E731
-        held, entries = own(texts), own(logs)
-        high, low = (entries[c].to_numpy() for c in ("high", "low"))
-        mask = (1 << POINT) - 1
-        known = np.stack([high >> POINT, high & mask, low >> POINT, low & mask])
-        waiting: list[str] = []
-        for text in [*held["text"].to_pylist(), None]:
-            if waiting and (text is None or sum(map(len, waiting)) > PENDING):
-                rows[3] += mean_logs(waiting, known, entries["log_p"].to_numpy())
-                waiting = []
-            waiting.append(text)
-        rows[2] += held["same"].to_pylist()
-        rows[0] += [half] * len(held)
-        rows[1] += [language] * len(held)
+    high, low, log_p = (logs[c].to_numpy() for c in ("high", "low", "log_p"))
+    mask = (1 << POINT) - 1
+    known = np.stack([high >> POINT, high & mask, low >> POINT, low & mask])
+    for i in range(len(texts)):
+        held = _unpacked(texts["texts"][i])
+        for part in portions(held["text"].to_pylist(), PENDING):
+            rows[3] += mean_logs(part, known, log_p)
+        rows[0] += [texts["language"][i].as_py()] * len(held)
+        rows[1] += held["same"].to_pylist()
+        rows[2] += [texts["half"][i].as_py()] * len(held)
     pa.default_memory_pool().release_unused()
     return pa.table([pa.array(x, k) for x, k in zip(rows, kinds, strict=True)], names)
 
 
-def perplexities(distinct: DataFrame) -> DataFrame:
-    """``half, language, same, log_ppl`` for the texts of ``distinct_texts``."""
+def perplexities(distinct: DataFrame, most: DataFrame) -> DataFrame:
+    """``language, same, half, log_ppl`` for the texts that ``counted`` packed.
+
+    Chunks meet the entries for their n-grams in slices, so that the shuffles never hold all texts.
+    """
+    before = len(TABLES)
+    spark = distinct.sparkSession
     schema = "chunk long, half int, language string, high long, low long, n long"
-    chunks = written(distinct.drop("same").mapInArrow(tidy(_chunk_grams), schema), "chunk-grams")
+    chunks = written(distinct.join(most, "language", "left").mapInArrow(tidy(_chunk_grams), schema), "chunk-grams")
     key = ["half", "language", "high", "low"]
     grams = written(chunks.groupBy(*key).agg(F.sum("n").alias("a")), "grams")
     found = written(gram_logs(grams), "gram-logs")
-    sweep(distinct.sparkSession)
-    logs = chunks.select("chunk", *key).distinct().join(found, key)
-    both = distinct.groupBy("chunk").cogroup(logs.groupBy("chunk"))
-    return both.applyInArrow(_score_chunk, "half int, language string, same string, log_ppl double")
+    sweep(spark)
+    logs = written(chunks.select("chunk", *key).join(found, key).select("chunk", "high", "low", "log_p"), "chunk-logs")
+    discard(spark, TABLES[before:-1])
+    made = []
+    for k in range(SLICES):
+        sweep(spark)
+        own = F.pmod(F.xxhash64("chunk"), F.lit(SLICES)) == k
+        both = distinct.where(own).groupBy("chunk").cogroup(logs.where(own).groupBy("chunk"))
+        scored = both.applyInArrow(_score_chunk, "language string, same string, half int, log_ppl double")
+        made.append(written(scored, "perplexities"))
+    return reduce(DataFrame.unionByName, made)
 
 
 def same_text() -> Column:
@@ -441,12 +503,9 @@ def quality_rules(
     """
     language = F.coalesce(F.col(language_column).cast("string"), F.lit("?")).alias("__language")
     rows = texts(docs, id_column, text_column, language, *carry).withColumn("same", same_text())
-    few = F.col("n_words") < MIN_WORDS
-    failed = few | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    counts = written(counted(rows).withColumn("base_failed", failed).withColumnRenamed("__language", "language"), "counts")
-    distinct = distinct_texts(rows.withColumnRenamed("__language", "language"), teaching(counts))
-    sweep(docs.sparkSession)  # the shuffle of all texts
-    found = written(perplexities(distinct), "perplexities")
+    counts, distinct = counted(rows.withColumnRenamed("__language", "language"))
+    sweep(docs.sparkSession)  # the shuffle of texts that may have copies
+    found = perplexities(distinct, most_symbols(counts))
     scores = written(counts.join(found, ["language", "same"]), "scores")
     within = F.col("log_ppl").between(F.col("low"), F.col("high"))
     return scores.join(written(bands(scores, width), "bands"), ["language", "half"], "left").select(
