@@ -504,6 +504,22 @@ def test_distinct_texts_are_packed_once(spark, monkeypatch):
     assert sum(len(c.texts) for c in chunks) < 0.6 * sum(len(t.encode()) for _, t in found)
 
 
+def test_words_of_packing_as_the_library_has_them():
+    path = packing.public_tokenizers.path("word_bpe_49k.json")
+    encoder, rng = packing.Encoder(path), random.Random(17)
+    letters = "abcXYZ019 .,!'-\t\r\x0b\x85\xa0ßµªºÀé×\xad"
+    many = ["", " ", "once upon", "don't we'll", "<|endoftext|> a", "Σίσυφος ΑΣ", "İstanbul e\u0301", "日本 🤖"]
+    many += ["".join(rng.choices(letters, k=rng.randint(1, 60))) for _ in range(300)]
+    for part in (many, many[::-1], many[8:], [many[8]]):
+        for text, ids in zip(part, encoder.ids(part), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    single = ["zxqonce"]
+    list(encoder.ids(single))
+    assert encoder.words.passing == single  # forgotten with the next portion, without a copy of what is known
+    list(encoder.ids(["other"]))
+    assert "zxqonce" not in encoder.words.known
+
+
 def test_empty_tables(spark, nothing):
     for made in (exact_dedup.exact_dedup, jaccard.jaccard_join, tokens.token_counts, bpe.bpe_round_trip,
                  packing.best_fit_packing, substring.repeated_units, line_dedup.line_dedup, quality.quality_rules):

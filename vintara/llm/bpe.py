@@ -12,7 +12,7 @@ import hashlib
 import json
 from collections.abc import Callable, Iterator
 from functools import cache
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import public_tokenizers
@@ -27,7 +27,7 @@ from vintara.llm.common import documents, texts, tidy
 REMEMBERED, MARKS = 300_000, 1 << 22
 #: Characters of text that a task encodes at once.
 AT_ONCE = 3_000_000
-NEVER = np.int64(1 << 62)
+NEVER = np.int32((1 << 31) - 1)
 
 
 def byte_letters() -> dict[str, int]:
@@ -45,11 +45,15 @@ class Merges:
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
         key = np.array([vocabulary[a] << 32 | vocabulary[b] for a, b in pairs], np.int64)
         order = np.argsort(key, kind="stable")
-        self.key, self.rank = key[order], order.astype(np.int64)
+        self.key, self.rank = key[order], order.astype(np.int32)
         self.made = np.array([vocabulary[a + b] for a, b in pairs], np.int64)  # by rank
         self.single = np.array([vocabulary[x] for x, _ in sorted(letters.items(), key=lambda x: x[1])], np.int64)
         self.last = np.array([vocabulary[x + end] for x, _ in sorted(letters.items(), key=lambda x: x[1])], np.int64)
 
+        after = np.concatenate((self.single, self.last))
+        #: Of each byte and the next one, which may be the word's last (from 256 on).
+        self.first = self.ranks(np.repeat(self.single, 512), np.tile(after, 256))
+
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         pair = a << 32 | b
         at = np.minimum(np.searchsorted(self.key, pair), len(self.key) - 1)
@@ -63,11 +67,13 @@ class Merges:
         ends = np.cumsum([len(w) for w in words])
         ids = self.single[data]
         ids[ends - 1] = self.last[data[ends - 1]]
-        owner = np.repeat(np.arange(len(words)), np.diff(ends, prepend=0))
+        owner = np.repeat(np.arange(len(words), dtype=np.int32), np.diff(ends, prepend=0))
         done: list[tuple[np.ndarray, np.ndarray]] = []
         rank = np.full(len(ids), NEVER)
         inner = np.flatnonzero(owner[1:] == owner[:-1])
-        rank[inner] = self.ranks(ids[inner], ids[inner + 1])
+        after = data.astype(np.int64)
+        after[ends - 1] += 256
+        rank[inner] = self.first[after[inner] << 9 | after[inner + 1]]
         while len(ids):
             starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
             best = np.minimum.reduceat(rank, starts)
@@ -107,25 +113,27 @@ def packed(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
 class Remembered:
     """What words of a text stand for, learnt a portion at a time."""
 
-    def __init__(self) -> None:
+    def __init__(self, most: int = REMEMBERED) -> None:
+        self.most = most
         self.known: dict[str, bytes] = {}
-        self.marks = bytearray(MARKS)
+        self.marks = np.zeros(MARKS, np.uint8)
+        self.passing: list[str] = []  # words of the last portion that are not remembered
 
     def portion(self, words: set[str], learn: Callable[[list[str]], list[bytes]]) -> dict[str, bytes]:
         """A dictionary that has all of ``words``, until the next call."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        if not new:
-            return self.known
-        made = dict(zip(new, learn(new), strict=True))
-        marks, known = self.marks, self.known
-        again = [w for w in new if marks[hash(w) % MARKS]]
-        for w in new:
-            marks[hash(w) % MARKS] = 1
-        out = made | {w: known[w] for w in words if w in known}
-        known.update((w, made[w]) for w in again)
-        return out
+        known = self.known
+        for w in self.passing:
+            del known[w]
+        self.passing = []
+        if len(known) > self.most:
+            known.clear()
+        new = list(words.difference(known))
+        if new:
+            known.update(zip(new, learn(new), strict=True))
+            at = np.fromiter(map(hash, new), np.int64, len(new)) % MARKS
+            self.passing = list(compress(new, self.marks[at] == 0))
+            self.marks[at] = 1
+        return known
 
 
 class ByteEncoder:

@@ -33,10 +33,19 @@ LENGTH = 4096
 SEPARATOR = 1
 #: Steps between the second lengths of patterns of three, and sweeps of the fit.
 STEP, SWEEPS = 64, 12
+#: Characters of text that a task encodes at once, and words it remembers: the more, the fewer are learnt again.
+PORTION, WORDS = 10_000_000, 600_000
 #: Pieces of a length that are numbered together, about.
 GROUP = 100_000
 
 
+def _latin(text: str) -> bool:
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
+
+
 class Encoder:
     """Ids of whole texts as the tokenizers library gives them with a vocabulary of lower-case words.
 
@@ -52,34 +61,38 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.merges = Merges(spec["model"]["vocab"], spec["model"]["merges"], spec["model"]["end_of_word_suffix"])
-        self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        self.words = Remembered()
-
-    def _cut(self, word: str) -> list[str] | None:
-        """The parts of a word, or None if it is left to the library."""
-        if "<|" in word or not word.isascii() and max(word) > "\xff":
-            return None
-        low = word.lower()
-        return [low] if low.isalpha() else self.split.findall(low)
+        self.split = regex.compile("\\n|" + spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        self.words = Remembered(WORDS)
 
     def learn(self, words: list[str]) -> list[bytes]:
-        """The ids of each word."""
-        cut = [self._cut(w) for w in words]
-        parts = list({p for x in cut if x for p in x})
-        known = dict(zip(parts, packed(*self.merges([p.encode() for p in parts])), strict=True))
-        out = []
-        for word, x in zip(words, cut, strict=True):
-            if x is None:
-                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-                out.append(np.array(ids, "<u4").tobytes())
-            else:
-                out.append(known[x[0]] if len(x) == 1 else b"".join(map(known.__getitem__, x)))
-        return out
+        """The ids of each word. None holds a blank or the end of a line."""
+        plain = "\n".join(words)
+        others: set[str] = set()
+        if "<|" in plain or not _latin(plain):
+            others = {w for w in words if "<|" in w or not _latin(w)}
+            plain = "\n".join([w for w in words if w not in others])
+        low = plain.lower().split("\n")  # a Latin-1 letter stays one letter
+        odd = [w for w in low if not w.isalpha()]
+        cut = self.split.findall("\n".join(odd))
+        parts = list(set(low).difference(odd).union(cut) - {"\n"})
+        made = dict(zip(parts, packed(*self.merges([p.encode() for p in parts])), strict=True))
+        # ids take four bytes each, and the end of a word one
+        found = list(map((made | {"\n": b"\n"}).__getitem__, cut))
+        flat, sizes = b"".join(found), np.fromiter(map(len, found), np.int64, len(found))
+        stops = np.cumsum(sizes)[sizes == 1].tolist()
+        made.update((w, flat[i:j]) for w, i, j in zip(odd, [0, *stops], [*(k - 1 for k in stops), len(flat)], strict=False))
+        if not others:
+            return list(map(made.__getitem__, low))
+        rest = iter(low)
+        return [self._whole(w) if w in others else made[next(rest)] for w in words]
+
+    def _whole(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, many: list[str]) -> Iterator[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
         found = [t.replace("\n", " ").split(" ") for t in many]
-        known = self.words.portion({w for x in found for w in x}, self.learn).__getitem__
+        known = self.words.portion(set().union(*found), self.learn).__getitem__
         return (b"".join(map(known, x)) for x in found)
 
 
@@ -95,7 +108,7 @@ def _pieces(path: str, length: int, separator: int):
         for batch in batches:
             carried = [c for c in batch.schema.names if c != "text"]
             at, rows = [], []
-            made = (x for part in portions(batch["text"].to_pylist()) for x in encoder.ids(part))
+            made = (x for part in portions(batch["text"].to_pylist(), PORTION) for x in encoder.ids(part))
             for i, ids in enumerate(made):
                 ids += end
                 for piece, start in enumerate(range(0, len(ids), 4 * length)):
