@@ -504,6 +504,37 @@ def test_distinct_texts_are_packed_once(spark, monkeypatch):
     assert sum(len(c.texts) for c in chunks) < 0.6 * sum(len(t.encode()) for _, t in found)
 
 
+def test_groups_of_sketches_are_compared_side_by_side():
+    rng = np.random.default_rng(3)
+    rows = []
+    for g, size in enumerate((1, 2, 3, 40, 0, 7, 2)):
+        base = rng.integers(0, 256, 8 * (1 + g % 3), np.uint8)
+        for _ in range(size):
+            flips = rng.random((len(base), 8)) < 0.05
+            bits = (base ^ np.packbits(flips, axis=1)[:, 0]).tobytes()
+            rows.append((g, 0, 0, int(rng.integers(0, 60)), int(rng.integers(0, 9)), bool(rng.random() < 0.7), int(rng.integers(30, 90)), bits))
+    names = ("g", "i", "j", "node", "root", "probe", "n", "bits")
+    cut = [rows[k : k + 11] for k in range(0, len(rows), 11)]
+    batches = [jaccard.pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in part]) for part in cut]
+    for closest in (True, False):
+        want, best = set(), {}
+        for x in rows:
+            for y in rows:
+                near = 9 * sum((a ^ b).bit_count() for a, b in zip(x[7], y[7], strict=False)) if x[0] == y[0] else 1 << 30
+                if x[5] and x[4] != y[4] and 100 * min(x[6], y[6]) >= 80 * max(x[6], y[6]) and near <= x[6] + y[6]:
+                    pair = max(x[3], y[3]), min(x[3], y[3])
+                    want.add(pair)
+                    key = x[0], *sorted((x[4], y[4]))
+                    best[key] = min(best.get(key, (9.0, 0, 0)), (near / 9 / (x[6] + y[6]), *pair))
+        want = {v[1:] for v in best.values()} if closest else want
+        for size in (5, jaccard.PAIRS):
+            old, jaccard.PAIRS = jaccard.PAIRS, size
+            made = list(jaccard._close_of_tiles(closest)(iter(batches)))
+            jaccard.PAIRS = old
+            assert len(want) > 5 and {tuple(r.values()) for b in made for r in b.to_pylist()} == want
+            assert len(made) <= len(batches) + 1  # not one for each group
+
+
 def test_words_of_packing_as_the_library_has_them():
     path = packing.public_tokenizers.path("word_bpe_49k.json")
     encoder, rng = packing.Encoder(path), random.Random(17)

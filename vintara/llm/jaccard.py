@@ -46,6 +46,8 @@ SPARE = 1.3
 CHUNK = 1_500_000
 #: Bytes of sketches of one bucket that make a tile.
 TILE = 16_000_000
+#: Pairs of sketches compared at once.
+PAIRS = 1 << 17
 #: Bytes of text hashed at once.
 BLOCK = 1 << 16
 
@@ -319,23 +321,46 @@ def probed(bodies: DataFrame, known: DataFrame) -> DataFrame:
     return written(ranked.join(known, ["node", "band"]).select("key", "node", "probe", tiles, "n", "bits"), "probed")
 
 
-def _close(rows: dict[str, np.ndarray], closest: bool) -> Iterator[tuple[int, int]]:
-    """Pairs of a bucket across components that its sketches allow, or only the closest one of any two components."""
+def _close(rows: dict[str, np.ndarray], group: np.ndarray, closest: bool) -> np.ndarray:
+    """Pairs of ascending groups across components that their sketches allow, or only the closest one of any two components of a group.
+
+    Groups are compared side by side, about ``PAIRS`` pairs at once.
+    """
     node, root, n = rows["node"], rows["root"], rows["n"]
-    bits = np.frombuffer(b"".join(rows["bits"]), np.uint64).reshape(len(node), -1)
-    best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    for at in np.flatnonzero(rows["probe"]):
-        others = np.flatnonzero((root != root[at]) & (100 * np.minimum(n, n[at]) >= 80 * np.maximum(n, n[at])))
-        apart = np.bitwise_count(bits[others] ^ bits[at]).sum(axis=1, dtype=np.int64)
-        near = 9 * apart <= n[others] + n[at]
-        for k, d in zip(others[near].tolist(), apart[near].tolist(), strict=True):
-            pair = max(node[at], node[k]), min(node[at], node[k])
-            if closest:
-                name = min(root[at], root[k]), max(root[at], root[k])
-                best[name] = min(best.get(name, (9.0, 0, 0)), (d / (n[at] + n[k]), *pair))
-            else:
-                yield pair
-    yield from (x[1:] for x in best.values())
+    width = np.fromiter(map(len, rows["bits"]), np.int64, len(node)) >> 3  # one for each group
+    place = np.cumsum(width) - width
+    bits = np.frombuffer(b"".join(rows["bits"]), np.uint64)
+    first, last = np.searchsorted(group, group), np.searchsorted(group, group, "right")
+    probes = np.flatnonzero(rows["probe"])
+    sizes = (last - first)[probes]
+    before = np.cumsum(sizes) - sizes
+    found = [np.zeros((3, 0), np.int64)]
+    gaps = [np.zeros(0)]
+    for part in np.split(np.arange(len(probes)), np.flatnonzero(np.diff(before // PAIRS)) + 1):
+        at = np.repeat(probes[part], sizes[part])
+        other = first[at] + np.arange(len(at)) - np.repeat(before[part] - before[part[:1]], sizes[part])
+        some = (root[at] != root[other]) & (100 * np.minimum(n[at], n[other]) >= 80 * np.maximum(n[at], n[other]))
+        at, other = at[some], other[some]
+        apart = np.zeros(len(at), np.int64)
+        for w in np.unique(width[at]).tolist():
+            own = np.flatnonzero(width[at] == w)
+            x, y = place[at[own]], place[other[own]]
+            apart[own] = sum(np.bitwise_count(bits[x + k] ^ bits[y + k]).astype(np.int64) for k in range(w))
+        both = n[at] + n[other]
+        near = 9 * apart <= both
+        at, other = at[near], other[near]
+        found.append(np.stack((group[at], at, other)))
+        gaps.append(apart[near] / both[near])
+    of, at, other = np.concatenate(found, axis=1)
+    pairs = np.stack((np.maximum(node[at], node[other]), np.minimum(node[at], node[other])))
+    if closest:
+        names = np.stack((of, np.minimum(root[at], root[other]), np.maximum(root[at], root[other])))
+        order = np.lexsort((pairs[1], pairs[0], np.concatenate(gaps), *names[::-1]))
+        names, pairs = names[:, order], pairs[:, order]
+        new = np.ones(len(order), bool)
+        new[1:] = (names[:, 1:] != names[:, :-1]).any(axis=0)
+        pairs = pairs[:, new]
+    return np.unique(pairs, axis=1)
 
 
 def _close_of_tiles(closest: bool):
@@ -346,21 +371,24 @@ def _close_of_tiles(closest: bool):
 
         def flush() -> pa.RecordBatch:
             rows = {c: np.concatenate([h[c] for h in held]) for c in columns} if held else None
-            pairs = sorted(set(_close(rows, closest))) if held and rows["probe"].any() else []
-            made = zip(*pairs, strict=True) if pairs else [[]] * 2
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in made], ["a", "b"])
+            pairs = np.zeros((2, 0), np.int64)
+            if held and rows["probe"].any():
+                names = np.stack([rows[c] for c in ("g", "i", "j")])
+                pairs = _close(rows, np.cumsum(np.append(0, (names[:, 1:] != names[:, :-1]).any(axis=0))), closest)
+            return pa.RecordBatch.from_arrays(list(map(pa.array, pairs)), ["a", "b"])
 
         for batch in batches:
             rows = {c: batch[c].to_numpy(zero_copy_only=False) for c in columns}
             if not batch.num_rows:
                 continue
-            names = np.stack([rows[c] for c in ("g", "i", "j")], axis=1)
-            starts = np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1
-            for start, end in zip([0, *starts], [*starts, len(names)], strict=True):
-                if held and any(held[-1][c][-1] != rows[c][start] for c in ("g", "i", "j")):
-                    yield flush()
-                    held = []
-                held.append({c: rows[c][start:end] for c in columns})
+            names = np.stack([rows[c] for c in ("g", "i", "j")])
+            ends = np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1
+            last = ends[-1] if len(ends) else 0  # where the group starts that may go on
+            if last or held and any(held[-1][c][-1] != rows[c][0] for c in ("g", "i", "j")):
+                held.append({c: rows[c][:last] for c in columns})
+                yield flush()
+                held = []
+            held.append({c: rows[c][last:] for c in columns})
         yield flush()
 
     return run
