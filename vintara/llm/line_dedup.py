@@ -1,12 +1,17 @@
 """Line dedup within an edit distance, in DataFrame operations alone.
 
-A line is cut into one segment more than the edits allowed at its length, so that a line close to
-it has one of the segments in it, near the same place. Keys are a length, a segment's number and
-its text: a line indexes its own segments, and probes the substrings that may be a segment of a
-line as long or a little shorter. A key's lines are compared with one of them. Where that leaves
-several classes in a key, few lines are compared with each other; of many, what the key does not
-hold is cut further, round by round, by the parts that may hold the edits, until keys have few
-lines or no more letters than edits are left. So no key's lines are ever paired with all others.
+Lines of lengths in one class are cut at the same places, into one segment more than the edits
+allowed there, so that of two close lines one segment is the same in both. A class is that of the
+shorter line; a line takes part in the class of its own length and in those of a few letters less.
+Segments at the ends do not move. The middle one of three moves by a letter at most, as an edit on
+either side of it is all there can be, and is named at two places. So a line has two keys or four.
+
+A key's lines are compared with one of them. Of keys that are left with three lines or more and
+several classes, lines are compared by sketches: the parities of their letter pairs, of which an
+edit changes four at most. That is arithmetic inside a join by key and tile of bounded size, and
+only pairs that pass leave it: first the closest one of each line, as long as that connects lines,
+then all that are left between classes. No pair that is close is lost.
+
 A pair's shared ends are cut off, most of the rest's parts must be found near their places, and
 banded bit-parallel edit distance decides: one step for each character, with the band's
 differences as bits of two integers.
@@ -22,8 +27,14 @@ from vintara.llm.common import TABLES, components, discard, documents, nulls_las
 #: From so many code points on, lines may differ by so many edits (of two lines, the shorter one counts).
 BANDS = ((8, 1), (64, 2))
 MOST = 2
-#: Parts into which a round cuts the letters that may hold the edits, and lines of a key that are compared with each other.
-PARTS, FEW = 8, 8
+#: Parts of which close lines have most near the same places.
+PARTS = 8
+#: Smallest length of a class of lengths, times STEP, is that of the next.
+STEP = 1.25
+#: Lines of one key that make a tile.
+TILE = 1024
+#: Bits of the map of the keys that several lines share, as a power of two: 8 MB.
+MAP = 26
 BLANK_CHARACTERS = " \t\n\v\f\r"
 
 
@@ -85,39 +96,28 @@ def close(a: Column, b: Column, edits: Column) -> Column:
     return F.when(F.abs(F.length(a) - F.length(b)) > edits, F.lit(False)).otherwise(near)
 
 
-def _segment(length: Column, k: Column | int, edits: Column | int) -> tuple[Column, Column]:
-    """Start (from 1) and size of segment ``k`` of a line; sizes differ by a letter at most."""
-    start, end = (F.floor(length * x / (edits + 1)).cast("int") for x in (k, k + 1))
-    return start + 1, end - start
-
-
 def with_keys(found: DataFrame, bands: tuple[tuple[int, int], ...] = BANDS) -> DataFrame:
-    """``key``, ``id`` of lines that are long enough, and how the key was made.
-
-    That is: ``edits`` allowed, the segment ``k``, ``extra`` letters over the key's length, and the
-    places by which the segment is moved; ``indexed`` are a line's own segments.
-    """
-    line, n, bands = F.col("line"), F.col("n"), sorted(bands)
-    kinds = []
-    for (low, edits), high in zip(bands, [*(b for b, _ in bands[1:]), 1 << 30], strict=True):
-        for k in range(edits + 1):
-            for extra in range(edits + 1):  # for lines that are so much shorter
-                # edits left of the segment move it by as many places, and so do those right of it
-                moves = range(max(-k, extra - (edits - k)), min(k, extra + (edits - k)) + 1)
-                kinds += [(edits, k, extra, move, low + extra, high + extra) for move in moves]
-    names = ("edits", "k", "extra", "move", "low", "high")
-
-    def made(kind: Column) -> Column:
-        m = n - kind["extra"]
-        start, size = _segment(m, kind["k"], kind["edits"])
-        key = F.xxhash64(m, kind["k"], F.substring(line, start + kind["move"], size))
-        return F.struct(key.alias("key"), *(kind[c].alias(c) for c in names[:4]))
-
-    every = F.array(*(F.struct(*(F.lit(v).alias(c) for v, c in zip(x, names, strict=True))) for x in kinds))
-    keys = F.transform(F.filter(every, lambda kind: (n >= kind["low"]) & (n < kind["high"])), made)
-    long_enough = found.withColumn("n", F.length("line")).where(n >= bands[0][0])
-    out = long_enough.select(F.xxhash64("line").alias("id"), F.explode(keys).alias("key")).select("id", "key.*")
-    return out.withColumn("indexed", F.expr("extra = 0 AND move = 0"))
+    """``key``, ``id``, ``line`` of lines that are long enough, a row for each key."""
+    line, n, low = F.col("line"), F.col("n"), min(low for low, _ in bands)
+    number = lambda m: F.floor(F.log(m / low) / F.log(F.lit(STEP)) + 1e-9)
+    rows = found.withColumn("n", F.length("line")).where(n >= low)
+    # of shorter partners: only those that are of another class than those a letter longer
+    rows = rows.withColumn("less", F.explode(F.array(*map(F.lit, range(MOST + 1))))).where(n - F.col("less") >= low)
+    m = n - F.col("less")
+    rows = rows.withColumns({"edits": allowed(m, bands), "of": number(m)})
+    other = (F.col("of") != number(m + 1)) | (F.col("edits") != allowed(m + 1, bands))
+    rows = rows.where((F.col("less") == 0) | ((F.col("less") <= F.col("edits")) & other))
+    # the lengths of a class are no smaller than this
+    least = F.greatest(F.lit(low), F.floor(F.pow(F.lit(STEP), "of") * low * (1 - 1e-6))).cast("int")
+    rows = rows.withColumn("least", least).withColumn("size", F.floor(F.col("least") / (F.col("edits") + 1)).cast("int"))
+    size, rest = F.col("size"), F.col("least") - F.col("size")
+    key = lambda k, first, length: F.xxhash64("of", "edits", F.lit(k), F.substring(line, first, length))
+    start = key(0, F.lit(1), size)
+    halves = F.array(start, key(1, n - rest + 1, rest))
+    middle = [key(2, size + first, rest - size - 1) for first in (1, 2)]
+    thirds = F.array(start, key(1, n - size + 1, size), *middle)
+    keys = F.explode(F.when(F.col("edits") == 1, halves).otherwise(thirds)).alias("key")
+    return rows.select(keys, F.xxhash64("line").alias("id"), "line")
 
 
 def distance(a: Column, b: Column) -> Column:
@@ -182,80 +182,67 @@ def _verified(pairs: DataFrame, bodies: DataFrame, bands: tuple[tuple[int, int],
     return both.select(_node("line_a").alias("a"), _node("line_b").alias("b"))
 
 
-def _mixed(members: DataFrame) -> DataFrame:
-    """The rows of keys that hold several classes, and one indexed line at least; ``size`` is the key's rows."""
-    of_key = [F.min("root").alias("r"), F.max("root").alias("s"), F.count("*").alias("size"), F.max("indexed").alias("any")]
-    mixed = members.groupBy("key").agg(*of_key).where("r <> s AND any")
-    return members.join(mixed.select("key", "size"), "key")
-
+def _among(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows that have one of ``keys``.
 
-def _pairs(rows: DataFrame, own: DataFrame) -> DataFrame:
-    """``a``, ``b``: each of ``rows`` with those of ``own`` that have its key and another root."""
-    own = own.select("key", F.col("id").alias("b"), F.col("root").alias("b_root"))
-    return rows.select("key", F.col("id").alias("a"), "root").join(own, "key").where("root <> b_root").select("a", "b")
-
-
-def _rest(line: Column) -> Column:
-    """What a line has beside its key's segment."""
-    start, size = _segment(F.length(line) - F.col("extra"), F.col("k"), F.col("edits"))
-    first = start + F.col("move")
-    return F.concat(F.substring(line, F.lit(1), first - 1), F.substring(line, first + size, F.length(line)))
-
-
-def _cut(members: DataFrame) -> DataFrame:
-    """Members under the keys of all choices of as many parts of ``rest`` as there are edits.
-
-    Lines that are close agree outside of some such choice: in front of it, between its two parts
-    (there the longer line may be shifted), and behind it, shifted by the extra letters.
-    """
-    rest, extra, edits = F.col("rest"), F.col("extra"), F.col("edits")
-    choices = [(1, i, i, s) for i in range(PARTS) for s in (0, 1)]
-    choices += [(2, i, j, s) for j in range(PARTS) for i in range(j) for s in range(-1, 3)]
-    names = ("edits", "i", "j", "shift")
-    choices = F.array(*(F.struct(*(F.lit(v).alias(c) for v, c in zip(x, names, strict=True))) for x in choices))
-    size = F.length(rest) - extra
-    at = lambda i: F.floor(size * i / PARTS).cast("int")
-    piece = lambda first, end: F.substring(rest, first + 1, end - first)
-
-    def fits(c: Column) -> Column:
-        shift, alone = c["shift"], c["i"] == c["j"]
-        possible = (c["edits"] == edits) & (F.abs(shift) + F.abs(extra - shift) <= edits) & (~alone | (shift == extra))
-        return possible & (at(c["i"] + 1) > at(c["i"])) & (at(c["j"] + 1) > at(c["j"]))
-
-    def under(c: Column) -> Column:
-        first, end, shift = at(c["i"]), at(c["i"] + 1), c["shift"]
-        other = F.when(c["i"] == c["j"], end).otherwise(at(c["j"]))
-        last = at(c["j"] + 1) + extra
-        key = F.xxhash64("key", c["i"], c["j"], piece(F.lit(0), first), piece(end + shift, other + shift), piece(last, F.length(rest)))
-        left = F.concat(piece(first, end + shift), piece(other + shift, last))
-        return F.struct(key.alias("key"), left.alias("rest"), (F.col("indexed") & (shift == 0)).alias("indexed"))
-
-    each = members.select("id", "edits", "extra", "root", F.explode(F.transform(F.filter(choices, fits), under)).alias("part"))
-    return each.select("part.*", "id", "edits", "extra", "root").distinct()
-
-
-def _remaining(mixed: DataFrame, bodies: DataFrame) -> DataFrame:
-    """``a``, ``b``: pairs that connect all close lines of the keys with several classes.
-
-    Once ``rest`` has no more letters than edits are allowed, the indexed lines of a key differ in
-    those alone, so each is paired with one of them. Any other line is paired with one line for
-    each spelling of those letters. The rounds grow with the logarithm of the longest line.
+    Most others are dropped where they are made, by a map of ``2 ** MAP`` bits, in pieces of 4 KB,
+    which is broadcast: its size is the same for any number of keys.
     """
-    few, many, left = F.col("size") <= FEW, F.col("size") > FEW, F.length("rest") - F.col("extra")
-    out = _pairs(mixed.where(few), mixed.where(few & F.col("indexed")))
-    now = mixed.where(many).join(bodies, "id").select("key", _rest(F.col("line")).alias("rest"), "indexed", "id", "edits", "extra", "root")
-    now = written(now, "many-lines")
-    while True:
-        done, going = now.where(left <= F.col("edits")), now.where(left > F.col("edits"))
-        own = done.where("indexed")
-        one = own.groupBy("key").agg(F.min_by(F.struct("id", "root"), "id").alias("one")).select("key", "one.*")
-        spelt = own.groupBy("key", "rest").agg(F.min_by(F.struct("id", "root"), "id").alias("one")).select("key", "one.*")
-        out = out.unionByName(_pairs(own, one)).unionByName(_pairs(done.where("NOT indexed"), spelt))
-        if going.isEmpty():
-            return out.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        parted = written(_mixed(_cut(going)), "parted-lines")
-        out = out.unionByName(_pairs(parted.where(few), parted.where(few & F.col("indexed"))))
-        now = parted.where(many).drop("size")
+    bit = lambda: F.pmod("key", F.lit(1 << MAP)) + 1
+    piece, place = (f(bit()) for f in (F.bitmap_bucket_number, F.bitmap_bit_position))
+    pieces = keys.groupBy(piece.alias("piece")).agg(F.bitmap_construct_agg(place).alias("map"))
+    byte = F.conv(F.hex(F.substring("map", F.shiftright(F.col("place"), 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.call_function("shiftright", byte, F.col("place").bitwiseAND(7).cast("int")).bitwiseAND(1) == 1
+    likely = rows.withColumns({"piece": piece, "place": place}).join(F.broadcast(pieces), "piece").where(marked)
+    return likely.select(*rows.columns).distinct().join(keys.select("key"), "key", "left_semi")
+
+
+def _sketch(line: Column) -> Column:
+    """64 parities of a line's pairs of adjacent letters, of which an edit changes four at most."""
+    spots = lambda x: F.sequence(F.lit(1), F.greatest(F.size(x) - 1, F.lit(1)))
+    spot = lambda x, i: F.hash(F.get(x, i - 1), F.get(x, i)).bitwiseAND(63)
+    one = F.lit(1).cast("long")
+    step = lambda x: lambda bits, i: bits.bitwiseXOR(F.call_function("shiftleft", one, spot(x, i)))
+    return _let(F.split(line, ""), lambda x: F.aggregate(spots(x), F.lit(0).cast("long"), step(x)))
+
+
+def _tiled(members: DataFrame, bodies: DataFrame, named: DataFrame) -> DataFrame:
+    """Members of keys with three lines and two classes at least, with their sketches, ``tile`` and the key's ``tiles``."""
+    of_key = [F.min("root").alias("r"), F.max("root").alias("s"), F.count("*").alias("size")]
+    with_root = members.join(named, "id")
+    mixed = with_root.groupBy("key").agg(*of_key).where("r <> s AND size > 2")
+    tiles = F.ceil(F.col("size") / TILE).cast("int").alias("tiles")
+    rows = written(members.join(mixed.select("key", tiles), "key"), "mixed-keys")
+    chosen = bodies.join(rows.select("id").distinct(), "id", "left_semi")
+    known = written(chosen.select("id", F.length("line").alias("n"), _sketch(F.col("line")).alias("bits")), "sketches")
+    tile = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
+    return written(rows.join(known, "id").withColumn("tile", tile), "tiled-keys")
+
+
+def _near(tiled: DataFrame, named: DataFrame, bands: tuple[tuple[int, int], ...], closest: bool) -> DataFrame:
+    """``a``, ``b``: pairs across classes under a key that lengths and sketches allow, or the closest one of each line."""
+    rows = tiled.join(named, "id")
+
+    def side(s: str, first: Column, last: Column, own: str, other: str) -> DataFrame:
+        columns = [F.col(c).alias(f"{c}_{s}") for c in ("id", "root", "n", "bits")]
+        return rows.select("key", F.col("tile").alias(own), F.explode(F.sequence(first, last)).alias(other), *columns)
+
+    x = side("a", F.col("tile"), F.col("tiles") - 1, "i", "j")
+    y = side("b", F.lit(0), F.col("tile"), "j", "i")
+    edits = allowed(F.least("n_a", "n_b"), bands)
+    apart = F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b")))
+    once = (F.col("i") < F.col("j")) | (F.col("id_a") < F.col("id_b"))
+    allow = once & (F.col("root_a") != F.col("root_b")) & (F.abs(F.col("n_a") - F.col("n_b")) <= edits) & (apart <= 4 * edits)
+    z = x.withColumnsRenamed({"key": "key_a", "i": "i_a", "j": "j_a"})
+    same = (z["key_a"] == y["key"]) & (z["i_a"] == y["i"]) & (z["j_a"] == y["j"])
+    pairs = z.join(y, same & allow).select("id_a", "id_b", apart.alias("apart"))
+    if closest:
+        turned = pairs.select(F.explode(F.array(*(
+            F.struct(F.col(f"id_{s}").alias("id"), F.struct("apart", F.col(f"id_{t}").alias("id")).alias("to"))
+            for s, t in ("ab", "ba")))).alias("x")).select("x.*")
+        best = turned.groupBy("id").agg(F.min("to").alias("to"))
+        pairs = best.select(F.col("id").alias("id_a"), F.col("to.id").alias("id_b"))
+    return pairs.select(F.greatest("id_a", "id_b").alias("a"), F.least("id_a", "id_b").alias("b")).distinct()
 
 
 def line_classes(found: DataFrame, bands: tuple[tuple[int, int], ...] = BANDS) -> DataFrame:
@@ -263,22 +250,37 @@ def line_classes(found: DataFrame, bands: tuple[tuple[int, int], ...] = BANDS) -
     if not all(1 <= edits <= min(MOST, low - 1) for low, edits in bands):
         raise ValueError(f"lines may differ by 1 to {MOST} edits, and by fewer than they have code points")
     keys = with_keys(found, bands)
-    center = F.min(F.when(F.col("indexed"), F.col("id"))).alias("center")
-    shared = keys.groupBy("key").agg(center, F.min("id").alias("low"), F.max("id").alias("high"))
-    shared = written(shared.where("low <> high AND center IS NOT NULL").select("key", "center"), "shared-keys")
+    shared = keys.groupBy("key").agg(F.min("id").alias("center"), F.max("id").alias("last"))
+    shared = written(shared.where("center <> last").select("key", "center"), "shared-keys")
     sweep(found.sparkSession)  # the shuffle of all keys
-    members = written(keys.join(shared, "key").distinct(), "members")
-    order = [F.greatest("id", "center").alias("a"), F.least("id", "center").alias("b")]
-    links = written(members.where("id <> center").select(*order).distinct(), "line-links")
-    ids = written(links.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-ids")
-    bodies = found.where(F.length("line") >= min(low for low, _ in bands)).select(F.xxhash64("line").alias("id"), "line")
-    bodies = written(bodies.join(ids, "id", "left_semi").distinct(), "line-bodies")
-    good = written(_verified(links, bodies, bands), "close-lines")
-    roots = written(components(good), "line-roots")
-    named = bodies.select("id", _node("line").alias("node")).join(roots, "node", "left")
-    named = named.select("id", F.coalesce("root", "node").alias("root"))
-    mixed = written(_mixed(members.drop("center").join(named, "id")), "mixed-keys")
-    rest = written(_remaining(mixed, bodies).join(links, ["a", "b"], "left_anti"), "remaining-lines")
+    with_lines = written(_among(keys, shared), "shared-lines")
+    bodies = written(with_lines.select("id", "line").distinct(), "line-bodies")
+    members = written(with_lines.select("key", "id").distinct(), "members")
+    x, y = (bodies.select(F.col("id").alias(s), F.length("line").alias(f"n_{s}")) for s in "ab")
+    links = members.join(shared, "key").where("id <> center").select(F.col("id").alias("a"), F.col("center").alias("b")).distinct()
+    edits = allowed(F.least("n_a", "n_b"), bands)
+    links = links.join(x, "a").join(y, "b").where(F.abs(F.col("n_a") - F.col("n_b")) <= edits)
+    tried = written(links.select("a", "b").distinct(), "line-links")
+    good = written(_verified(tried, bodies, bands), "close-lines")
+    nodes = written(bodies.select("id", _node("line").alias("node")), "line-nodes")
+
+    def named(links: DataFrame) -> DataFrame:
+        roots = written(components(links), "line-roots")
+        rooted = nodes.join(roots, "node", "left").select("id", F.coalesce("root", "node").alias("root"))
+        return written(rooted, "line-names")
+
+    now = named(good)
+    tiled = _tiled(members, bodies, now)
+    closest = not tiled.isEmpty()
+    while closest:
+        rest = written(_near(tiled, now, bands, True).join(tried, ["a", "b"], "left_anti"), "closest-lines")
+        tried = tried.unionByName(rest)
+        more = written(_verified(rest, bodies, bands), "close-lines")
+        closest = not more.isEmpty()
+        if closest:
+            good = good.unionByName(more)
+            now = named(good)
+    rest = written(_near(tiled, now, bands, False).join(tried, ["a", "b"], "left_anti"), "remaining-lines")
     return components(good.unionByName(_verified(rest, bodies, bands)))
 
 
