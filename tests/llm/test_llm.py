@@ -337,6 +337,28 @@ def test_lines_that_share_most_of_their_letters(spark):
     assert {(r.doc_id, r.keep_doc_id) for r in got} == set(enumerate(root))
 
 
+def test_keys_of_lines_are_few_and_lose_no_close_pair(spark, monkeypatch):
+    """Lengths at the ends of classes, many classes of lines under one key, in several tiles."""
+    monkeypatch.setattr(line_dedup, "TILE", 4)
+    rng = random.Random(12)
+    lines = []
+    for n in (8, 9, 10, 62, 64, 74, 75, 76, 95, 118, 119, 120, 186):
+        base = "é" + "".join(rng.choices("abcdefgh", k=n - 1)) if n % 2 else "".join(rng.choices("abcdefgh", k=n))
+        for cuts in ((0,), (0, n // 2), (n // 3, n - 1), (n // 3, 2 * n // 3), (n - 1, n - 2)):
+            lines += [base, "".join(c for i, c in enumerate(base) if i not in cuts), base[: cuts[0]] + "X" + base[cuts[0] :]]
+            lines.append("".join("Y" if i in cuts else c for i, c in enumerate(base)))
+    digits = lambda: "".join(rng.choices("01", k=6))
+    lines += [f"the start of all of these lines {digits()} and their middle, which is long, {digits()} and the end" for _ in range(40)]
+    lines = list(dict.fromkeys(lines))
+    limit = lambda a, b: 0 if (n := min(len(a), len(b))) < 8 else 1 if n < 64 else 2
+    near = lambda a, b: abs(len(a) - len(b)) <= 2 and edit_distance(a, b) <= limit(a, b)
+    root = first_of_class(lines, near)
+    got = line_dedup.line_dedup(table(spark, list(enumerate(lines)))).collect()
+    assert {(r.doc_id, r.keep_doc_id) for r in got} == set(enumerate(root))
+    long_lines = line_dedup.lines(table(spark, [(i, f"{i:03}{'x' * 297}") for i in range(50)]))
+    assert line_dedup.with_keys(long_lines).count() <= 50 * 4
+
+
 def test_warc(spark):
     rows = [(1, "http://A.example.com:80/x?q=1#f", "<p>é</p>"), (2, "https://b.example.com/", "<p>é</p>"), (3, None, None),
             (4, "http://[bad", ""), (None, "http://a/\r\nX: 1", "\r\n\r\nWARC/1.1\r\n\r\n"), (2, "https://b.example.com/", "<p>é</p>")]

@@ -9,8 +9,8 @@ either side of it is all there can be, and is named at two places. So a line has
 A key's lines are compared with one of them. Of keys that are left with three lines or more and
 several classes, lines are compared by sketches: the parities of their letter pairs, of which an
 edit changes four at most. That is arithmetic inside a join by key and tile of bounded size, and
-only pairs that pass leave it: first the closest one of each line, as long as that connects lines,
-then all that are left between classes. No pair that is close is lost.
+only pairs that pass leave it: first the closest one of each line, again while most of these are
+close, then all that are left between classes. No pair that is close is lost.
 
 A pair's shared ends are cut off, most of the rest's parts must be found near their places, and
 banded bit-parallel edit distance decides: one step for each character, with the band's
@@ -38,10 +38,21 @@ MAP = 26
 BLANK_CHARACTERS = " \t\n\v\f\r"
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with more columns, each computed once for a row: nothing behind computes them again in their place."""
+    made = F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items()))))
+    return df.select("*", made)
+
+
 def lines(docs: DataFrame, *carried: str) -> DataFrame:
     """``line_no``, ``line`` (trimmed) of each line that has a word."""
-    found = docs.select("doc_id", *carried, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return found.withColumn("line", F.trim("line", F.lit(BLANK_CHARACTERS))).where("line <> ''")
+    found = docs.select("doc_id", *carried, F.posexplode(F.split("text", "\n")).alias("line_no", "__raw"))
+    raw, blank = F.col("__raw"), F.lit(BLANK_CHARACTERS)
+    ends = raw < "!"  # as bytes: trimming goes over a whole line, and most need none
+    for c in BLANK_CHARACTERS:
+        ends = ends | F.endswith(raw, F.lit(c))
+    found = _once(found, line=F.when(ends, F.trim(raw, blank)).otherwise(raw))
+    return found.drop("__raw").where("line <> ''")
 
 
 def _shared_start(a: Column, b: Column) -> Column:
@@ -98,20 +109,25 @@ def close(a: Column, b: Column, edits: Column) -> Column:
 
 def with_keys(found: DataFrame, bands: tuple[tuple[int, int], ...] = BANDS) -> DataFrame:
     """``key``, ``id``, ``line`` of lines that are long enough, a row for each key."""
-    line, n, low = F.col("line"), F.col("n"), min(low for low, _ in bands)
+    line, n, m, low = F.col("line"), F.col("n"), F.col("m"), min(low for low, _ in bands)
     number = lambda m: F.floor(F.log(m / low) / F.log(F.lit(STEP)) + 1e-9)
-    rows = found.withColumn("n", F.length("line")).where(n >= low)
+    rows = _once(found.select("line"), n=F.length("line")).where(n >= low)
     # of shorter partners: only those that are of another class than those a letter longer
-    rows = rows.withColumn("less", F.explode(F.array(*map(F.lit, range(MOST + 1))))).where(n - F.col("less") >= low)
-    m = n - F.col("less")
-    rows = rows.withColumns({"edits": allowed(m, bands), "of": number(m)})
+    rows = rows.withColumn("m", F.explode(F.array(*(n - less for less in range(MOST + 1))))).where(m >= low)
+    rows = _once(rows, of=number(m), edits=allowed(m, bands))
     other = (F.col("of") != number(m + 1)) | (F.col("edits") != allowed(m + 1, bands))
-    rows = rows.where((F.col("less") == 0) | ((F.col("less") <= F.col("edits")) & other))
+    rows = rows.where((m == n) | ((n - m <= F.col("edits")) & other))
     # the lengths of a class are no smaller than this
     least = F.greatest(F.lit(low), F.floor(F.pow(F.lit(STEP), "of") * low * (1 - 1e-6))).cast("int")
-    rows = rows.withColumn("least", least).withColumn("size", F.floor(F.col("least") / (F.col("edits") + 1)).cast("int"))
+    rows = _once(rows, least=least, plain=F.octet_length("line") == n)
+    rows = _once(rows, size=F.floor(F.col("least") / (F.col("edits") + 1)).cast("int"))
     size, rest = F.col("size"), F.col("least") - F.col("size")
-    key = lambda k, first, length: F.xxhash64("of", "edits", F.lit(k), F.substring(line, first, length))
+
+    def key(k: int, first: Column, length: Column) -> Column:
+        # where letters are bytes, they need not be counted
+        cut = F.when(F.col("plain"), F.substring(line.cast("binary"), first, length))
+        return F.xxhash64("of", "edits", F.lit(k), cut.otherwise(F.substring(line, first, length).cast("binary")))
+
     start = key(0, F.lit(1), size)
     halves = F.array(start, key(1, n - rest + 1, rest))
     middle = [key(2, size + first, rest - size - 1) for first in (1, 2)]
@@ -271,15 +287,16 @@ def line_classes(found: DataFrame, bands: tuple[tuple[int, int], ...] = BANDS) -
 
     now = named(good)
     tiled = _tiled(members, bodies, now)
-    closest = not tiled.isEmpty()
-    while closest:
+    while True:
         rest = written(_near(tiled, now, bands, True).join(tried, ["a", "b"], "left_anti"), "closest-lines")
         tried = tried.unionByName(rest)
         more = written(_verified(rest, bodies, bands), "close-lines")
-        closest = not more.isEmpty()
-        if closest:
+        n = more.count()
+        if n:
             good = good.unionByName(more)
             now = named(good)
+        if 2 * n <= rest.count():
+            break
     rest = written(_near(tiled, now, bands, False).join(tried, ["a", "b"], "left_anti"), "remaining-lines")
     return components(good.unionByName(_verified(rest, bodies, bands)))
 
