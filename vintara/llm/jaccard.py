@@ -43,7 +43,7 @@ LEAST, BAND = 4, 1.5
 #: Segments for each one that the pigeonhole needs at the band's upper end.
 SPARE = 1.3
 #: Keys that a task sorts at once.
-CHUNK = 1_500_000
+CHUNK = 500_000
 #: Bytes of sketches of one bucket that make a tile.
 TILE = 16_000_000
 #: Pairs of sketches compared at once.
