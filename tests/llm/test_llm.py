@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from vintara.llm import bpe, exact_dedup, jaccard, line_dedup, packing, quality, substring, tokens, toxicity, warc
+from vintara.llm import bpe, common, exact_dedup, jaccard, line_dedup, packing, quality, substring, tokens, toxicity, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, keep_id string, row string"
 PASSAGE = " ".join(f"word{i} and{i * 7} other{i}." if i % 3 == 0 else f"thing{i} more{i}" for i in range(60))
@@ -526,6 +526,38 @@ def test_distinct_texts_are_packed_once(spark, monkeypatch):
     assert sum(len(c.texts) for c in chunks) < 0.6 * sum(len(t.encode()) for _, t in found)
 
 
+def test_a_task_drops_what_other_tasks_left_in_its_worker():
+    for module, make, path in ((packing, packing.encoder_of, "word_bpe_49k.json"), (bpe, bpe.encoder_of, "byte_bpe_50k.json"),
+                               (tokens, tokens._model, "piece_bpe_32k.model")):
+        first = make(public_tokenizers.path(path))
+        assert list(common.tidy(iter, make)([1, 2])) == [1, 2]
+        assert make(public_tokenizers.path(path)) is first, module
+        assert list(common.tidy(iter)([1, 2])) == [1, 2]
+        assert not make.cache_info().currsize, module
+
+
+def test_texts_are_counted_and_packed_in_one_worker_a_task(spark, monkeypatch, capsys):
+    rng = random.Random(5)
+    rows = [("en", t) for t in prose(rng, "etaonrishl", 30)]
+    docs = languages_table(spark, [*rows, *rows[:7], ("fr", rows[0][1])])
+    same = quality.texts(docs, "doc_id", "text", F.col("lang").alias("language")).withColumn("same", quality.same_text())
+    plans, written = {}, quality.written
+
+    def seen(df, name):
+        df.explain()
+        plans[name] = capsys.readouterr().out
+        return written(df, name)
+
+    monkeypatch.setattr(quality, "written", seen)
+    for size in (4, 500):
+        monkeypatch.setattr(quality, "ROWS", size)  # a batch is read in slices
+        counts, distinct = quality.counted(same)
+        assert "ArrowEvalPython" not in plans["counts"] and "ArrowEvalPython" in plans["copied-texts"]
+        assert sorted(r.doc_id for r in counts.collect()) == list(range(38))
+        found = [(c.language, t) for c in distinct.collect() for t in quality._unpacked(quality.pa.scalar(bytes(c.texts)))["text"].to_pylist()]
+        assert Counter(found) == Counter([*rows, ("fr", rows[0][1])])
+
+
 def test_groups_of_sketches_are_compared_side_by_side():
     rng = np.random.default_rng(3)
     rows = []

@@ -11,7 +11,6 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Callable, Iterator
-from functools import cache
 from itertools import chain, compress
 
 import numpy as np
@@ -20,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from vintara.llm.common import documents, texts, tidy
+from vintara.llm.common import documents, remembered, texts, tidy
 
 #: Words, and pairs of tokens, that a worker process remembers. A word is remembered once it has come
 #: up in two portions of text; most come up in one only.
@@ -237,7 +236,7 @@ def portions(many: list[str], size: int = AT_ONCE) -> Iterator[list[str]]:
         yield out
 
 
-@cache
+@remembered
 def encoder_of(path: str) -> ByteEncoder:
     """One encoder, with what it remembers, for all tasks of a worker process."""
     return ByteEncoder(path)
@@ -275,7 +274,7 @@ def bpe_round_trip(
     """
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
     return texts(docs, id_column, text_column).mapInArrow(
-        tidy(_run(path)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        tidy(_run(path), encoder_of), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
 
 

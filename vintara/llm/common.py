@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,8 @@ BLANKS = r"[\x20\x09-\x0D]+"
 TABLES: list[str] = []
 #: The temporary folder of each local application that names no shared one.
 _local: dict[str, str] = {}
+#: The functions made by ``remembered`` in this process.
+_remembered: list[Callable] = []
 
 
 def discard(spark: SparkSession, paths: list[str]) -> None:
@@ -77,10 +80,28 @@ def texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     )
 
 
-def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """A task's function that hands its memory back at the end, as the worker process stays for other tasks."""
+def remembered(make: Callable) -> Callable:
+    """``make``, cached in a worker process until a task that does not keep it begins there."""
+    held = cache(make)
+    _remembered.append(held)
+    return held
+
+
+def forget(keeps: Callable | None = None) -> None:
+    """Drop all that this process holds of ``remembered`` functions but ``keeps``."""
+    for held in _remembered:
+        if held is not keeps:
+            held.cache_clear()
+
+
+def tidy(run: Callable[[Iterator], Iterator], keeps: Callable | None = None) -> Callable[[Iterator], Iterator]:
+    """A task's function that hands its memory back at the end, as the worker process stays for other tasks.
+
+    What tasks of other kinds have left there to remember goes first; ``keeps`` is the ``remembered`` function of this kind.
+    """
 
     def whole(batches: Iterator) -> Iterator:
+        forget(keeps)
         yield from run(batches)
         pa.default_memory_pool().release_unused()
 
@@ -119,8 +140,8 @@ def as_given(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.select(*(F.col(f"`{n}`").alias(c) for c, n in _names_apart(docs.columns).items()))
 
 
-def maybe_among(marks: DataFrame, bits: int = 26) -> Callable:
-    """A filter on a column of hashes for those that may be among ``marks`` (column ``mark``).
+def among(marks: DataFrame, bits: int = 26) -> Callable[[np.ndarray], np.ndarray]:
+    """A test, for tasks, of which hashes may be among ``marks`` (column ``mark``).
 
     It holds 2 ** bits bits, whatever the number of marks, and never refuses one of them. What
     comes to the driver and is broadcast is that many bits (8 MB), in pieces of 4 KB.
@@ -135,14 +156,28 @@ def maybe_among(marks: DataFrame, bits: int = 26) -> Callable:
         held[(r["part"] - 1) << 12 : r["part"] << 12] = np.frombuffer(r["bits"], np.uint8)
     shared = marks.sparkSession.sparkContext.broadcast(held)
 
+    def test(mark: np.ndarray) -> np.ndarray:
+        at = mark % size
+        return (shared.value[at >> 3] >> (at & 7) & 1).astype(bool)
+
+    return test
+
+
+def passing(test: Callable[[np.ndarray], np.ndarray]) -> Callable:
+    """A test of hashes as a filter on a column. It takes a worker process of its own beside that of a task's function."""
+
     @F.pandas_udf("boolean")
     def maybe(mark: pd.Series) -> pd.Series:
-        at = mark.to_numpy() % size
-        return pd.Series((shared.value[at >> 3] >> (at & 7) & 1).astype(bool))
+        return pd.Series(test(mark.to_numpy()))
 
     return maybe
 
 
+def maybe_among(marks: DataFrame, bits: int = 26) -> Callable:
+    """A filter on a column of hashes for those that may be ``among`` the marks."""
+    return passing(among(marks, bits))
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node``, ``root`` (smallest node reachable) for every node of ``links`` (``a``, ``b``).
 

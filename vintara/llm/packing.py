@@ -15,7 +15,6 @@ import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -27,7 +26,7 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from vintara.llm.bpe import Merges, Remembered, packed, portions
-from vintara.llm.common import documents, texts, tidy, written
+from vintara.llm.common import documents, remembered, texts, tidy, written
 
 LENGTH = 4096
 SEPARATOR = 1
@@ -96,7 +95,7 @@ class Encoder:
         return (b"".join(map(known, x)) for x in found)
 
 
-@cache
+@remembered
 def encoder_of(path: str) -> Encoder:
     """One encoder, with what it remembers, for all tasks of a worker process."""
     return Encoder(path)
@@ -275,7 +274,7 @@ def best_fit_packing(
     kept = [f for f in rows.schema.fields if f.name != "text"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
     made = rows.mapInArrow(
-        tidy(_pieces(path, length, separator)), f"{schema}, piece int, start long, length long, ids_crc32 long"
+        tidy(_pieces(path, length, separator), encoder_of), f"{schema}, piece int, start long, length long, ids_crc32 long"
     )
     made = written(made.withColumn("__n", F.monotonically_increasing_id()), "pieces")
     counts = made.groupBy("length").count().toArrow()

@@ -12,7 +12,7 @@ with the corpus.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache, reduce
 
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintara.llm.bpe import portions
-from vintara.llm.common import BLANKS, TABLES, as_given, discard, documents, maybe_among, sweep, texts, tidy, with_rows, written
+from vintara.llm.common import BLANKS, TABLES, among, as_given, discard, documents, passing, sweep, texts, tidy, with_rows, written
 
 ORDER, BITS = 4, 6
 CLASSES = 1 << BITS
@@ -31,6 +31,8 @@ CLASSES = 1 << BITS
 POINT, START = 21, 0x110000
 #: Characters that a task scores together, that a chunk of texts holds, and that a task holds of open chunks.
 PENDING, CHUNK, HELD = 500_000, 4_000_000, 12_000_000
+#: Rows of a batch whose texts a task has as Python strings at once.
+ROWS = 500
 #: Of the compression of a chunk's texts; parts of the chunks that are shuffled one after the other to be scored.
 LEVEL, SLICES = 6, 4
 #: What becomes one blank; a single one is left as it is.
@@ -193,8 +195,8 @@ def _unpacked(held: pa.BinaryScalar) -> pa.Table:
         return reader.read_all()
 
 
-def _read(kind: int):
-    """A row with the base counts of each text, and rows with the packed texts that come ``once`` (their ``chunk`` is not null).
+def _read(kind: int, maybe: Callable[[np.ndarray], np.ndarray] | None):
+    """A row with the base counts of each text, and rows with packed texts (their ``chunk`` is not null), without those of which there may be copies.
 
     A chunk is of one half of one language. It ends when full, or when the task holds too much.
     """
@@ -211,21 +213,22 @@ def _read(kind: int):
             return pa.RecordBatch.from_arrays([pa.array([own.get(f.name)], f.type) for f in schema], schema=schema)
 
         schema = None
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, len(whole), ROWS)):
             texts = batch["text"].to_pylist()
             found = list(map(base_counts, texts))
-            plain = [f for f in batch.schema if f.name not in ("text", "half", "once")]
+            copied = maybe(batch["__mark"].to_numpy()).tolist() if maybe else [False] * len(texts)
+            plain = [f for f in batch.schema if f.name not in ("text", "half", "__mark")]
             names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
             last = [("chunk", pa.int64()), ("half", pa.int32()), ("texts", pa.binary())]
             schema = pa.schema([*plain, *((c, pa.int64()) for c in names), *last])
-            counts = zip(*found, strict=True) if found else [[]] * 5
+            counts = zip(*found, strict=True)
             yield pa.RecordBatch.from_arrays(
                 [*(batch[f.name] for f in plain), *(pa.array(x, pa.int64()) for x in counts), *(pa.nulls(len(batch), k) for _, k in last)],
                 schema=schema,
             )
-            own = zip(texts, found, *(batch[c].to_pylist() for c in ("once", "half", "language", "same")), strict=True)
-            for text, (n_words, _, n_symbols, _, n_repeat_words), once, half, language, same in own:
-                if not once:
+            own = zip(texts, found, copied, *(batch[c].to_pylist() for c in ("half", "language", "same")), strict=True)
+            for text, (n_words, _, n_symbols, _, n_repeat_words), later, half, language, same in own:
+                if later:
                     continue
                 part, text = (half, language), RUN_OF_BLANKS.sub(" ", text)
                 if sizes.get(part, 0) + len(text) > CHUNK and part in held:
@@ -240,9 +243,9 @@ def _read(kind: int):
     return run
 
 
-def read(rows: DataFrame, kind: int) -> DataFrame:
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name not in ("text", "half", "once"))
-    return rows.mapInArrow(tidy(_read(kind)), f"{kept}, {BASE}, chunk long, half int, texts binary")
+def read(rows: DataFrame, kind: int, maybe: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name not in ("text", "half", "__mark"))
+    return rows.mapInArrow(tidy(_read(kind, maybe)), f"{kept}, {BASE}, chunk long, half int, texts binary")
 
 
 def most_symbols(counts: DataFrame) -> DataFrame:
@@ -265,16 +268,17 @@ def most_symbols(counts: DataFrame) -> DataFrame:
 def counted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``rows`` with the base counts for text; ``chunk, half, language, texts``: each text of a language once, its runs of white space one blank.
 
-    Only texts that may have copies are shuffled: those whose mark a bitmap of the repeated marks has.
+    Only texts that may have copies are shuffled: those whose mark a bitmap of the repeated marks has. The task that counts asks the
+    bitmap itself: as a filter before it, each task would have two worker processes.
     """
-    mark = F.xxhash64("language", "same").alias("mark")
-    copied = rows.select(mark).groupBy("mark").count().where("count > 1").select("mark")
-    maybe = maybe_among(copied)
+    mark = F.xxhash64("language", "same")
+    copied = rows.select(mark.alias("mark")).groupBy("mark").count().where("count > 1").select("mark")
+    maybe = among(copied)
     half = F.pmod(F.xxhash64("same"), F.lit(2)).cast("int").alias("half")
-    marked = rows.select("*", half, (~maybe(mark)).alias("once"))
-    found = written(read(marked, 0), "counts")
-    first = marked.where("NOT once").select("text", "language", "same", "half").dropDuplicates(["language", "same"])
-    again = written(read(first.withColumn("once", F.lit(True)), 1).where("chunk IS NOT NULL"), "copied-texts")
+    marked = rows.select("*", half, mark.alias("__mark"))
+    found = written(read(marked, 0, maybe), "counts")
+    first = marked.where(passing(maybe)("__mark")).select("text", "language", "same", "half").dropDuplicates(["language", "same"])
+    again = written(read(first, 1).where("chunk IS NOT NULL"), "copied-texts")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     counts = found.where("chunk IS NULL").drop("chunk", "half", "texts").withColumn("base_failed", failed)
     texts = [x.where("chunk IS NOT NULL").select("chunk", "half", "language", "texts") for x in (found, again)]

@@ -8,7 +8,6 @@ space in front of every text it gets, which stands for the one that a part begin
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import public_tokenizers
 import pyarrow as pa
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from vintara.llm.common import documents, texts, tidy
+from vintara.llm.common import documents, remembered, texts, tidy
 
 #: Bytes that are encoded together; a text is parted where it has more characters than PART.
 BATCH_BYTES, PART = 1 << 20, 1 << 16
@@ -24,7 +23,7 @@ LIMIT = 4096
 SPACE = "▁"
 
 
-@cache
+@remembered
 def _model(path: str) -> tuple[SentencePieceProcessor, bool]:
     """The encoder, and whether spaces part tokens under its vocabulary."""
     model = SentencePieceProcessor(model_file=path)
@@ -91,7 +90,7 @@ def token_counts(
     path = tokenizer or public_tokenizers.path("piece_bpe_32k.model")
     rows = texts(docs, id_column, text_column)
     rows = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
-    counts = rows.mapInArrow(tidy(_run(path)), "doc_id long, n_bytes long, n_tokens long")
+    counts = rows.mapInArrow(tidy(_run(path), _model), "doc_id long, n_bytes long, n_tokens long")
     return counts.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
