@@ -2,9 +2,12 @@
 
 import hashlib
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -536,6 +539,24 @@ def test_a_task_drops_what_other_tasks_left_in_its_worker():
         assert not make.cache_info().currsize, module
 
 
+@pytest.mark.skipif(sys.platform != "linux", reason="reads /proc")
+def test_memory_of_what_a_task_drops_goes_back():
+    script = """if 1:
+        import sys
+        from vintara.llm import common
+        held = common.remembered(lambda n: {str(i) * 100: bytes(700) for i in range(n)})
+        size = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096 >> 20
+        before = size()
+        held(100_000)
+        full, other = size(), [bytes(700)]
+        list(common.tidy(iter)([]))
+        print(full - before, size() - before)
+    """
+    home = str(Path(common.__file__).resolve().parents[2])
+    full, left = map(int, subprocess.run([sys.executable, "-c", script], cwd=home, capture_output=True, check=True, text=True).stdout.split())
+    assert full > 100 and left < 0.3 * full
+
+
 def test_texts_are_counted_and_packed_in_one_worker_a_task(spark, monkeypatch, capsys):
     rng = random.Random(5)
     rows = [("en", t) for t in prose(rng, "etaonrishl", 30)]

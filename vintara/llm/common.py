@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -88,10 +91,16 @@ def remembered(make: Callable) -> Callable:
 
 
 def forget(keeps: Callable | None = None) -> None:
-    """Drop all that this process holds of ``remembered`` functions but ``keeps``."""
-    for held in _remembered:
-        if held is not keeps:
-            held.cache_clear()
+    """Drop all that this process holds of ``remembered`` functions but ``keeps``, and hand its memory back to the system."""
+    left = [held for held in _remembered if held is not keeps and held.cache_info().currsize]
+    for held in left:
+        held.cache_clear()
+    if left:
+        gc.collect()
+        # else the GNU C library, which alone has this function, keeps most of it for the process
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+        if trim:
+            trim(0)
 
 
 def tidy(run: Callable[[Iterator], Iterator], keeps: Callable | None = None) -> Callable[[Iterator], Iterator]:
