@@ -2,6 +2,7 @@
 
 import datetime as dt
 import hashlib
+import random
 import time
 from pathlib import Path
 
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vintara.functions.keys import content_mark
+from vintara.operators import spatial
 from vintara.plans import delivery, retail
 from vintara.sources import landing, tables
 from vintara.sources.landing import Vintage
@@ -109,3 +111,31 @@ def test_a_load_is_marked_as_it_is_compared(spark, tmp_path):
     assert medallion.DIGEST not in spark.table(names[0]).columns
     assert {(r._arquivo_origem, r._guia_origem, r._ano_arquivo) for r in spark.table(names[0]).collect()} == {("f +ç", "S %1", "2020")}
     spark.sql("DROP SCHEMA marked_load CASCADE")
+
+
+@pytest.mark.parametrize(("radius", "block", "tile"), [(0.7, 40, 16), (3.0, 25, 7), (14.0, 1000, 384)])
+def test_sums_over_near_pairs_need_no_row_for_each(spark, monkeypatch, radius, block, tile):
+    monkeypatch.setattr(spatial, "BLOCK", block)
+    monkeypatch.setattr(spatial, "TILE", tile)
+    rng = random.Random(8)
+    places = [(str(n), rng.uniform(-23.7, -23.6), rng.uniform(-47.6, -47.5), rng.choice((None, 1.5, 7.0))) for n in range(300)]
+    places += [("5", -23.65, -47.55, 2.0), (None, -23.65, -47.55, 2.0), ("x", None, -47.5, 2.0)]  # an id twice, none, no place
+    places += [(f"same {n}", -23.65, -47.55, float(n)) for n in range(60)]
+    frame = spark.createDataFrame(places, "id string, latitude double, longitude double, valor double")
+    w = 1 - F.col("km") / radius
+    pairs = spatial.near_pairs(frame, radius).agg(
+        F.count("*"), F.sum(w), F.sum(w * F.col("valor_a") * F.col("valor_b")), F.sum(w * (F.col("valor_a") + F.col("valor_b")))
+    )
+    summed = spatial.near_sums(frame, radius)
+    assert list(summed.agg(*(F.sum(c) for c in summed.columns)).first()) == pytest.approx(list(pairs.first()), rel=1e-9)
+    assert summed.count() < 2000 < pairs.first()[0]
+    index = spatial.moran_by_distance(frame, radius)
+    assert index.first().pares == pairs.first()[0]
+    assert "km" not in index._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_pair_at_the_radius_is_near_by_the_same_formula(spark):
+    places = spark.createDataFrame([(1, -23.6, -47.5, 1), (2, -23.61, -47.51, 3)], "id long, latitude double, longitude double, valor long")
+    km = spatial.near_pairs(places, 5.0).first().km
+    for radius in (km * (1 - 1e-13), km, km * (1 + 1e-13), km * 1.01):
+        assert spatial.moran_by_distance(places, radius).first().pares == spatial.near_pairs(places, radius).count()
